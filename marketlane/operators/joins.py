@@ -69,6 +69,20 @@ def lookup_join(
     return salted_join(fact, lookup, key, hot_keys(counts, key), spread)
 
 
+def matches_or_alone(
+    dim: DataFrame, fact: DataFrame, key: str, spread: str, broadcast_rows: int | None = None
+) -> DataFrame:
+    """Left join from a dimension to its fact rows: every match, and unmatched dimension rows once.
+
+    The match is made from the fact side, where hot keys can be spread; the
+    unmatched rows are found from the distinct keys.
+    """
+    known = dim.withColumn("_known", F.lit(True))
+    matched = lookup_join(fact, known, key, spread, broadcast_rows).where("_known").drop("_known")
+    alone = dim.join(fact.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def insert_absent(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Target plus those ``rows`` whose key it lacks; rows already there stay as they are.
 

@@ -29,8 +29,7 @@ def _order(name: str, descending: bool) -> Column:
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_last()
 
 
-def _laid_out(df: DataFrame, sort: list[Column], rows_per_slice: int | None) -> DataFrame:
-    slices = _slices(df.count(), rows_per_slice)
+def _laid_out(df: DataFrame, sort: list[Column], slices: int) -> DataFrame:
     laid = (
         df.repartitionByRange(slices, *sort)
         .sortWithinPartitions(*sort)
@@ -49,18 +48,20 @@ def positions(
     order: list[tuple[str, bool]],
     group: list[str] | None = None,
     rows_per_slice: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """``df`` with ``row_number`` and ``rank`` inside each ``group``.
 
     ``order`` lists (column, descending); ``keys`` are unique together and break
     ties in the row number. NULLs sort last. ``df`` is read several times, so pass a
-    stored table.
+    stored table, and its number of ``rows`` if known.
     """
     group = group or []
     value_sort = [_order(name, desc) for name, desc in order]
     group_sort = [_order(name, False) for name in group]
     key_sort = [_order(name, False) for name in keys]
-    placed = _laid_out(df, [*group_sort, *value_sort, *key_sort], rows_per_slice)
+    slices = _slices(df.count() if rows is None else rows, rows_per_slice)
+    placed = _laid_out(df, [*group_sort, *value_sort, *key_sort], slices)
 
     in_slice = Window.partitionBy("_slice")
     placed = placed.withColumn(
@@ -146,7 +147,7 @@ def score_scales(
         for name, (group, value, desc) in scales.items()
     ]
     narrow = df.select(*keys, F.explode(F.array(*entries)).alias("entry")).select(*keys, "entry.*")
-    placed = positions(narrow, keys, [("score", False)], ["scale", "part"], rows_per_slice)
+    placed = positions(narrow, keys, [("score", False)], ["scale", "part"], rows_per_slice, rows * len(scales))
 
     def of(scale: str, column: Column) -> Column:
         return F.max(F.when(F.col("scale") == scale, column))

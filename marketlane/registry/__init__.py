@@ -1,6 +1,6 @@
 """All named queries with the SQL that checks them."""
 
-from marketlane.registry import products  # noqa: F401
+from marketlane.registry import changes, products  # noqa: F401
 from marketlane.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -6,14 +6,10 @@ unknown and missing customers, orders without a product, and bad amounts.
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.functions.columns import ts_lit
-
-LOADED_AT = dt.datetime(1995, 1, 1)
+LOADED_AT = "TIMESTAMP_NTZ '1995-01-01 00:00:00'"
 
 _SCHEMAS = {
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
@@ -32,99 +28,73 @@ def raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
 
 
-def _padded(key: Column, prefix: str, width: int) -> Column:
+def _padded(key: str, prefix: str, width: int) -> str:
     """Zero-padded key text; longer keys keep all their digits (lpad alone would cut them)."""
-    digits = key.cast("string")
-    return F.concat(
-        F.lit(prefix), F.when(key < 10**width, F.lpad(digits, width, "0")).otherwise(digits)
+    digits = f"CAST({key} AS STRING)"
+    return (
+        f"concat('{prefix}', CASE WHEN {key} < {10**width} THEN lpad({digits}, {width}, '0') ELSE {digits} END)"
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    part = raw(spark, folder, "part")
-    return part.select(
-        _padded(F.col("p_partkey"), "PROD-", 5).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        (F.col("p_size") * 20).cast("double").alias("price"),
-        (F.col("p_partkey") % 501).cast("int").alias("stock_quantity"),
-        ts_lit(LOADED_AT).alias("ingested_at"),
+    return raw(spark, folder, "part").selectExpr(
+        f"{_padded('p_partkey', 'PROD-', 5)} AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "CAST(p_size * 20 AS DOUBLE) AS price",
+        "CAST(p_partkey % 501 AS INT) AS stock_quantity",
+        f"{LOADED_AT} AS ingested_at",
     )
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    nation = raw(spark, folder, "nation")  # a fixed list of countries
-    joined = raw(spark, folder, "customer").join(
-        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    return joined.select(
-        _padded(key, "CUST-", 6).alias("customer_id"),
-        F.when(key % 50 != 0, F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.COM "))).alias("email"),
-        F.lit(" Cust").alias("first_name"),
-        F.concat(F.lit("N"), key.cast("string"), F.lit(" ")).alias("last_name"),
-        F.concat(F.lit("City"), (key % 40).cast("string")).alias("city"),
-        F.when(key % 29 != 0, F.col("n_name")).alias("state"),
-        F.lit("1995-01-01").cast("date").alias("registration_date"),
-        F.when(F.col("c_mktsegment") == "BUILDING", "Premium")
-        .when(F.col("c_mktsegment") == "MACHINERY", "Standard")
-        .otherwise("Basic")
-        .alias("customer_segment"),
-        ts_lit(LOADED_AT).alias("ingested_at"),
+    nation = raw(spark, folder, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
+    # The nations are a fixed list of countries.
+    return raw(spark, folder, "customer").join(F.broadcast(nation), "c_nationkey", "left").selectExpr(
+        f"{_padded('c_custkey', 'CUST-', 6)} AS customer_id",
+        "CASE WHEN c_custkey % 50 != 0 THEN concat(' ', c_name, '@Example.COM ') END AS email",
+        "' Cust' AS first_name",
+        "concat('N', CAST(c_custkey AS STRING), ' ') AS last_name",
+        "concat('City', CAST(c_custkey % 40 AS STRING)) AS city",
+        "CASE WHEN c_custkey % 29 != 0 THEN n_name END AS state",
+        "DATE '1995-01-01' AS registration_date",
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 'Premium' WHEN 'MACHINERY' THEN 'Standard'
+           ELSE 'Basic' END AS customer_segment""",
+        f"{LOADED_AT} AS ingested_at",
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the lowest part of their lines as the product bought."""
-    lead = (
-        raw(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.min("l_partkey").alias("lead_part"))
-    )
-    key = F.col("o_orderkey")
-    source = (
-        F.when(key % 6 == 0, "Web")
-        .when(key % 6 == 1, " mobile ")
-        .when(key % 6 == 2, "POS")
-        .when(key % 6 == 3, "In-Store")
-        .when(key % 6 == 4, "Phone")
-    )
-    buyer = (
-        F.when(key % 62 == 0, F.lit(None).cast("string"))
-        .when(key % 31 == 0, _padded(key, "GUEST-", 8))
-        .otherwise(_padded(F.col("o_custkey"), "CUST-", 6))
-    )
-    amount = F.when(key % 89 == 0, F.lit(-1.0)).otherwise(
-        F.floor(F.col("o_totalprice") / 2.5).cast("double") / 100.0
+    lead = raw(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("lead_part"))
+    joined = raw(spark, folder, "orders").join(
+        lead.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left"
     )
-    joined = raw(spark, folder, "orders").join(lead, key == F.col("l_orderkey"), "left")
-    return joined.select(
-        _padded(key, "ORD-", 8).alias("order_id"),
-        buyer.alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        _padded(F.col("lead_part"), "PROD-", 5).alias("product_id"),
-        F.when(key % 97 == 0, 0).otherwise(1 + key % 5).cast("int").alias("quantity"),
-        F.when(F.col("o_orderstatus") == "F", " completed")
-        .when(F.col("o_orderstatus") == "O", "pending")
-        .otherwise("cancelled")
-        .alias("status"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "Credit Card")
-        .when(F.col("o_orderpriority") == "2-HIGH", "PayPal")
-        .otherwise("Debit Card")
-        .alias("payment_method"),
-        amount.alias("total_amount"),
-        F.col("o_orderdate").alias("ingested_at"),
-        source.alias("order_source"),
+    return joined.selectExpr(
+        f"{_padded('o_orderkey', 'ORD-', 8)} AS order_id",
+        f"""CASE WHEN o_orderkey % 62 = 0 THEN NULL
+            WHEN o_orderkey % 31 = 0 THEN {_padded('o_orderkey', 'GUEST-', 8)}
+            ELSE {_padded('o_custkey', 'CUST-', 6)} END AS customer_id""",
+        "CAST(o_orderdate AS DATE) AS order_date",
+        f"{_padded('lead_part', 'PROD-', 5)} AS product_id",
+        "CAST(CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE 1 + o_orderkey % 5 END AS INT) AS quantity",
+        """CASE o_orderstatus WHEN 'F' THEN ' completed' WHEN 'O' THEN 'pending' ELSE 'cancelled' END AS status""",
+        """CASE o_orderpriority WHEN '1-URGENT' THEN 'Credit Card' WHEN '2-HIGH' THEN 'PayPal'
+           ELSE 'Debit Card' END AS payment_method""",
+        """CASE WHEN o_orderkey % 89 = 0 THEN -1D
+           ELSE CAST(floor(o_totalprice / 2.5D) AS DOUBLE) / 100D END AS total_amount""",
+        "o_orderdate AS ingested_at",
+        """CASE o_orderkey % 6 WHEN 0 THEN 'Web' WHEN 1 THEN ' mobile ' WHEN 2 THEN 'POS'
+           WHEN 3 THEN 'In-Store' WHEN 4 THEN 'Phone' END AS order_source""",
     )
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with unit price and discount percent, for the roll-up."""
-    line = raw(spark, folder, "lineitem")
-    return line.select(
-        _padded(F.col("l_orderkey"), "ORD-", 8).alias("order_id"),
-        _padded(F.col("l_partkey"), "PROD-", 5).alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100.0).cast("double") / 100.0).alias("unit_price"),
-        F.floor(F.col("l_discount") * 100.0 + 0.5).cast("int").alias("discount_pct"),
+    """Order lines with unit price in cents and discount percent, for the roll-up."""
+    return raw(spark, folder, "lineitem").selectExpr(
+        f"{_padded('l_orderkey', 'ORD-', 8)} AS order_id",
+        f"{_padded('l_partkey', 'PROD-', 5)} AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "CAST(floor(l_extendedprice / l_quantity * 100D) AS DOUBLE) / 100D AS unit_price",
+        "CAST(floor(l_discount * 100D + 0.5D) AS INT) AS discount_pct",
     )
