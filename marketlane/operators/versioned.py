@@ -1,14 +1,15 @@
 """Versions of a keyed table as a log of changes, with branches and tags.
 
 Every commit writes only its changed rows (``_op`` U for upsert, D for delete)
-to a folder of its own; a *base* commit holds the full state instead. Three
-small logs go with them: commits, refs and, inside each commit row, the columns
-valid from then on. A state is the newest base of a commit's ancestry, less the
+to a folder of its own; a *base* commit holds the full state instead. One
+small log lists the commits, each with the columns valid from then on, and the
+moves of branches and tags. A state is the newest base of a commit's ancestry, less the
 keys changed since, plus the newest change of each such key, so the base is
 never shuffled while the changes are few.
 
-A commit's rows are written first, its log row second and the moved ref last: a
-crash in between leaves unreachable rows and nothing else. One writer per table.
+A commit's rows are written first and its log row, which also moves the branch,
+second: a crash in between leaves unreachable rows and nothing else. One writer
+per table.
 """
 
 from __future__ import annotations
@@ -25,30 +26,56 @@ from pyspark.sql import types as T
 from marketlane.functions.money import money_sum
 from marketlane.operators.joins import BROADCAST_ROWS
 from marketlane.operators.quality import duplicate_keys
-from marketlane.operators.upsert import DuplicateKeys, changed_rows
+from marketlane.operators.upsert import DuplicateKeys, changed_rows, newest_per_key
 
 UPSERT, DELETE = "U", "D"
 
-_COMMITS = (
-    "seq BIGINT, commit_id BIGINT, parent_id BIGINT, committed_at TIMESTAMP_NTZ, operation STRING, "
-    "base BOOLEAN, rows BIGINT, path STRING, columns STRING, batch STRING, expired BOOLEAN"
+# One row per action: "commit" adds a commit and moves a branch to it, "move" sets or
+# drops a ref, "rebase" gives a commit a base of its own, "forget" drops a commit.
+_LOG = (
+    "seq BIGINT, action STRING, name STRING, kind STRING, commit_id BIGINT, parent_id BIGINT, "
+    "made_at TIMESTAMP_NTZ, operation STRING, base BOOLEAN, rows BIGINT, path STRING, columns STRING, batch STRING"
 )
-_REFS = "seq BIGINT, name STRING, kind STRING, commit_id BIGINT, made_current_at TIMESTAMP_NTZ"
 
 
 @dataclass(frozen=True)
 class Commit:
-    seq: int
     commit_id: int
     parent_id: int | None
-    committed_at: dt.datetime
+    made_at: dt.datetime
     operation: str
     base: bool
     rows: int
     path: str | None  # None when the commit changes no rows
     columns: str  # JSON list of {name, type, stored}
     batch: str | None = None
-    expired: bool = False
+
+
+@dataclass
+class _Logs:
+    """Commits by id, live refs by name as (kind, commit id), and the last sequence number used."""
+
+    commits: dict[int, Commit]
+    refs: dict[str, tuple[str, int]]
+    last: int
+
+    def head(self, ref: str) -> int:
+        if ref not in self.refs:
+            raise UnknownVersion(f"no branch or tag {ref}")
+        return self.refs[ref][1]
+
+    def columns(self, ref: str) -> list[dict]:
+        return json.loads(self.commits[self.head(ref)].columns)
+
+    def line(self, commit_id: int) -> list[Commit]:
+        """The commit and its ancestors, newest first."""
+        if commit_id not in self.commits:
+            raise UnknownVersion(f"no commit {commit_id}")
+        line, at = [], self.commits.get(commit_id)
+        while at is not None:
+            line.append(at)
+            at = self.commits.get(at.parent_id) if at.parent_id is not None else None
+        return line
 
 
 class MergeConflict(ValueError):
@@ -67,71 +94,50 @@ class VersionedTable:
 
     # ------------------------------------------------------------------ logs
 
-    def _log(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).json(f"{self.root}/{name}")
-
-    def _append(self, name: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(f"{self.root}/{name}")
-
-    def _commits(self) -> dict[int, Commit]:
-        """Latest log row per commit: one row per commit still kept, whatever the table's size."""
-        newest = Window.partitionBy("commit_id").orderBy(F.col("seq").desc())
-        rows = (
-            self._log("commits", _COMMITS)
-            .withColumn("_n", F.row_number().over(newest))
-            .where("_n = 1 AND NOT coalesce(expired, false)")
-            .drop("_n")
-            .collect()
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(_LOG).json(f"{self.root}/log")
+
+    def _append(self, *rows: dict) -> None:
+        """Add log rows in one write, so that an action is in the log as a whole or not at all."""
+        fields = T.StructType.fromDDL(_LOG).fields
+        added = None
+        for row in rows:
+            cells = [F.lit(str(row[f.name]) if f.name == "made_at" else row[f.name]) if row.get(f.name) is not None
+                     else F.lit(None) for f in fields]
+            one = self.spark.range(1, numPartitions=1).select(
+                *[c.cast(f.dataType).alias(f.name) for c, f in zip(cells, fields)]
+            )
+            added = one if added is None else added.unionByName(one)
+        added.coalesce(1).write.mode("append").json(f"{self.root}/log")
+
+    def _logs(self) -> _Logs:
+        """The log as it stands: one row per action, whatever the table's size."""
+        logs = _Logs({}, {}, 0)
+        for r in sorted(self._log().collect(), key=lambda r: r["seq"]):
+            logs.last = r["seq"]
+            if r["action"] in ("commit", "rebase"):
+                logs.commits[r["commit_id"]] = Commit(**{f: r[f] for f in Commit.__dataclass_fields__})
+            if r["action"] == "forget":
+                logs.commits.pop(r["commit_id"], None)
+            if r["name"] is not None:
+                logs.refs[r["name"]] = (r["kind"], r["commit_id"])
+        logs.refs = {name: ref for name, ref in logs.refs.items() if ref[1] is not None}
+        return logs
+
+    def _move(self, logs: _Logs, name: str, kind: str, commit_id: int | None, at: dt.datetime) -> None:
+        self._append(
+            {"seq": logs.last + 1, "action": "move", "name": name, "kind": kind, "commit_id": commit_id, "made_at": at}
         )
-        return {r["commit_id"]: Commit(**r.asDict()) for r in rows}
-
-    def _write_commit(self, commit: Commit) -> None:
-        self._append("commits", _COMMITS, tuple(vars(commit).values()))
-
-    def _next(self) -> int:
-        """Next sequence number over both logs."""
-        try:
-            top = self._log("commits", _COMMITS).agg(F.max("seq")).first()[0] or 0
-            moved = self._log("refs", _REFS).agg(F.max("seq")).first()[0] or 0
-        except Exception as error:  # no log yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return 1
-        return max(top, moved) + 1
 
     def refs(self, kind: str | None = None) -> DataFrame:
         """Branches and tags in force: the last row of each name, unless it dropped the name."""
-        newest = Window.partitionBy("name").orderBy(F.col("seq").desc())
-        live = (
-            self._log("refs", _REFS)
-            .withColumn("_n", F.row_number().over(newest))
-            .where("_n = 1 AND commit_id IS NOT NULL")
-            .select("name", "kind", "commit_id")
-        )
-        return live if kind is None else live.where(F.col("kind") == kind)
-
-    def _ref(self, name: str) -> tuple[str, int]:
-        row = self.refs().where(F.col("name") == name).first()
-        if row is None:
-            raise UnknownVersion(f"no branch or tag {name}")
-        return row["kind"], row["commit_id"]
+        named = self._log().where("name IS NOT NULL")
+        listed = newest_per_key(named, ["name"], "seq").where("commit_id IS NOT NULL")
+        listed = listed.select("name", "kind", "commit_id")
+        return listed if kind is None else listed.where(F.col("kind") == kind)
 
     def head(self, ref: str = "main") -> int:
-        return self._ref(ref)[1]
-
-    def _move(self, name: str, kind: str, commit_id: int | None, at: dt.datetime) -> None:
-        self._append("refs", _REFS, (self._next(), name, kind, commit_id, at))
-
-    @staticmethod
-    def _ancestry(commits: dict[int, Commit], commit_id: int) -> list[Commit]:
-        """The commit and its ancestors, newest first."""
-        if commit_id not in commits:
-            raise UnknownVersion(f"no commit {commit_id}")
-        line, at = [], commits.get(commit_id)
-        while at is not None:
-            line.append(at)
-            at = commits.get(at.parent_id) if at.parent_id is not None else None
-        return line
+        return self._logs().head(ref)
 
     # --------------------------------------------------------------- columns
 
@@ -159,10 +165,11 @@ class VersionedTable:
     def create(self, rows: DataFrame, at: dt.datetime, operation: str = "load") -> int:
         """First commit of branch ``main``, with the full state."""
         columns = [self._entry(f) for f in rows.schema.fields]
-        return self._commit(rows, None, "main", at, operation, columns, base=True)
+        return self._commit(_Logs({}, {}, 0), rows, None, "main", at, operation, columns, base=True)
 
     def _commit(
         self,
+        logs: _Logs,
         rows: DataFrame | None,
         parent: int | None,
         ref: str,
@@ -171,26 +178,30 @@ class VersionedTable:
         columns: list[dict],
         base: bool = False,
         batch: str | None = None,
+        unique: bool = False,
     ) -> int:
+        """Write rows, then the log row. ``unique`` says that no key can occur twice in ``rows``."""
         path, written = None, 0
         if rows is not None:
             if "_op" not in rows.columns:
                 rows = rows.withColumn("_op", F.lit(UPSERT))
             path = f"changes/{uuid.uuid4().hex}"
             rows.select(*self._as_stored(columns), "_op").write.parquet(f"{self.root}/{path}")
-            saved = self.spark.read.schema("_op STRING").parquet(f"{self.root}/{path}")
-            written = saved.count()
-            keys = self.spark.read.schema(self._stored_schema(columns)).parquet(f"{self.root}/{path}")
-            stored_keys = [c["stored"] for k in self.keys for c in columns if c["name"] == k]
-            if not duplicate_keys(keys, stored_keys).isEmpty():
-                raise DuplicateKeys(f"several rows of one commit share {', '.join(self.keys)}")
-        seq = self._next()
-        self._write_commit(
-            Commit(seq, seq, parent, at, operation, base, written, path, json.dumps(columns), batch)
-        )
-        self._move(ref, "branch", seq, at)
+            written = self._check_written(path, columns, unique)
+        seq = logs.last + 1
+        commit = Commit(seq, parent, at, operation, base, written, path, json.dumps(columns), batch)
+        self._append({**vars(commit), "seq": seq, "action": "commit", "name": ref, "kind": "branch"})
         return seq
 
+    def _check_written(self, path: str, columns: list[dict], unique: bool) -> int:
+        """Rows written to ``path``; a key there more than once is refused, leaving the table as it was."""
+        saved = self.spark.read.schema(self._stored_schema(columns)).parquet(f"{self.root}/{path}")
+        written = saved.count()  # from the file footers
+        stored = {c["name"]: c["stored"] for c in columns}
+        if not unique and not duplicate_keys(saved, [stored[k] for k in self.keys]).isEmpty():
+            raise DuplicateKeys(f"several rows of one commit share {', '.join(self.keys)}")
+        return written
+
     def commit(
         self,
         changes: DataFrame,
@@ -200,11 +211,11 @@ class VersionedTable:
         batch: str | None = None,
     ) -> int:
         """Add changed rows to a branch. ``_op`` marks deletes; without it every row is an upsert."""
-        kind, head = self._ref(ref)
-        if kind != "branch":
+        logs = self._logs()
+        head = logs.head(ref)
+        if logs.refs[ref][0] != "branch":
             raise ValueError(f"{ref} is a tag")
-        columns = json.loads(self._commits()[head].columns)
-        return self._commit(changes, head, ref, at, operation, columns, batch=batch)
+        return self._commit(logs, changes, head, ref, at, operation, logs.columns(ref), batch=batch)
 
     def merge_rows(
         self,
@@ -216,20 +227,20 @@ class VersionedTable:
         batch: str | None = None,
     ) -> int:
         """Upsert ``source`` into a branch; a ``batch`` already committed there is left alone."""
-        commits = self._commits()
-        line = self._ancestry(commits, self.head(ref))
+        logs = self._logs()
+        line = logs.line(logs.head(ref))
         if batch is not None:
             done = [c.commit_id for c in line if c.batch == batch]
             if done:
                 return done[0]
-        state = self.read(ref)
-        return self.commit(changed_rows(state, source, self.keys, update, insert), at, ref, "merge", batch)
+        changes = changed_rows(self._state(line), source, self.keys, update, insert)
+        columns = logs.columns(ref)
+        return self._commit(logs, changes, line[0].commit_id, ref, at, "merge", columns, batch=batch, unique=True)
 
-    def replace(self, rows: DataFrame, at: dt.datetime, ref: str = "main", operation: str = "replace") -> int:
+    def replace(self, rows: DataFrame, at: dt.datetime, ref: str = "main") -> int:
         """A new full state on a branch; its history stays readable."""
-        _, head = self._ref(ref)
-        columns = json.loads(self._commits()[head].columns)
-        return self._commit(rows, head, ref, at, operation, columns, base=True)
+        logs = self._logs()
+        return self._commit(logs, rows, logs.head(ref), ref, at, "replace", logs.columns(ref), base=True)
 
     # --------------------------------------------------------------- reading
 
@@ -272,35 +283,41 @@ class VersionedTable:
         self, ref: str = "main", commit_id: int | None = None, at: dt.datetime | None = None
     ) -> DataFrame:
         """The state of a branch or tag, now, at a commit, or at a moment."""
-        commits = self._commits()
-        if commit_id is not None:
-            return self._state(self._ancestry(commits, commit_id))
-        line = self._ancestry(commits, self.head(ref))
+        logs = self._logs()
+        line = logs.line(logs.head(ref) if commit_id is None else commit_id)
         if at is not None:
-            line = line[next((i for i, c in enumerate(line) if c.committed_at <= at), len(line)) :]
+            line = line[next((i for i, c in enumerate(line) if c.made_at <= at), len(line)) :]
             if not line:
                 raise UnknownVersion(f"nothing committed to {ref} by {at}")
         return self._state(line)
 
     def snapshots(self, limit: int | None = None) -> DataFrame:
         """Commits, newest first."""
-        newest = Window.partitionBy("commit_id").orderBy(F.col("seq").desc())
+        about = self._log().where("action IN ('commit', 'rebase', 'forget')")
         listed = (
-            self._log("commits", _COMMITS)
-            .withColumn("_n", F.row_number().over(newest))
-            .where("_n = 1 AND NOT coalesce(expired, false)")
-            .select("commit_id", "parent_id", "committed_at", "operation", F.col("rows").alias("changed_rows"))
+            newest_per_key(about, ["commit_id"], "seq")
+            .where("action != 'forget'")
+            .select(
+                "commit_id",
+                "parent_id",
+                F.col("made_at").alias("committed_at"),
+                "operation",
+                F.col("rows").alias("changed_rows"),
+            )
             .orderBy(F.col("committed_at").desc(), F.col("commit_id").desc())
         )
         return listed if limit is None else listed.limit(limit)
 
     def history(self, ref: str = "main") -> DataFrame:
         """Commits a branch has pointed to, newest first, and whether each is part of it now."""
-        line = [c.commit_id for c in self._ancestry(self._commits(), self.head(ref))]
-        moves = self._log("refs", _REFS).where((F.col("name") == ref) & F.col("commit_id").isNotNull())
+        logs = self._logs()
+        line = [c.commit_id for c in logs.line(logs.head(ref))]
+        moves = self._log().where((F.col("name") == ref) & F.col("commit_id").isNotNull())
         parents = self.snapshots().select("commit_id", "parent_id", "operation")
         return (
-            moves.join(parents, "commit_id", "left")
+            moves.select("commit_id", F.col("made_at").alias("made_current_at"), "seq")
+            .join(parents, "commit_id", "left")
+            .orderBy(F.col("seq").desc())
             .select(
                 "made_current_at",
                 "commit_id",
@@ -308,7 +325,6 @@ class VersionedTable:
                 "operation",
                 F.col("commit_id").isin(line).alias("is_current_ancestor"),
             )
-            .orderBy(F.col("made_current_at").desc(), F.col("commit_id").desc())
         )
 
     # ------------------------------------------------------- branches, tags
@@ -321,19 +337,21 @@ class VersionedTable:
         self._create_ref(name, "tag", at, start, commit_id)
 
     def _create_ref(self, name: str, kind: str, at: dt.datetime, start: str, commit_id: int | None) -> None:
-        if self.refs().where(F.col("name") == name).isEmpty():
-            self._move(name, kind, self.head(start) if commit_id is None else commit_id, at)
+        logs = self._logs()
+        if name not in logs.refs:
+            self._move(logs, name, kind, logs.head(start) if commit_id is None else commit_id, at)
 
     def drop(self, name: str, at: dt.datetime) -> None:
-        kind, _ = self._ref(name)
-        self._move(name, kind, None, at)
+        logs = self._logs()
+        logs.head(name)  # must exist
+        self._move(logs, name, logs.refs[name][0], None, at)
 
     def rollback(self, commit_id: int, at: dt.datetime, ref: str = "main") -> None:
         """Point a branch back at one of its earlier commits."""
-        line = self._ancestry(self._commits(), self.head(ref))
-        if commit_id not in [c.commit_id for c in line]:
+        logs = self._logs()
+        if commit_id not in [c.commit_id for c in logs.line(logs.head(ref))]:
             raise UnknownVersion(f"commit {commit_id} is not part of {ref}")
-        self._move(ref, "branch", commit_id, at)
+        self._move(logs, ref, "branch", commit_id, at)
 
     def merge(self, source: str, into: str, at: dt.datetime) -> int:
         """Bring a branch's changes into another.
@@ -342,13 +360,13 @@ class VersionedTable:
         source's head. Otherwise the source's changes are added to it, provided
         that no key changed on both sides.
         """
-        commits = self._commits()
-        ours, theirs = self._ancestry(commits, self.head(into)), self._ancestry(commits, self.head(source))
+        logs = self._logs()
+        ours, theirs = logs.line(logs.head(into)), logs.line(logs.head(source))
         our_ids, their_ids = [c.commit_id for c in ours], [c.commit_id for c in theirs]
         if theirs[0].commit_id in our_ids:
             return ours[0].commit_id
         if ours[0].commit_id in their_ids:
-            self._move(into, "branch", theirs[0].commit_id, at)
+            self._move(logs, into, "branch", theirs[0].commit_id, at)
             return theirs[0].commit_id
         shared = set(our_ids) & set(their_ids)
         if not shared:
@@ -370,15 +388,12 @@ class VersionedTable:
             other = self._changes(ours_rows, columns).select(*self.keys)
             if not changes.select(*self.keys).join(other, self.keys, "left_semi").isEmpty():
                 raise MergeConflict(f"{source} and {into} changed the same keys")
-        return self._commit(changes, ours[0].commit_id, into, at, "merge branch", columns)
+        return self._commit(logs, changes, ours[0].commit_id, into, at, "merge branch", columns, unique=True)
 
     # ------------------------------------------------------ schema evolution
 
-    def _evolve(self, columns: list[dict], at: dt.datetime, ref: str, operation: str) -> int:
-        return self._commit(None, self.head(ref), ref, at, operation, columns)
-
-    def _columns(self, ref: str) -> list[dict]:
-        return json.loads(self._commits()[self.head(ref)].columns)
+    def _evolve(self, logs: _Logs, columns: list[dict], at: dt.datetime, ref: str, operation: str) -> int:
+        return self._commit(logs, None, logs.head(ref), ref, at, operation, columns)
 
     def add_columns(
         self,
@@ -393,45 +408,52 @@ class VersionedTable:
         shows as well, cast to the new type. A name used before gets a storage
         name of its own, so dropped values do not come back.
         """
-        columns, copied = self._columns(ref), copy_from or {}
+        logs, copied = self._logs(), copy_from or {}
+        columns = logs.columns(ref)
         stored = {c["name"]: c["stored"] for c in columns}
-        ever = {e["stored"] for c in self._commits().values() for e in json.loads(c.columns)}
+        ever = {e["stored"] for c in logs.commits.values() for e in json.loads(c.columns)}
         for field in T.StructType.fromDDL(ddl).fields:
             if field.name in stored:
                 raise ValueError(f"there is a column {field.name} already")
             if field.name in copied:
                 place = stored[copied[field.name]]
             else:
-                place = f"{field.name}__{self._next()}" if field.name in ever else field.name
+                place = f"{field.name}__{logs.last + 1}" if field.name in ever else field.name
             columns.append(self._entry(field, place))
-        return self._evolve(columns, at, ref, "add columns")
+        return self._evolve(logs, columns, at, ref, "add columns")
 
     def drop_column(self, name: str, at: dt.datetime, ref: str = "main") -> int:
         """Hide a column from here on; earlier versions still show it."""
         if name in self.keys:
             raise ValueError(f"{name} identifies rows")
-        columns = self._columns(ref)
+        logs = self._logs()
+        columns = logs.columns(ref)
         kept = [c for c in columns if c["name"] != name]
         if len(kept) == len(columns):
             raise ValueError(f"no column {name}")
-        return self._evolve(kept, at, ref, "drop column")
+        return self._evolve(logs, kept, at, ref, "drop column")
 
     def widen_column(self, name: str, kind: str, at: dt.datetime, ref: str = "main") -> int:
         """Show a column with a wider type, such as INT as BIGINT."""
-        columns = [{**c, "type": kind} if c["name"] == name else c for c in self._columns(ref)]
-        return self._evolve(columns, at, ref, "widen column")
+        logs = self._logs()
+        columns = [{**c, "type": kind} if c["name"] == name else c for c in logs.columns(ref)]
+        return self._evolve(logs, columns, at, ref, "widen column")
 
     def rename_column(self, name: str, new: str, at: dt.datetime, ref: str = "main") -> int:
         if name in self.keys:
             raise ValueError(f"{name} identifies rows")
-        columns = [{**c, "name": new} if c["name"] == name else c for c in self._columns(ref)]
-        return self._evolve(columns, at, ref, "rename column")
+        logs = self._logs()
+        columns = [{**c, "name": new} if c["name"] == name else c for c in logs.columns(ref)]
+        return self._evolve(logs, columns, at, ref, "rename column")
 
     # ----------------------------------------------------------- maintenance
 
     def compact(self, at: dt.datetime, ref: str = "main") -> int:
         """Fold a branch's changes into a new base; the contents stay the same."""
-        return self.replace(self.read(ref).hint("rebalance"), at, ref, "compact")
+        logs = self._logs()
+        head = logs.head(ref)
+        state = self._state(logs.line(head)).hint("rebalance")
+        return self._commit(logs, state, head, ref, at, "compact", logs.columns(ref), base=True, unique=True)
 
     def expire(self, older_than: dt.datetime) -> list[int]:
         """Forget commits made before ``older_than`` that no branch or tag points at.
@@ -439,28 +461,30 @@ class VersionedTable:
         A kept commit whose ancestors go is first given a base of its own.
         Returns the forgotten commits; ``sweep`` then frees their files.
         """
-        commits = self._commits()
-        heads = {r["commit_id"] for r in self.refs().collect()}
-        lines = {h: self._ancestry(commits, h) for h in heads}
+        logs = self._logs()
+        commits, actions = logs.commits, []
+        heads = {commit_id for _, commit_id in logs.refs.values()}
         kept = set(heads)
-        for line in lines.values():
-            kept |= {c.commit_id for c in line if c.committed_at >= older_than}
+        for head in heads:
+            kept |= {c.commit_id for c in logs.line(head) if c.made_at >= older_than}
         gone = sorted(set(commits) - kept)
         for commit_id in sorted(kept):
             commit = commits[commit_id]
             if not commit.base and commit.parent_id in gone:
-                columns = json.loads(commit.columns)
                 path = f"changes/{uuid.uuid4().hex}"
-                state = self._state(self._ancestry(commits, commit_id)).hint("rebalance")
-                state.select(*self._as_stored(columns), F.lit(UPSERT).alias("_op")).write.parquet(f"{self.root}/{path}")
-                self._write_commit(replace(commit, seq=self._next(), base=True, path=path, parent_id=None))
-        for commit_id in gone:
-            self._write_commit(replace(commits[commit_id], seq=self._next(), expired=True))
+                state = self._state(logs.line(commit_id)).hint("rebalance")
+                stored = self._as_stored(json.loads(commit.columns))
+                state.select(*stored, F.lit(UPSERT).alias("_op")).write.parquet(f"{self.root}/{path}")
+                rebased = replace(commit, base=True, path=path, parent_id=None)
+                actions.append({**vars(rebased), "action": "rebase"})
+        actions += [{"action": "forget", "commit_id": c} for c in gone]
+        if actions:
+            self._append(*[{**a, "seq": logs.last + i} for i, a in enumerate(actions, 1)])
         return gone
 
     def sweep(self) -> int:
         """Delete change folders no commit refers to; returns their number."""
-        used = {c.path for c in self._commits().values()}
+        used = {c.path for c in self._logs().commits.values()}
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/changes")
         fs = folder.getFileSystem(conf)

@@ -20,12 +20,18 @@ def run(
     out: str,
     as_of: dt.date,
     now: dt.datetime,
+    layouts: dict[str, tuple[str, ...]] | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every layer below ``out``; returns the tables read back, plus the check and figure reports."""
+    """Write every layer below ``out``; returns the tables read back, plus the check and figure reports.
+
+    ``layouts`` replaces a table's partition columns, say where its days are
+    too small for a folder each.
+    """
     made: dict[str, DataFrame] = {}
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         ddl, partitions = schemas.TABLES[name]
+        partitions = (layouts or {}).get(name, partitions)
         path = f"{out}/{name.replace('.', '/')}"
         files.write_parquet(df.select(*schemas.names(ddl)), path, partitions)
         made[name] = spark.read.schema(schemas.struct(ddl)).parquet(path)

@@ -88,9 +88,8 @@ UNION ALL SELECT 'gold.product_performance', count(*) FROM moves"""),
 def n5(spark, d):
     """Counts over a complete run, written layer by layer."""
     orders, customers, products = bronze(spark, d)
-    made = daily_run.run(
-        spark, orders, customers, products, scratch.new_dir(spark, "daily-run"), AS_OF, NOW
-    )
+    out = scratch.new_dir(spark, "daily-run")
+    made = daily_run.run(spark, orders, customers, products, out, AS_OF, NOW, {"bronze.orders": ()})
     return made["layers"]
 
 
