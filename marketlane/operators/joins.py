@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketlane import scratch
+
 # A lookup side is broadcast only when it was counted to have no more rows than this.
 BROADCAST_ROWS = 500_000
 # A key is hot when it holds more than this share of the fact rows, so there
@@ -60,13 +62,21 @@ def lookup_join(
     key: str,
     spread: str,
     broadcast_rows: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a lookup table: broadcast when counted small, salted otherwise."""
+    """Left join to a lookup table: broadcast when counted small, salted otherwise.
+
+    Salting needs the hot keys, which take a pass over the key column.
+    ``keys_from`` names a frame that holds the same keys but is cheaper to
+    read, such as the fact before an earlier join.
+    """
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     if few_rows(lookup.select(key), limit):
         return fact.join(F.broadcast(lookup), key, "left")
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return salted_join(fact, lookup, key, hot_keys(counts, key), spread)
+    keys = fact if keys_from is None else keys_from
+    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    hot = scratch.durable(hot_keys(counts, key), "hot-keys")
+    return salted_join(fact, lookup, key, hot, spread)
 
 
 def matches_or_alone(

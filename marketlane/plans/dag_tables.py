@@ -24,7 +24,7 @@ def orders_enriched(
     buyers = customers.select("customer_id", "customer_segment", "state")
     goods = products.select("product_id", "category", "price")
     joined = lookup_join(kept, buyers, "customer_id", "order_id", broadcast_rows)
-    joined = lookup_join(joined, goods, "product_id", "order_id", broadcast_rows)
+    joined = lookup_join(joined, goods, "product_id", "order_id", broadcast_rows, kept)
     day = F.col("order_date")
     return joined.select(
         *orders.columns,

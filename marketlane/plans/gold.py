@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlane import schemas, scratch
@@ -18,6 +18,7 @@ from marketlane.functions.money import (
     percent_where,
     ratio_avg,
 )
+from marketlane.operators.aggregate import with_distinct_counts
 from marketlane.operators.ranking import score_scales
 
 # Reporting windows and thresholds.
@@ -27,17 +28,40 @@ REORDER_DAYS = 7
 TILES = 5
 
 
+# What each report reads of the cleaned orders; a stored copy needs no other columns.
+DAILY_READS = [
+    "order_date", "order_id", "customer_id", "quantity", "is_first_order", "is_repeat_customer", "total_amount",
+    "status", "profit_margin_pct", "discount_amount", "is_weekend", "channel_category", "payment_method",
+    "customer_segment", "data_quality_flag",
+]
+CUSTOMER_READS = [
+    "customer_id", "customer_name", "customer_email", "customer_segment", "customer_city", "customer_state",
+    "order_id", "order_date", "total_amount", "product_category", "payment_method", "order_source",
+    "data_quality_flag",
+]
+PRODUCT_READS = [
+    "product_id", "product_name", "product_category", "order_id", "customer_id", "order_date", "quantity",
+    "total_amount", "unit_price", "data_quality_flag",
+]
+
+
+def _shaped(df: DataFrame, ddl: str, derived: dict[str, Column]) -> DataFrame:
+    """The columns of a declared table, those in ``derived`` computed."""
+    return df.select(
+        *[derived[c].alias(c) if c in derived else F.col(c) for c in schemas.names(ddl)]
+    )
+
+
 def valid_rows(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("data_quality_flag") == C.VALID)
 
 
 def daily_sales(silver: DataFrame, now: dt.datetime) -> DataFrame:
+    """Sales of each day. ``silver`` is read twice: pass the stored table."""
     total = F.col("total_amount")
     channel, segment, paid = F.col("channel_category"), F.col("customer_segment"), F.col("payment_method")
     measures = {
-        "total_orders": F.countDistinct("order_id").cast("int"),
         "total_items_sold": F.sum("quantity").cast("int"),
-        "unique_customers": F.countDistinct("customer_id").cast("int"),
         "new_customers": count_where(F.col("is_first_order")),
         "repeat_customers": count_where(F.col("is_repeat_customer")),
         "total_revenue": money_sum(total),
@@ -57,16 +81,16 @@ def daily_sales(silver: DataFrame, now: dt.datetime) -> DataFrame:
         "standard_revenue": money_sum_where(segment == "Standard", total),
         "basic_revenue": money_sum_where(segment == "Basic", total),
     }
-    daily = valid_rows(silver).groupBy(F.col("order_date").alias("sale_date")).agg(
-        *[column.alias(name) for name, column in measures.items()]
-    )
-    return daily.select(
-        "sale_date",
-        F.year("sale_date").alias("sale_year"),
-        F.month("sale_date").alias("sale_month"),
-        *measures,
-        C.ts_lit(now).alias("calculated_at"),
+    rows = valid_rows(silver).withColumnRenamed("order_date", "sale_date")
+    daily = with_distinct_counts(
+        rows, ["sale_date"], measures, {"total_orders": "order_id", "unique_customers": "customer_id"}
     )
+    derived = {
+        "sale_year": F.year("sale_date"),
+        "sale_month": F.month("sale_date"),
+        "calculated_at": C.ts_lit(now),
+    }
+    return _shaped(daily, schemas.GOLD_DAILY, derived)
 
 
 def favourites(rows: DataFrame, key: str, choices: dict[str, str]) -> DataFrame:
@@ -174,16 +198,14 @@ def customer_360(
         "rfm_score": score_sum.cast("double") / F.lit(3.0),
         "last_updated": C.ts_lit(now),
     }
-    return joined.select(
-        *[derived[c].alias(c) if c in derived else F.col(c) for c in schemas.names(schemas.GOLD_CUSTOMERS)]
-    )
+    return _shaped(joined, schemas.GOLD_CUSTOMERS, derived)
 
 
 def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
-    """Totals and 30-day trends per product, in one aggregation.
+    """Totals and 30-day trends per product. ``silver`` is read twice: pass the stored table.
 
-    The trend is kept per product as well, since a product renamed between
-    orders has several name rows but one trend.
+    A product renamed between orders has a row per name, each with the trend of
+    the product as a whole.
     """
     total, day = F.col("total_amount"), F.col("order_date")
     recent_from = as_of - dt.timedelta(days=RECENT_DAYS)
@@ -191,27 +213,33 @@ def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
     before_to = as_of - dt.timedelta(days=RECENT_DAYS + 1)
     recent = day >= C.date_lit(recent_from)
     before = day.between(C.date_lit(before_from), C.date_lit(before_to))
-    totals = (
-        valid_rows(silver)
-        .groupBy("product_id", "product_name", "product_category")
-        .agg(
-            F.countDistinct("order_id").cast("int").alias("total_orders"),
-            F.sum("quantity").cast("int").alias("units_sold"),
-            money_sum(total).alias("total_revenue"),
-            money_avg("unit_price").alias("avg_selling_price"),
-            F.countDistinct("customer_id").cast("int").alias("unique_customers"),
-        )
+    totals = with_distinct_counts(
+        valid_rows(silver),
+        ["product_id", "product_name", "product_category"],
+        {
+            "units_sold": F.sum("quantity").cast("int"),
+            "total_revenue": money_sum(total),
+            "avg_selling_price": money_avg("unit_price"),
+            "_recent": F.sum(F.when(recent, cents(total)).otherwise(0)),
+            "_before": F.sum(F.when(before, cents(total)).otherwise(0)),
+            "_units": F.sum(F.when(recent, F.col("quantity")).otherwise(0)),
+        },
+        {"total_orders": "order_id", "unique_customers": "customer_id"},
     )
-    trends = (
-        valid_rows(silver)
-        .groupBy("product_id")
-        .agg(
-            money_sum_where(recent, total).alias("revenue_last_30d"),
-            money_sum_where(before, total).alias("revenue_prev_30d"),
-            F.sum(F.when(recent, F.col("quantity")).otherwise(0)).alias("units_last_30d"),
-        )
+    whole = Window.partitionBy("product_id")  # as many rows as the product had names
+    return totals.select(
+        "product_id",
+        "product_name",
+        "product_category",
+        "total_orders",
+        "units_sold",
+        "total_revenue",
+        "avg_selling_price",
+        "unique_customers",
+        (F.sum("_recent").over(whole).cast("double") / 100.0).alias("revenue_last_30d"),
+        (F.sum("_before").over(whole).cast("double") / 100.0).alias("revenue_prev_30d"),
+        F.sum("_units").over(whole).alias("units_last_30d"),
     )
-    return totals.join(trends, "product_id", "left")
 
 
 def growth_pct(recent: Column, before: Column) -> Column:
@@ -280,6 +308,4 @@ def product_performance(
         "reorder_recommended": reorder_due(F.col("current_stock"), units),
         "last_calculated": C.ts_lit(now),
     }
-    return joined.select(
-        *[derived[c].alias(c) if c in derived else F.col(c) for c in schemas.names(schemas.GOLD_PRODUCTS)]
-    )
+    return _shaped(joined, schemas.GOLD_PRODUCTS, derived)

@@ -26,7 +26,7 @@ def orders_enriched(
     buyers = customers.select("customer_id", "customer_segment", "state")
     goods = products.select("product_id", "category", F.col("price").alias("unit_price"))
     joined = lookup_join(kept, buyers, "customer_id", "order_id", broadcast_rows)
-    joined = lookup_join(joined, goods, "product_id", "order_id", broadcast_rows)
+    joined = lookup_join(joined, goods, "product_id", "order_id", broadcast_rows, kept)
     return joined.select(
         "order_id",
         "customer_id",

@@ -94,9 +94,9 @@ def enrich_orders(
     if few_rows(history, BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         joined = fact.join(F.broadcast(buyers), "customer_id", "left")
     else:
-        hot = hot_keys(history, "customer_id", "lifetime_orders")
+        hot = scratch.durable(hot_keys(history, "customer_id", "lifetime_orders"), "hot-keys")
         joined = salted_join(fact, buyers, "customer_id", hot, "order_id")
-    joined = lookup_join(joined, _product_columns(products), "product_id", "order_id", broadcast_rows)
+    joined = lookup_join(joined, _product_columns(products), "product_id", "order_id", broadcast_rows, fact)
 
     lifetime = F.coalesce(F.col("lifetime_orders"), F.lit(1).cast("bigint"))
     derived = {
@@ -126,7 +126,7 @@ def arrivals(
     """
     fact = live_orders(orders).where((F.col("total_amount") > 0) & (F.col("ingested_at") > since))
     joined = lookup_join(fact, _customer_columns(customers), "customer_id", "order_id", broadcast_rows)
-    joined = lookup_join(joined, _product_columns(products), "product_id", "order_id", broadcast_rows)
+    joined = lookup_join(joined, _product_columns(products), "product_id", "order_id", broadcast_rows, fact)
     derived = {
         **_order_columns(now),
         "customer_lifetime_orders": F.lit(1).cast("bigint"),

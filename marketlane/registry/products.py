@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marketlane.functions.money import money_sum
+from marketlane import scratch
 from marketlane.plans import dag_tables, gold, job_tables, silver
 from marketlane.registry.base import AS_OF, NOW, query
 from marketlane.registry.reference_sql import mavg, msum, sql
@@ -17,11 +17,10 @@ def silver_orders(spark, d):
     return silver.enrich_orders(*bronze(spark, d), NOW)
 
 
-def stored_silver(spark, d):
-    """The cleaned orders, written once per call for the plans that read them twice."""
-    from marketlane import scratch
-
-    return scratch.durable(silver_orders(spark, d), "silver-orders")
+def stored_silver(spark, d, columns=None):
+    """The cleaned orders, or some of their columns, written once for the plans that read them twice."""
+    enriched = silver_orders(spark, d)
+    return scratch.durable(enriched.select(*columns) if columns else enriched, "silver-orders")
 
 
 @query("o1_silver_orders_enriched", sql("SELECT * FROM silver"))
@@ -36,17 +35,19 @@ def o2(spark, d):
 
 @query("o5_daily_sales_summary", sql("SELECT * FROM daily"))
 def o5(spark, d):
-    return gold.daily_sales(silver_orders(spark, d), NOW)
+    return gold.daily_sales(stored_silver(spark, d, gold.DAILY_READS), NOW)
 
 
 @query("o6_customer_360", sql("SELECT * FROM c360"))
 def o6(spark, d):
-    return gold.customer_360(stored_silver(spark, d), adapters.customers(spark, d), AS_OF, NOW)
+    silver_table = stored_silver(spark, d, gold.CUSTOMER_READS)
+    return gold.customer_360(silver_table, adapters.customers(spark, d), AS_OF, NOW)
 
 
 @query("o7_product_performance", sql("SELECT * FROM pperf"))
 def o7(spark, d):
-    return gold.product_performance(stored_silver(spark, d), adapters.products(spark, d), AS_OF, NOW)
+    silver_table = stored_silver(spark, d, gold.PRODUCT_READS)
+    return gold.product_performance(silver_table, adapters.products(spark, d), AS_OF, NOW)
 
 
 def job_orders(spark, d):

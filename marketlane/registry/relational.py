@@ -89,7 +89,7 @@ QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, {c}
 
 
 def favourite_tables(spark, d):
-    valid = gold.valid_rows(stored_silver(spark, d))
+    valid = gold.valid_rows(stored_silver(spark, d, gold.CUSTOMER_READS))
     wanted = {
         "favorite_category": "product_category",
         "favorite_payment_method": "payment_method",
@@ -126,7 +126,7 @@ def e5(spark, d):
 FROM moves m LEFT JOIN b_products p ON m.product_id = p.product_id"""),
 )
 def e6(spark, d):
-    metrics = gold.product_metrics(silver_orders(spark, d), AS_OF).select("product_id", "units_sold", "total_revenue")
+    metrics = gold.product_metrics(stored_silver(spark, d, gold.PRODUCT_READS), AS_OF).select("product_id", "units_sold", "total_revenue")
     stock = adapters.products(spark, d).select("product_id", F.col("stock_quantity").alias("current_stock"))
     return metrics.join(stock, "product_id", "left")
 

@@ -17,8 +17,12 @@ def build(cores: int | str = "*", app: str = "marketlane", **extra: str) -> Spar
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": partitions,
+        # Test tables are small: let a few hundred kilobytes still use all cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        # Many different plans run in one session; keep their generated classes.
+        "spark.sql.codegen.cache.maxEntries": "4000",
         **extra,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
