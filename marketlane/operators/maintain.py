@@ -3,30 +3,17 @@
 from __future__ import annotations
 
 import math
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane.operators import inspect
+from marketlane.settings import held
 
 TARGET_BYTES = 256 * 1024 * 1024
 _SIZE_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
-@contextmanager
-def _written_in(spark: SparkSession, size: int):
-    before = spark.conf.get(_SIZE_SETTING, None)
-    spark.conf.set(_SIZE_SETTING, str(size))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_SIZE_SETTING)
-        else:
-            spark.conf.set(_SIZE_SETTING, before)
-
-
 def compact(
     spark: SparkSession, path: str, out: str, partition_by: tuple[str, ...] = (), target_bytes: int = TARGET_BYTES
 ) -> DataFrame:
@@ -37,7 +24,7 @@ def compact(
     """
     df = spark.read.parquet(path)
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    with _written_in(spark, target_bytes):
+    with held(spark, _SIZE_SETTING, str(target_bytes)):
         balanced.write.mode("errorifexists").partitionBy(*partition_by).parquet(out)
     return spark.read.schema(df.schema).parquet(out)
 

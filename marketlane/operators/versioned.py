@@ -34,7 +34,8 @@ UPSERT, DELETE = "U", "D"
 # drops a ref, "rebase" gives a commit a base of its own, "forget" drops a commit.
 _LOG = (
     "seq BIGINT, action STRING, name STRING, kind STRING, commit_id BIGINT, parent_id BIGINT, "
-    "made_at TIMESTAMP_NTZ, operation STRING, base BOOLEAN, rows BIGINT, path STRING, columns STRING, batch STRING"
+    "made_at TIMESTAMP_NTZ, operation STRING, base BOOLEAN, rows BIGINT, path STRING, columns STRING, batch STRING, "
+    "merged_id BIGINT"
 )
 
 
@@ -49,6 +50,7 @@ class Commit:
     path: str | None  # None when the commit changes no rows
     columns: str  # JSON list of {name, type, stored}
     batch: str | None = None
+    merged_id: int | None = None  # head of the branch this commit brought in
 
 
 @dataclass
@@ -78,6 +80,15 @@ class _Logs:
         return line
 
 
+    def seen(self, line: list[Commit]) -> set[int]:
+        """Commits whose changes are part of a line, its own or merged in."""
+        found = {c.commit_id for c in line}
+        for c in line:
+            if c.merged_id is not None and c.merged_id in self.commits and c.merged_id not in found:
+                found |= self.seen(self.line(c.merged_id))
+        return found
+
+
 class MergeConflict(ValueError):
     """Both branches changed the same key."""
 
@@ -179,6 +190,7 @@ class VersionedTable:
         base: bool = False,
         batch: str | None = None,
         unique: bool = False,
+        merged_id: int | None = None,
     ) -> int:
         """Write rows, then the log row. ``unique`` says that no key can occur twice in ``rows``."""
         path, written = None, 0
@@ -189,7 +201,7 @@ class VersionedTable:
             rows.select(*self._as_stored(columns), "_op").write.parquet(f"{self.root}/{path}")
             written = self._check_written(path, columns, unique)
         seq = logs.last + 1
-        commit = Commit(seq, parent, at, operation, base, written, path, json.dumps(columns), batch)
+        commit = Commit(seq, parent, at, operation, base, written, path, json.dumps(columns), batch, merged_id)
         self._append({**vars(commit), "seq": seq, "action": "commit", "name": ref, "kind": "branch"})
         return seq
 
@@ -362,21 +374,21 @@ class VersionedTable:
         """
         logs = self._logs()
         ours, theirs = logs.line(logs.head(into)), logs.line(logs.head(source))
-        our_ids, their_ids = [c.commit_id for c in ours], [c.commit_id for c in theirs]
-        if theirs[0].commit_id in our_ids:
-            return ours[0].commit_id
-        if ours[0].commit_id in their_ids:
+        if ours[0].commit_id in [c.commit_id for c in theirs]:
             self._move(logs, into, "branch", theirs[0].commit_id, at)
             return theirs[0].commit_id
-        shared = set(our_ids) & set(their_ids)
-        if not shared:
+        seen_here, seen_there = logs.seen(ours), logs.seen(theirs)
+        if theirs[0].commit_id in seen_here:
+            return ours[0].commit_id
+        if not seen_here & seen_there:
             raise MergeConflict(f"{source} and {into} have no commit in common")
-        new_ours = [c for c in ours if c.commit_id not in shared]
-        new_theirs = [c for c in theirs if c.commit_id not in shared]
+        # What one side did that the other has not seen; a merge of the other side is nothing new to it.
+        new_ours = [c for c in ours if c.commit_id not in seen_there and c.merged_id not in seen_there]
+        new_theirs = [c for c in theirs if c.commit_id not in seen_here and c.merged_id not in seen_here]
         for c in new_ours + new_theirs:
             if c.base and c.operation != "compact":
                 raise MergeConflict(f"commit {c.commit_id} replaced the whole table since the split")
-        split_columns = ours[len(new_ours)].columns
+        split_columns = next(c.columns for c in theirs if c.commit_id in seen_here)
         if any(c.columns != split_columns for c in new_ours) and any(c.columns != split_columns for c in new_theirs):
             raise MergeConflict("both branches changed the columns since the split")
         # The side that evolved, if any, gives the columns of the result.
@@ -388,7 +400,10 @@ class VersionedTable:
             other = self._changes(ours_rows, columns).select(*self.keys)
             if not changes.select(*self.keys).join(other, self.keys, "left_semi").isEmpty():
                 raise MergeConflict(f"{source} and {into} changed the same keys")
-        return self._commit(logs, changes, ours[0].commit_id, into, at, "merge branch", columns, unique=True)
+        return self._commit(
+            logs, changes, ours[0].commit_id, into, at, "merge branch", columns, unique=True,
+            merged_id=theirs[0].commit_id,
+        )
 
     # ------------------------------------------------------ schema evolution
 

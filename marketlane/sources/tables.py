@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane import schemas
+from marketlane.settings import held
 
 
 def create_namespaces(spark: SparkSession, root: str, names: list[str]) -> list[str]:
@@ -78,7 +79,8 @@ def insert_overwrite(df: DataFrame, table: str) -> None:
     """Replace only the partitions that occur in ``df``; running it again changes nothing."""
     spark = df.sparkSession
     columns = spark.table(table).columns
-    df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with held(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*columns).write.insertInto(table, overwrite=True)
 
 
 def scan(spark: SparkSession, table: str) -> DataFrame:
