@@ -14,7 +14,7 @@ import sys
 import time
 from pathlib import Path
 
-from marketlane import registry, session
+from marketlane import registry, scratch, session
 
 HEADLINE = [
     "o1_silver_orders_enriched",
@@ -64,6 +64,7 @@ def main() -> None:
         fn = registry.QUERIES[name]
         timed(fn, spark, folder)
         seconds[name] = round(statistics.median(timed(fn, spark, folder) for _ in range(repeats)), 3)
+    scratch.clear(spark)
     spark.stop()
     scale = Path(folder).name.removeprefix("sf")
     total = round(sum(seconds.values()), 3)

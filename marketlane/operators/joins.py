@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlane import scratch
 
-# A lookup side is broadcast only when it was counted to have no more rows than this.
+# A lookup side is broadcast only when it was measured to have no more rows and
+# no more bytes of text than this.
 BROADCAST_ROWS = 500_000
+BROADCAST_TEXT_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds more than this share of the fact rows, so there
 # are fewer than 1/HOT_SHARE hot keys whatever the data.
 HOT_SHARE = 1 / 512
@@ -16,9 +20,16 @@ HOT_SHARE = 1 / 512
 NULL_FAN = 512
 
 
-def few_rows(df: DataFrame, most: int) -> bool:
-    """Whether ``df`` has at most ``most`` rows, reading no more than needed to tell."""
-    return df.limit(most + 1).count() <= most
+def is_small(df: DataFrame, most_rows: int | None = None) -> bool:
+    """Whether ``df`` fits a broadcast, reading no more rows than needed to tell."""
+    limit = BROADCAST_ROWS if most_rows is None else most_rows
+    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    width = reduce(lambda a, b: a + b, text, F.lit(0))
+    measured = df.limit(limit + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    )
+    found = measured.first()
+    return found["rows"] <= limit and found["bytes"] <= BROADCAST_TEXT_BYTES
 
 
 def hot_keys(counts: DataFrame, key: str, rows: str = "rows") -> DataFrame:
@@ -64,14 +75,13 @@ def lookup_join(
     broadcast_rows: int | None = None,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a lookup table: broadcast when counted small, salted otherwise.
+    """Left join to a lookup table: broadcast when measured small, salted otherwise.
 
     Salting needs the hot keys, which take a pass over the key column.
     ``keys_from`` names a frame that holds the same keys but is cheaper to
     read, such as the fact before an earlier join.
     """
-    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    if few_rows(lookup.select(key), limit):
+    if is_small(lookup, broadcast_rows):
         return fact.join(F.broadcast(lookup), key, "left")
     keys = fact if keys_from is None else keys_from
     counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))

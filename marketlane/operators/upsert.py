@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlane.functions.columns import ts_lit
-from marketlane.operators.joins import BROADCAST_ROWS, few_rows
+from marketlane.operators.joins import is_small
 from marketlane.operators.quality import duplicate_keys
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -43,10 +43,6 @@ def newest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
-def _small(source: DataFrame, broadcast_rows: int | None) -> bool:
-    return few_rows(source, BROADCAST_ROWS if broadcast_rows is None else broadcast_rows)
-
-
 def _updates(source: DataFrame, keys: list[str], update: list[str], small: bool) -> DataFrame:
     side = source.select(
         *keys, F.lit(True).alias("_arrived"), *[F.col(c).alias(f"_new_{c}") for c in update]
@@ -95,7 +91,7 @@ def upsert(
     NULL. ``source`` is read several times: pass a stored table.
     """
     require_unique(source, keys)
-    small = _small(source, broadcast_rows)
+    small = is_small(source, broadcast_rows)
     joined = target.join(_updates(source, keys, update, small), keys, "left")
     return _updated(joined, target, update).unionByName(_inserts(target, source, keys, insert, small))
 
@@ -110,6 +106,6 @@ def changed_rows(
 ) -> DataFrame:
     """Only the rows the merge updates or inserts, in their new form."""
     require_unique(source, keys)
-    small = _small(source, broadcast_rows)
+    small = is_small(source, broadcast_rows)
     joined = target.join(_updates(source, keys, update, small), keys, "inner")
     return _updated(joined, target, update).unionByName(_inserts(target, source, keys, insert, small))

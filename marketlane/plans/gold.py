@@ -100,10 +100,11 @@ def favourites(rows: DataFrame, key: str, choices: dict[str, str]) -> DataFrame:
     that sorts first, NULL last. Counting comes first, so a key with very many
     rows is one counter per distinct value by the time it is shuffled.
     """
+    names = list(choices)
     tagged = F.array(
         *[
-            F.struct(F.lit(out).alias("choice"), F.col(column).cast("string").alias("value"))
-            for out, column in choices.items()
+            F.struct(F.lit(i).alias("choice"), F.col(choices[out]).cast("string").alias("value"))
+            for i, out in enumerate(names)
         ]
     )
     counted = (
@@ -114,8 +115,8 @@ def favourites(rows: DataFrame, key: str, choices: dict[str, str]) -> DataFrame:
     preference = F.struct(-F.col("uses"), F.col("value").isNull(), F.col("value"))
     return counted.groupBy(key).agg(
         *[
-            F.min(F.when(F.col("choice") == out, preference)).getField("value").alias(out)
-            for out in choices
+            F.min(F.when(F.col("choice") == i, preference)).getField("value").alias(out)
+            for i, out in enumerate(names)
         ]
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marketlane import schemas, scratch
 from marketlane.functions import columns as C
 from marketlane.functions.money import money_avg, money_sum
-from marketlane.operators.joins import BROADCAST_ROWS, few_rows, hot_keys, lookup_join, salted_join
+from marketlane.operators.joins import hot_keys, is_small, lookup_join, salted_join
 
 
 def live_orders(orders: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def enrich_orders(
     fact = live_orders(orders).where(F.col("total_amount") > 0)
     history = scratch.durable(customer_history(orders), "customer-history")
     buyers = history.join(_customer_columns(customers), "customer_id", "left")
-    if few_rows(history, BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+    if is_small(buyers, broadcast_rows):
         joined = fact.join(F.broadcast(buyers), "customer_id", "left")
     else:
         hot = scratch.durable(hot_keys(history, "customer_id", "lifetime_orders"), "hot-keys")

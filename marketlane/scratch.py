@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_given: list[str] = []
 
 
 def root(spark: SparkSession) -> str:
@@ -32,7 +33,9 @@ def root(spark: SparkSession) -> str:
 
 def new_dir(spark: SparkSession, label: str) -> str:
     """A path nobody has used yet; the caller writes to it."""
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -41,3 +44,17 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = new_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete what this process put in the scratch folder; returns the number of paths deleted.
+
+    Call it when no frame built on these tables is needed any more.
+    """
+    deleted = 0
+    for path in _given:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        deleted += bool(fs.delete(target, True))
+    _given.clear()
+    return deleted

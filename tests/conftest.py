@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from marketlane import session  # noqa: E402
+from marketlane import scratch, session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,6 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     spark = session.build(8, "tests")
     yield spark
+    scratch.clear(spark)
     spark.stop()
 
 

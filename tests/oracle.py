@@ -62,7 +62,7 @@ def difference(df, con, text: str) -> str | None:
 
 
 def main() -> int:
-    from marketlane import registry, session
+    from marketlane import registry, scratch, session
 
     args = sys.argv[1:]
     sf = "0.01"
@@ -86,6 +86,7 @@ def main() -> int:
             problem, kind = f"{type(error).__name__}: {str(error)[:600]}", ""
         bad += problem is not None
         print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - start:.2f}s {problem or kind}", flush=True)
+    scratch.clear(spark)
     spark.stop()
     return bad
 

@@ -70,6 +70,13 @@ def test_unmatched_dimension_rows_stay(hot, broadcast_rows):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_wide_rows_are_not_small(hot, monkeypatch):
+    lookup = hot[1]
+    assert joins.is_small(lookup) and not joins.is_small(lookup, 400) and joins.is_small(lookup, 401)
+    monkeypatch.setattr(joins, "BROADCAST_TEXT_BYTES", 1000)
+    assert not joins.is_small(lookup)
+
+
 def test_insert_absent_keeps_first(spark, rows):
     have = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, v INT")
     more = spark.createDataFrame([("b", 9), ("c", 3), ("c", 3)], "k STRING, v INT")
