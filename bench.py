@@ -1,6 +1,6 @@
 """Time the headline queries; prints one JSON line.
 
-Each query runs once to warm up and then BENCH_REPEATS times (3 by default);
+Each query runs once to warm up and then BENCH_REPEATS times (2 by default);
 its figure is the median. A run covers building the plan, the jobs that takes,
 and computing every row of the result.
 """
@@ -56,7 +56,7 @@ def timed(fn, spark, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = session.build(cores, "bench")
     seconds = {}
