@@ -21,15 +21,17 @@ NULL_FAN = 512
 
 
 def is_small(df: DataFrame, most_rows: int | None = None) -> bool:
-    """Whether ``df`` fits a broadcast, reading no more rows than needed to tell."""
-    limit = BROADCAST_ROWS if most_rows is None else most_rows
+    """Whether ``df`` fits a broadcast.
+
+    Rows are counted first, which for a stored table reads file footers only.
+    The text is measured when the rows are few. A limit would not be cheaper:
+    it moves up to that many rows from every partition into one task.
+    """
+    if df.count() > (BROADCAST_ROWS if most_rows is None else most_rows):
+        return False
     text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
     width = reduce(lambda a, b: a + b, text, F.lit(0))
-    measured = df.limit(limit + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
-    )
-    found = measured.first()
-    return found["rows"] <= limit and found["bytes"] <= BROADCAST_TEXT_BYTES
+    return (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_TEXT_BYTES
 
 
 def hot_keys(counts: DataFrame, key: str, rows: str = "rows") -> DataFrame:

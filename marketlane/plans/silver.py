@@ -91,7 +91,8 @@ def enrich_orders(
     fact = live_orders(orders).where(F.col("total_amount") > 0)
     history = scratch.durable(customer_history(orders), "customer-history")
     buyers = history.join(_customer_columns(customers), "customer_id", "left")
-    if is_small(buyers, broadcast_rows):
+    # The stored history is measured first, so the join is only measured when it is cheap to make.
+    if is_small(history, broadcast_rows) and is_small(buyers, broadcast_rows):
         joined = fact.join(F.broadcast(buyers), "customer_id", "left")
     else:
         hot = scratch.durable(hot_keys(history, "customer_id", "lifetime_orders"), "hot-keys")

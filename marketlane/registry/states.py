@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,13 +91,15 @@ class States:
         )
 
 
-@lru_cache(maxsize=8)
-def _states(app: str, folder: str) -> States:
-    return States(SparkSession.getActiveSession(), folder)
+_made: dict[tuple[str, str], States] = {}
 
 
 def states(spark: SparkSession, folder: str) -> States:
-    return _states(spark.sparkContext.applicationId, folder)
+    """The versions for a folder, written once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _made:
+        _made[key] = States(spark, folder)
+    return _made[key]
 
 
 # SQL of the same tables.

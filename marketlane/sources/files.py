@@ -44,7 +44,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
 
 def write_json_report(report: DataFrame, path: str) -> None:
     """A one-row report as a JSON file."""
-    report.limit(1).write.mode("overwrite").json(path)
+    report.coalesce(1).write.mode("overwrite").json(path)
 
 
 def report_document(report: DataFrame) -> DataFrame:
