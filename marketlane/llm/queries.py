@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import url_rules
+from marketlane.llm import labelled, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,3 +63,30 @@ def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's address judged by the listed rules, else by the pattern rules."""
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_rules.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _scored(spark: SparkSession, folder: str, module, parts: int, held, threshold: float) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = labelled.remainder("doc_id", parts)
+    model = module.train(docs, table(spark, folder, "labels"), ~held(left))
+    return module.score(docs, model).select(
+        "doc_id",
+        held(left).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+TOXIC_FROM, GOOD_FROM = 0.7, 0.3
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled documents outside the held-out third."""
+    return _scored(spark, folder, toxicity, 3, lambda left: left == 1, TOXIC_FROM)
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from labelled documents outside the held-out fifth."""
+    return _scored(spark, folder, quality, 5, lambda left: left == 0, GOOD_FROM)
