@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, quality, toxicity, url_rules
+from marketlane.llm import labelled, line_dedup, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,3 +90,29 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learnt from labelled documents outside the held-out fifth."""
     return _scored(spark, folder, quality, 5, lambda left: left == 0, GOOD_FROM)
+
+
+LINE_DOCUMENTS = 10
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LINES_SQL = f"""
+WITH line AS (
+  SELECT row_id, doc_id, pos, line, translate(trim(line, {_SPACE}), '{_UPPER}', '{_LOWER}') AS key
+  FROM (SELECT row_id, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos
+        FROM (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
+              FROM documents))),
+frequent AS (
+  SELECT key FROM line WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row_id) >= {LINE_DOCUMENTS})
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM line l LEFT JOIN frequent f ON l.key = f.key
+GROUP BY row_id, doc_id
+"""
+
+
+@query("op2_line_dedup", LINES_SQL)
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines that stand in ten documents or more."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = line_dedup.drop(docs, line_dedup.build(docs, LINE_DOCUMENTS))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
