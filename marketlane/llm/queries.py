@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, line_dedup, quality, toxicity, url_rules
+from marketlane.llm import labelled, line_dedup, near_dups, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +116,12 @@ def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out = line_dedup.drop(docs, line_dedup.build(docs, LINE_DOCUMENTS))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+NEAR_PERCENT = 85
+
+
+@query("op8_near_dups")
+def op8_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the component of its near-duplicates."""
+    return near_dups.link(table(spark, folder, "documents").select("doc_id", "text"), NEAR_PERCENT)
