@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, line_dedup, near_dups, quality, toxicity, url_rules
+from marketlane.llm import labelled, line_dedup, near_dups, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,3 +125,10 @@ NEAR_PERCENT = 85
 def op8_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the component of its near-duplicates."""
     return near_dups.link(table(spark, folder, "documents").select("doc_id", "text"), NEAR_PERCENT)
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids, and whether they decode to its text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.read()).select("doc_id", "ids", "n_tokens", "lossless")
