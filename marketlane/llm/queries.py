@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, line_dedup, near_dups, pieces, quality, toxicity, url_rules
+from marketlane.llm import labelled, line_dedup, near_dups, nearest, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,3 +132,10 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids, and whether they decode to its text."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pieces.encode(docs, pieces.read()).select("doc_id", "ids", "n_tokens", "lossless")
+
+
+@query("op10_nearest")
+def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, F.col("vec_id") % 20 == 0, 20)
