@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, line_dedup, near_dups, nearest, pieces, quality, toxicity, url_rules
+from marketlane.llm import labelled, line_dedup, main_text, near_dups, nearest, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,3 +139,11 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest found for every twentieth vector."""
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return nearest.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op1_main_text")
+def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    out = main_text.with_text(pages)
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
