@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import labelled, line_dedup, main_text, near_dups, nearest, pieces, quality, toxicity, url_rules
+from marketlane.llm import decontaminate, labelled, line_dedup, main_text, near_dups, nearest, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,3 +147,10 @@ def op1_main_text(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
     out = main_text.with_text(pages)
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and test item that align."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, folder, "benchmark"))
