@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import decontaminate, labelled, line_dedup, main_text, near_dups, nearest, pieces, quality, toxicity, url_rules
+from marketlane.llm import decontaminate, labelled, line_dedup, main_text, near_dups, nearest, personal, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -154,3 +154,20 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and test item that align."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.matches(docs, table(spark, folder, "benchmark"))
+
+
+@query("op7_personal_data")
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's personal data."""
+    found = personal.find(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, personal.BASE),
+        F.sha2(personal.listing(base).cast("binary"), 256).alias("base_sha256"),
+        personal.listing(F.col("spans")).alias("spans"),
+    )
