@@ -20,7 +20,7 @@ def with_distinct_counts(
     """
     sums = df.groupBy(*keys).agg(*[column.alias(name) for name, column in measures.items()])
     counts = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        *[F.countDistinct(column).cast("int").alias(name) for name, column in distinct.items()]
+        *[F.countDistinct(column).alias(name) for name, column in distinct.items()]
     )
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     return sums.join(counts, same).drop(*[f"_{k}" for k in keys])

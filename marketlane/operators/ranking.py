@@ -154,5 +154,5 @@ def score_scales(
 
     columns = [
         of(scale, ntile("row_number", rows, n)).alias(out) for out, (scale, n) in (tiles or {}).items()
-    ] + [of(scale, F.col("rank")).cast("int").alias(out) for out, scale in (ranks or {}).items()]
+    ] + [of(scale, F.col("rank")).alias(out) for out, scale in (ranks or {}).items()]
     return placed.groupBy(*keys).agg(*columns)

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from marketlane import schemas, scratch
 from marketlane.functions import columns as C
 from marketlane.functions.money import (
-    cents,
+    of_steps,
     count_where,
     money_avg,
     money_sum,
     money_sum_where,
     percent_where,
     ratio_avg,
+    steps,
 )
 from marketlane.operators.aggregate import with_distinct_counts
 from marketlane.operators.ranking import score_scales
@@ -61,7 +62,7 @@ def daily_sales(silver: DataFrame, now: dt.datetime) -> DataFrame:
     total = F.col("total_amount")
     channel, segment, paid = F.col("channel_category"), F.col("customer_segment"), F.col("payment_method")
     measures = {
-        "total_items_sold": F.sum("quantity").cast("int"),
+        "total_items_sold": F.sum("quantity"),
         "new_customers": count_where(F.col("is_first_order")),
         "repeat_customers": count_where(F.col("is_repeat_customer")),
         "total_revenue": money_sum(total),
@@ -133,7 +134,7 @@ def customer_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
             "customer_state",
         )
         .agg(
-            F.countDistinct("order_id").cast("int").alias("total_orders"),
+            F.countDistinct("order_id").alias("total_orders"),
             money_sum("total_amount").alias("lifetime_value"),
             money_avg("total_amount").alias("avg_order_value"),
             F.min("order_date").alias("first_order_date"),
@@ -218,11 +219,11 @@ def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
         valid_rows(silver),
         ["product_id", "product_name", "product_category"],
         {
-            "units_sold": F.sum("quantity").cast("int"),
+            "units_sold": F.sum("quantity"),
             "total_revenue": money_sum(total),
             "avg_selling_price": money_avg("unit_price"),
-            "_recent": F.sum(F.when(recent, cents(total)).otherwise(0)),
-            "_before": F.sum(F.when(before, cents(total)).otherwise(0)),
+            "_recent": F.sum(F.when(recent, steps(total)).otherwise(F.lit(0).cast("decimal(20,0)"))),
+            "_before": F.sum(F.when(before, steps(total)).otherwise(F.lit(0).cast("decimal(20,0)"))),
             "_units": F.sum(F.when(recent, F.col("quantity")).otherwise(0)),
         },
         {"total_orders": "order_id", "unique_customers": "customer_id"},
@@ -237,8 +238,8 @@ def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
         "total_revenue",
         "avg_selling_price",
         "unique_customers",
-        (F.sum("_recent").over(whole).cast("double") / 100.0).alias("revenue_last_30d"),
-        (F.sum("_before").over(whole).cast("double") / 100.0).alias("revenue_prev_30d"),
+        of_steps(F.sum("_recent").over(whole)).alias("revenue_last_30d"),
+        of_steps(F.sum("_before").over(whole)).alias("revenue_prev_30d"),
         F.sum("_units").over(whole).alias("units_last_30d"),
     )
 
@@ -262,7 +263,7 @@ def days_of_stock(stock: Column, units: Column) -> Column:
     """Whole days the stock lasts at the recent daily rate; NULL when nothing sold."""
     return F.when(
         F.coalesce(units, F.lit(0)) != 0,
-        (stock.cast("double") / (units.cast("double") / F.lit(float(RECENT_DAYS)))).cast("int"),
+        (stock.cast("double") / (units.cast("double") / F.lit(float(RECENT_DAYS)))).cast("bigint"),
     )
 
 
@@ -299,7 +300,7 @@ def product_performance(
     )
     recent, before, units = F.col("revenue_last_30d"), F.col("revenue_prev_30d"), F.col("units_last_30d")
     mean = metrics.agg(
-        (F.sum(cents(recent)).cast("double") / 100.0 / F.count(recent)).alias("mean")
+        (of_steps(F.sum(steps(recent))) / F.count(recent)).alias("mean")
     ).scalar()
     joined = metrics.join(ranks, ["product_id", "_variant"]).join(stock, "product_id", "left")
     derived = {

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlane.functions.money import cents
+from marketlane.functions.money import steps
 from marketlane.plans.gold import valid_rows
 
 CHURN_BAR = 0.5
@@ -26,7 +26,7 @@ def quick_view(silver: DataFrame, customers: DataFrame, products: DataFrame, as_
     month = valid_rows(silver).where(
         (F.col("order_year") == as_of.year) & (F.col("order_month") == as_of.month)
     )
-    revenue = (F.sum(cents("total_amount")).cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(20,2)")
+    revenue = (F.sum(steps("total_amount")).cast("decimal(30,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(20,2)")
     rows = F.count(F.lit(1)).cast("string")
     return (
         month.agg(F.lit(REVENUE).alias("metric"), revenue.cast("string").alias("value"))

@@ -152,7 +152,7 @@ def customer_profiles(
     totals = kept.groupBy("customer_id").agg(
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.countDistinct("order_id").cast("int").alias("total_orders"),
+        F.countDistinct("order_id").alias("total_orders"),
         money_sum("total_amount").alias("lifetime_value"),
         money_avg("total_amount").alias("avg_order_value"),
     )

@@ -6,8 +6,8 @@ import re
 
 
 def msum(x: str, where: str = "") -> str:
-    """Sum of an amount in whole cents."""
-    return f"CAST(SUM(CAST(floor(({x}) * 100 + 0.5) AS BIGINT)){where} AS DOUBLE) / 100"
+    """Exact sum of an amount."""
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,6))){where} AS DOUBLE)"
 
 
 def mavg(x: str) -> str:
@@ -19,11 +19,11 @@ def msum_if(cond: str, x: str) -> str:
 
 
 def ravg(x: str) -> str:
-    return f"CAST(SUM(CAST(floor({x} * 1000000 + 0.5) AS DECIMAL(20,0))) AS DOUBLE) / 1000000 / COUNT({x})"
+    return f"CAST(SUM(CAST(floor({x} * 1000000000 + 0.5) AS DECIMAL(20,0))) AS DOUBLE) / 1000000000 / COUNT({x})"
 
 
 def n_if(cond: str) -> str:
-    return f"CAST(COUNT(*) FILTER (WHERE {cond}) AS INT)"
+    return f"CAST(COUNT(*) FILTER (WHERE {cond}) AS BIGINT)"
 
 
 def pct_if(cond: str) -> str:
@@ -116,7 +116,7 @@ WHERE l.total_amount > 0""",
     "profiles": f"""
 SELECT c.customer_id, trim(c.first_name) || ' ' || trim(c.last_name) AS customer_name,
   lower(trim(c.email)) AS customer_email, c.customer_segment, c.city AS customer_city, c.state AS customer_state,
-  c.registration_date, t.first_order_date, t.last_order_date, CAST(coalesce(t.n, 0) AS INT) AS total_orders,
+  c.registration_date, t.first_order_date, t.last_order_date, CAST(coalesce(t.n, 0) AS BIGINT) AS total_orders,
   t.spent AS lifetime_value, t.mean AS avg_order_value, {SPEND_TIER.format(v='t.spent')} AS customer_tier,
   {CHURN.format(d="date_diff('day', t.last_order_date, DATE '2001-08-02')")} AS churn_risk_score,
   TRUE AS is_active, TIMESTAMP '2001-08-02 00:00:00' AS updated_at
@@ -128,8 +128,8 @@ FROM b_customers c LEFT JOIN (
 WHERE c.email IS NOT NULL""",
     "daily": f"""
 SELECT order_date AS sale_date, CAST(year(order_date) AS INT) AS sale_year, CAST(month(order_date) AS INT) AS sale_month,
-  CAST(count(DISTINCT order_id) AS INT) AS total_orders, CAST(sum(quantity) AS INT) AS total_items_sold,
-  CAST(count(DISTINCT customer_id) AS INT) AS unique_customers,
+  CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_items_sold,
+  CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers,
   {n_if('is_first_order')} AS new_customers, {n_if('is_repeat_customer')} AS repeat_customers,
   {msum('total_amount')} AS total_revenue, {mavg('total_amount')} AS avg_order_value,
   max(total_amount) AS max_order_value, {pct_if("status = 'COMPLETED'")} AS completion_rate,
@@ -147,7 +147,7 @@ SELECT order_date AS sale_date, CAST(year(order_date) AS INT) AS sale_year, CAST
 FROM valid GROUP BY order_date""",
     "spend": f"""
 SELECT customer_id, customer_name, customer_email, customer_segment, customer_city, customer_state,
-  CAST(count(DISTINCT order_id) AS INT) AS total_orders, {msum('total_amount')} AS lifetime_value,
+  CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders, {msum('total_amount')} AS lifetime_value,
   {mavg('total_amount')} AS avg_order_value, min(order_date) AS first_order_date, max(order_date) AS last_order_date,
   CAST(date_diff('day', max(order_date), DATE '2001-08-02') AS INT) AS days_since_last_order
 FROM valid GROUP BY ALL""",
@@ -165,8 +165,8 @@ JOIN (SELECT customer_id,
     CAST(ntile(5) OVER (ORDER BY days_since_last_order, customer_id) AS INT) AS recency_score,
     CAST(ntile(5) OVER (ORDER BY total_orders DESC, customer_id) AS INT) AS frequency_score,
     CAST(ntile(5) OVER (ORDER BY lifetime_value DESC, customer_id) AS INT) AS monetary_score,
-    CAST(rank() OVER (ORDER BY lifetime_value DESC) AS INT) AS lifetime_value_rank,
-    CAST(rank() OVER (PARTITION BY customer_segment ORDER BY lifetime_value DESC) AS INT) AS segment_rank
+    CAST(rank() OVER (ORDER BY lifetime_value DESC) AS BIGINT) AS lifetime_value_rank,
+    CAST(rank() OVER (PARTITION BY customer_segment ORDER BY lifetime_value DESC) AS BIGINT) AS segment_rank
   FROM spend) r ON s.customer_id = r.customer_id
 LEFT JOIN (SELECT customer_id, product_category AS v FROM valid GROUP BY customer_id, product_category QUALIFY row_number() OVER
   (PARTITION BY customer_id ORDER BY count(*) DESC, product_category NULLS LAST) = 1) fc ON s.customer_id = fc.customer_id
@@ -176,9 +176,9 @@ LEFT JOIN (SELECT customer_id, order_source AS v FROM valid GROUP BY customer_id
   (PARTITION BY customer_id ORDER BY count(*) DESC, order_source NULLS LAST) = 1) fs ON s.customer_id = fs.customer_id
 LEFT JOIN b_customers c ON s.customer_id = c.customer_id""",
     "moves": f"""
-SELECT product_id, product_name, product_category, CAST(count(DISTINCT order_id) AS INT) AS total_orders,
-  CAST(sum(quantity) AS INT) AS units_sold, {msum('total_amount')} AS total_revenue,
-  {mavg('unit_price')} AS avg_selling_price, CAST(count(DISTINCT customer_id) AS INT) AS unique_customers,
+SELECT product_id, product_name, product_category, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
+  CAST(sum(quantity) AS BIGINT) AS units_sold, {msum('total_amount')} AS total_revenue,
+  {mavg('unit_price')} AS avg_selling_price, CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers,
   {msum_if("order_date >= DATE '2001-07-03'", 'total_amount')} AS revenue_last_30d,
   {msum_if("order_date BETWEEN DATE '2001-06-03' AND DATE '2001-07-02'", 'total_amount')} AS revenue_prev_30d,
   CAST(coalesce(sum(quantity) FILTER (WHERE order_date >= DATE '2001-07-03'), 0) AS BIGINT) AS units_last_30d
@@ -193,11 +193,11 @@ SELECT m.product_id, m.product_name, m.product_category, m.total_orders, m.units
        THEN CASE WHEN m.revenue_last_30d > m.revenue_prev_30d * CAST(1.1 AS DOUBLE) THEN 'Star' ELSE 'Cash Cow' END
        WHEN m.revenue_last_30d > m.revenue_prev_30d * CAST(1.1 AS DOUBLE) THEN 'Question Mark'
        ELSE 'Dog' END AS performance_quadrant,
-  CAST(rank() OVER (ORDER BY m.total_revenue DESC) AS INT) AS revenue_rank,
-  CAST(rank() OVER (PARTITION BY m.product_category ORDER BY m.total_revenue DESC) AS INT) AS category_rank,
+  CAST(rank() OVER (ORDER BY m.total_revenue DESC) AS BIGINT) AS revenue_rank,
+  CAST(rank() OVER (PARTITION BY m.product_category ORDER BY m.total_revenue DESC) AS BIGINT) AS category_rank,
   s.stock_quantity AS current_stock,
   CASE WHEN m.units_last_30d <> 0
-       THEN CAST(trunc(s.stock_quantity / (m.units_last_30d / CAST(30 AS DOUBLE))) AS INT) END AS days_of_stock_left,
+       THEN CAST(trunc(s.stock_quantity / (m.units_last_30d / CAST(30 AS DOUBLE))) AS BIGINT) END AS days_of_stock_left,
   m.units_last_30d > 0 AND s.stock_quantity < m.units_last_30d / CAST(30 AS DOUBLE) * 7 AS reorder_recommended,
   TIMESTAMP '2001-08-02 00:00:00' AS last_calculated
 FROM moves m CROSS JOIN p_mean LEFT JOIN b_products s ON m.product_id = s.product_id""",

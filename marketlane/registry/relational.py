@@ -13,7 +13,7 @@ from marketlane.registry.base import AS_OF, query
 from marketlane.registry.changes import CUSTOMER_SQL, customer_loads, vsql
 from marketlane.registry.products import bronze, dag_orders, job_orders, silver_orders, stored_silver
 from marketlane.registry.reference_sql import mavg, msum, msum_if, pct_if, sql
-from marketlane.sources import adapters
+from marketlane.sources import adapters, files
 
 # ------------------------------------------------------------------- E
 
@@ -184,6 +184,19 @@ def f3(spark, d):
     )
 
 
+@query(
+    "f3_sub_cent_sums",
+    sql("""SELECT c_mktsegment AS segment, CAST(SUM(CAST(c_acctbal / 1000 AS DECIMAL(28,6))) AS DOUBLE) AS total,
+  CAST(SUM(CAST(c_acctbal / 1000 AS DECIMAL(28,6))) AS DOUBLE) / count(c_acctbal) AS mean FROM customer GROUP BY c_mktsegment"""),
+)
+def f3_sub_cent(spark, d):
+    customers = files.read_parquet(spark, f"{d}/customer.parquet")
+    fee = F.col("c_acctbal") / 1000
+    return customers.groupBy(F.col("c_mktsegment").alias("segment")).agg(
+        money_sum(fee).alias("total"), money_avg(fee).alias("mean")
+    )
+
+
 @query(
     "f4_conditional_sums",
     sql(f"""SELECT order_date, {msum_if("payment_method = 'PayPal'", 'total_amount')} AS paypal,
@@ -369,7 +382,7 @@ def g5(spark, d):
 @query(
     "g6_against_overall_mean",
     sql("""SELECT customer_id, lifetime_value,
-  CAST(sum(CAST(floor(lifetime_value * 100 + 0.5) AS BIGINT)) OVER () AS DOUBLE) / 100 / count(lifetime_value) OVER () AS mean
+  CAST(sum(CAST(lifetime_value AS DECIMAL(28,6))) OVER () AS DOUBLE) / count(lifetime_value) OVER () AS mean
 FROM spend"""),
 )
 def g6(spark, d):

@@ -34,30 +34,30 @@ data_quality_flag STRING, processed_at TIMESTAMP_NTZ"""
 SILVER_PROFILES = """
 customer_id STRING, customer_name STRING, customer_email STRING, customer_segment STRING,
 customer_city STRING, customer_state STRING, registration_date DATE, first_order_date DATE,
-last_order_date DATE, total_orders INT, lifetime_value DOUBLE, avg_order_value DOUBLE,
+last_order_date DATE, total_orders BIGINT, lifetime_value DOUBLE, avg_order_value DOUBLE,
 customer_tier STRING, churn_risk_score DOUBLE, is_active BOOLEAN, updated_at TIMESTAMP_NTZ"""
 
 GOLD_DAILY = """
-sale_date DATE, sale_year INT, sale_month INT, total_orders INT, total_items_sold INT,
-unique_customers INT, new_customers INT, repeat_customers INT, total_revenue DOUBLE,
+sale_date DATE, sale_year INT, sale_month INT, total_orders BIGINT, total_items_sold BIGINT,
+unique_customers BIGINT, new_customers BIGINT, repeat_customers BIGINT, total_revenue DOUBLE,
 avg_order_value DOUBLE, max_order_value DOUBLE, completion_rate DOUBLE, avg_profit_margin DOUBLE,
 total_discounts DOUBLE, weekend_order_pct DOUBLE, online_revenue DOUBLE, instore_revenue DOUBLE,
-partner_revenue DOUBLE, credit_card_orders INT, paypal_orders INT, other_payment_orders INT,
+partner_revenue DOUBLE, credit_card_orders BIGINT, paypal_orders BIGINT, other_payment_orders BIGINT,
 premium_revenue DOUBLE, standard_revenue DOUBLE, basic_revenue DOUBLE, calculated_at TIMESTAMP_NTZ"""
 
 GOLD_CUSTOMERS = """
 customer_id STRING, customer_name STRING, customer_email STRING, customer_segment STRING,
 customer_tier STRING, customer_city STRING, customer_state STRING, registration_date DATE,
-first_order_date DATE, last_order_date DATE, days_since_last_order INT, total_orders INT,
+first_order_date DATE, last_order_date DATE, days_since_last_order INT, total_orders BIGINT,
 lifetime_value DOUBLE, avg_order_value DOUBLE, favorite_category STRING, favorite_payment_method STRING,
 favorite_channel STRING, recency_score INT, frequency_score INT, monetary_score INT, rfm_score DOUBLE,
-churn_risk_score DOUBLE, lifetime_value_rank INT, segment_rank INT, last_updated TIMESTAMP_NTZ"""
+churn_risk_score DOUBLE, lifetime_value_rank BIGINT, segment_rank BIGINT, last_updated TIMESTAMP_NTZ"""
 
 GOLD_PRODUCTS = """
-product_id STRING, product_name STRING, product_category STRING, total_orders INT, units_sold INT,
-total_revenue DOUBLE, avg_selling_price DOUBLE, unique_customers INT, revenue_last_30d DOUBLE,
-revenue_prev_30d DOUBLE, revenue_growth_pct DOUBLE, performance_quadrant STRING, revenue_rank INT,
-category_rank INT, current_stock INT, days_of_stock_left INT, reorder_recommended BOOLEAN,
+product_id STRING, product_name STRING, product_category STRING, total_orders BIGINT, units_sold BIGINT,
+total_revenue DOUBLE, avg_selling_price DOUBLE, unique_customers BIGINT, revenue_last_30d DOUBLE,
+revenue_prev_30d DOUBLE, revenue_growth_pct DOUBLE, performance_quadrant STRING, revenue_rank BIGINT,
+category_rank BIGINT, current_stock INT, days_of_stock_left BIGINT, reorder_recommended BOOLEAN,
 last_calculated TIMESTAMP_NTZ"""
 
 # Table name -> (columns, partition columns).
