@@ -116,20 +116,61 @@ def o8(spark, d):
     return kpi.quick_view(silver_table, customers, products, AS_OF)
 
 
+_RAW = {  # table: adapter, CSV columns, date columns
+    "customers": (
+        adapters.customers,
+        "customer_id STRING, email STRING, first_name STRING, last_name STRING, city STRING, state STRING, "
+        "registration_date STRING, customer_segment STRING",
+        ("registration_date",),
+    ),
+    "products": (
+        adapters.products,
+        "product_id STRING, product_name STRING, category STRING, price DOUBLE, stock_quantity INT",
+        (),
+    ),
+    "orders": (
+        adapters.orders,
+        "order_id STRING, customer_id STRING, order_date STRING, product_id STRING, quantity INT, status STRING, "
+        "payment_method STRING, total_amount DOUBLE, order_source STRING",
+        ("order_date",),
+    ),
+}
+
+
 @query(
     "o21_bronze_ingest",
-    sql("""SELECT customer_id, email, first_name, last_name, city, state, registration_date, customer_segment,
-  TIMESTAMP '2001-08-02 00:00:00' AS ingested_at, 'pending' AS data_quality_flag FROM b_customers"""),
+    sql("""SELECT 'customers' AS source_table, customer_id AS record_key, registration_date AS record_date, email AS label,
+  CAST(NULL AS DOUBLE) AS amount, TIMESTAMP '2001-08-02 00:00:00' AS ingested_at, 'pending' AS data_quality_flag FROM b_customers
+UNION ALL SELECT 'products', product_id, NULL, product_name, price, TIMESTAMP '2001-08-02 00:00:00', 'pending' FROM b_products
+UNION ALL SELECT 'orders', order_id, order_date, status, total_amount, TIMESTAMP '2001-08-02 00:00:00', 'pending' FROM b_orders"""),
 )
 def o21(spark, d):
-    raw_csv = scratch.new_dir(spark, "raw-customers")
-    files.write_csv(adapters.customers(spark, d).drop("ingested_at"), raw_csv)
-    schema = (
-        "customer_id STRING, email STRING, first_name STRING, last_name STRING, city STRING, state STRING, "
-        "registration_date STRING, customer_segment STRING"
+    """All three raw tables, written as CSV, ingested, and read from the raw layer."""
+    layer = {}
+    for name, (adapter, schema, dates) in _RAW.items():
+        raw_csv = scratch.new_dir(spark, f"raw-{name}")
+        columns = [c.split()[0] for c in schema.split(", ")]
+        files.write_csv(adapter(spark, d).select(*columns), raw_csv)
+        out = scratch.new_dir(spark, f"bronze-{name}")
+        layer[name] = files.ingest(spark, raw_csv, out, schema, dates, NOW, scratch.new_dir(spark, f"rejects-{name}"))
+
+    def rows(name, key, date, label, amount):
+        return layer[name].select(
+            F.lit(name).alias("source_table"),
+            F.col(key).alias("record_key"),
+            date.cast("date").alias("record_date"),
+            F.col(label).alias("label"),
+            amount.cast("double").alias("amount"),
+            "ingested_at",
+            "data_quality_flag",
+        )
+
+    nothing = F.lit(None)
+    return (
+        rows("customers", "customer_id", F.col("registration_date"), "email", nothing)
+        .unionByName(rows("products", "product_id", nothing, "product_name", F.col("price")))
+        .unionByName(rows("orders", "order_id", F.col("order_date"), "status", F.col("total_amount")))
     )
-    out = scratch.new_dir(spark, "bronze-customers")
-    return files.ingest(spark, raw_csv, out, schema, ("registration_date",), NOW).drop("source_file")
 
 
 @query(

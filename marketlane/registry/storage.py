@@ -40,6 +40,21 @@ def a1_inferred(spark, d):
     return files.read_csv(spark, path)
 
 
+@query(
+    "a1_csv_quoted",
+    """SELECT c_custkey, 'say "' || c_name || '", twice' || chr(10) || ' and, ""leave""' AS note,
+  CASE WHEN c_custkey % 100 <> 7 THEN c_acctbal END AS balance, c_custkey % 100 = 7 AS rejected FROM customer""",
+)
+def a1_quoted(spark, d):
+    note = F.concat(F.lit('say "'), "c_name", F.lit('", twice\n and, ""leave""'))
+    balance = F.when(F.col("c_custkey") % 100 == 7, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    path = scratch.new_dir(spark, "notes-csv")
+    customers = files.read_parquet(spark, f"{d}/customer.parquet")
+    files.write_csv(customers.select("c_custkey", note.alias("note"), balance.alias("balance")), path)
+    read = files.read_csv(spark, path, "c_custkey BIGINT, note STRING, balance DOUBLE", malformed=True)
+    return read.select("c_custkey", "note", "balance", F.col(files.MALFORMED).isNotNull().alias("rejected"))
+
+
 @query("a2_parquet_scan", sql("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders"))
 def a2(spark, d):
     return files.read_parquet(spark, f"{d}/orders.parquet").select("o_orderkey", "o_orderdate", "o_totalprice")

@@ -8,17 +8,41 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlane import scratch
 from marketlane.functions.columns import ts_lit
 
-# Text keeps its padding both ways; the cleaning step is what trims it.
-_CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Text keeps its padding both ways; the cleaning step is what trims it. A quote inside quotes is doubled.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+MALFORMED = "_malformed"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header line. Without a schema the types are inferred, at the cost of a pass over the files."""
-    reader = spark.read.options(**_CSV)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    line_breaks: bool = True,
+    malformed: bool = False,
+) -> DataFrame:
+    """CSV with a header line. Without a schema the types are inferred, at the cost of a pass over the files.
+
+    Line breaks inside quotes are part of the value. A file is then read by one
+    task; where no value has one, ``line_breaks=False`` lets Spark split files.
+    With a schema, ``malformed`` adds a column with the text of each record
+    that does not fit it; the fields that fit keep their values.
+    """
+    reader = spark.read.options(**_CSV).option("multiLine", str(line_breaks).lower())
     if schema is None:
         return reader.option("inferSchema", "true").csv(path)
+    if malformed:
+        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
     return reader.schema(schema).option("enforceSchema", "false").csv(path)
 
 
@@ -72,12 +96,24 @@ def ingest(
     schema: T.StructType | str,
     date_columns: tuple[str, ...] = (),
     now: dt.datetime | None = None,
+    rejects_path: str | None = None,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """CSV to the raw layer: dates parsed from text, stamps added, written as Parquet and read back.
 
-    ``schema`` gives the CSV columns, with date columns as STRING.
+    ``schema`` gives the CSV columns, with date columns as STRING. Records that
+    do not fit it are written to ``rejects_path`` with their text and are no
+    part of the layer; without that path a malformed record is an error.
     """
-    rows = stamped(read_csv(spark, csv_path, schema), now)
-    rows = rows.withColumns({c: F.try_to_date(F.col(c)) for c in date_columns})
+    read = stamped(read_csv(spark, csv_path, schema, line_breaks, malformed=True), now)
+    read = read.withColumns({c: F.try_to_date(F.col(c)) for c in date_columns})
+    if rejects_path is None:
+        refused = F.raise_error(F.concat(F.lit("malformed record: "), F.col(MALFORMED)))
+        kept = F.when(F.col(MALFORMED).isNotNull(), refused.cast("string")).otherwise(F.col("data_quality_flag"))
+        rows = read.withColumn("data_quality_flag", kept).drop(MALFORMED)
+    else:
+        held = scratch.durable(read, "ingest")
+        write_parquet(held.where(F.col(MALFORMED).isNotNull()), rejects_path)
+        rows = held.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
     write_parquet(rows, out_path)
     return spark.read.schema(rows.schema).parquet(out_path)
