@@ -34,12 +34,13 @@ def high_water_mark(df: DataFrame, column: str) -> Column:
 
 
 def newest_per_key(df: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The last version of each key.
+    """The last version of each key; of equally new ones, that with the largest other values.
 
     Spark prunes ``row_number = 1`` before the shuffle, so a key with very many
     versions sends one row per task.
     """
-    last = Window.partitionBy(*keys).orderBy(F.col(by).desc_nulls_last())
+    order = [by, *(c for c in df.columns if c != by and c not in keys)]
+    last = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return df.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
@@ -103,9 +104,18 @@ def changed_rows(
     update: list[str],
     insert: list[str] | None = None,
     broadcast_rows: int | None = None,
+    newer_by: str | None = None,
 ) -> DataFrame:
-    """Only the rows the merge updates or inserts, in their new form."""
+    """Only the rows the merge updates or inserts, in their new form.
+
+    With ``newer_by``, a row is updated only by one whose value there is
+    larger, so late and repeated versions change nothing.
+    """
     require_unique(source, keys)
     small = is_small(source, broadcast_rows)
-    joined = target.join(_updates(source, keys, update, small), keys, "inner")
+    extra = [] if newer_by is None or newer_by in update else [newer_by]
+    joined = target.join(_updates(source, keys, [*update, *extra], small), keys, "inner")
+    if newer_by is not None:
+        arrived = F.col(f"_new_{newer_by}")
+        joined = joined.where((arrived > F.col(newer_by)) | (F.col(newer_by).isNull() & arrived.isNotNull()))
     return _updated(joined, target, update).unionByName(_inserts(target, source, keys, insert, small))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlane import scratch
 from marketlane.functions.money import money_sum
 from marketlane.operators.joins import BROADCAST_ROWS
 from marketlane.operators.quality import duplicate_keys
@@ -192,7 +193,13 @@ class VersionedTable:
         unique: bool = False,
         merged_id: int | None = None,
     ) -> int:
-        """Write rows, then the log row. ``unique`` says that no key can occur twice in ``rows``."""
+        """Write rows, then the log row. ``unique`` says that no key can occur twice in ``rows``.
+
+        A branch's times rise: a commit dated before its parent is refused, as
+        reading as of a time would show it too early.
+        """
+        if parent is not None and at < logs.commits[parent].made_at:
+            raise ValueError(f"a commit at {at} would come before its parent")
         path, written = None, 0
         if rows is not None:
             if "_op" not in rows.columns:
@@ -237,15 +244,28 @@ class VersionedTable:
         insert: list[str] | None = None,
         ref: str = "main",
         batch: str | None = None,
+        newer_by: str | None = None,
     ) -> int:
-        """Upsert ``source`` into a branch; a ``batch`` already committed there is left alone."""
+        """Upsert ``source`` into a branch; a ``batch`` already committed there is left alone.
+
+        With ``newer_by`` only newer rows update (see ``changed_rows``), the
+        commit is dated no earlier than the branch's last, and nothing is
+        committed where nothing changes.
+        """
         logs = self._logs()
         line = logs.line(logs.head(ref))
         if batch is not None:
             done = [c.commit_id for c in line if c.batch == batch]
             if done:
                 return done[0]
-        changes = changed_rows(self._state(line), source, self.keys, update, insert)
+        changes = changed_rows(self._state(line), source, self.keys, update, insert, newer_by=newer_by)
+        if newer_by is not None:
+            at = max(at, line[0].made_at)
+            with scratch.held(changes, "changes") as changes:
+                if changes.isEmpty():
+                    return line[0].commit_id
+                columns = logs.columns(ref)
+                return self._commit(logs, changes, line[0].commit_id, ref, at, "merge", columns, batch=batch, unique=True)
         columns = logs.columns(ref)
         return self._commit(logs, changes, line[0].commit_id, ref, at, "merge", columns, batch=batch, unique=True)
 

@@ -378,6 +378,9 @@ def q1(spark, d):
     table.create(s.base, CUT)
     inbox = scratch.new_dir(spark, "inbox")
     s.delta.repartitionByRange(2, "ingested_at").write.parquet(inbox)
+    # An older version of every arriving row comes last and must not win.
+    older = s.delta.withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 2000 DAYS"))
+    older.withColumn("status", F.lit("outdated")).coalesce(1).write.mode("append").parquet(inbox)
     stream = continuous.arriving_files(spark, inbox, schemas.BRONZE_ORDERS, files_per_batch=1)
     continuous.upsert_stream(
         stream, table, ORDER_COLUMNS, scratch.new_dir(spark, "stream-state"), "ingested_at"

@@ -10,6 +10,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,24 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``durable`` for the length of a block; what was written is deleted after it."""
+    spark = df.sparkSession
+    path = new_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(spark, path)
+        _given.remove(path)
+
+
 def clear(spark: SparkSession) -> int:
     """Delete what this process put in the scratch folder; returns the number of paths deleted.
 
@@ -53,8 +73,6 @@ def clear(spark: SparkSession) -> int:
     """
     deleted = 0
     for path in _given:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        deleted += bool(fs.delete(target, True))
+        deleted += bool(_delete(spark, path))
     _given.clear()
     return deleted

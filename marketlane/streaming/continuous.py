@@ -29,24 +29,25 @@ def upsert_stream(
     update: list[str],
     checkpoint: str,
     version_by: str,
-    name: str = "upsert",
     ref: str = "main",
     clock: Callable[[], dt.datetime] | None = None,
 ) -> StreamingQuery:
-    """Process everything that has arrived, one commit per batch.
-
-    The stream's checkpoint takes the place of the high-water mark. A batch's
-    number is stored with its commit, so a batch replayed after a crash is
-    recognised. Of several versions of a key in one batch the newest by
-    ``version_by`` counts.
+    """Process everything that has arrived, one commit per batch that changes rows.
+
+    The stream's checkpoint takes the place of the high-water mark. A row is
+    changed only by a newer version (``version_by``), so a replayed batch, a
+    new checkpoint that reads all files again, and versions that arrive late
+    change nothing, and no batch is skipped by its number. Of several versions
+    of a key in one batch the newest counts. A commit is dated by the batch's
+    newest version or ``clock``, but no earlier than the commit before.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        latest = scratch.durable(newest_per_key(batch, table.keys, version_by), "batch")
-        moment = clock() if clock else latest.agg(F.max(version_by)).first()[0]
-        table.merge_rows(latest, moment, update, ref=ref, batch=f"{name}-{number}")
+        with scratch.held(newest_per_key(batch, table.keys, version_by), "batch") as latest:
+            moment = clock() if clock else latest.agg(F.max(version_by)).first()[0]
+            table.merge_rows(latest, moment, update, ref=ref, newer_by=version_by)
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlane import schemas
 from marketlane.functions import columns as C
+from marketlane.functions import money
 from marketlane.operators import quality
 from marketlane.plans import gold, kpi, rollup, silver
 
@@ -199,3 +200,12 @@ def test_line_rounding(spark):
 def test_cost_cap(spark):
     df = spark.createDataFrame([(90.0, 100.0), (50.0, 100.0)], "cost DOUBLE, price DOUBLE")
     assert [r["cost"] for r in rollup.capped_cost(df).collect()] == [70.0, 50.0]
+
+
+def test_amounts_below_a_cent_and_sums_past_int(spark):
+    small = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert small.agg(money.money_sum("v")).first()[0] == 4.0
+    assert small.agg(money.money_avg("v")).first()[0] == 0.004
+    large = spark.range(3).select(F.lit(2_000_000_000.0).alias("v"), F.lit(2_000_000_000).alias("n"))
+    assert large.agg(money.money_sum("v")).first()[0] == 6e9
+    assert large.agg(money.count_where(F.col("v") > 0)).first()[0] == 3

@@ -127,6 +127,24 @@ def test_replayed_stream_batch_and_restart_change_nothing(spark, folder, rows):
     go(checkpoint)  # two versions of each key: the newer one counts
     assert table.read().where("status = 'refunded'").count() == again.count()
     assert table.read().count() == len(first)
+    newest = rows(table.read())
+    outdated = again.withColumns({"status": F.lit("old"), "ingested_at": F.col("ingested_at") - F.expr("INTERVAL 9 DAY")})
+    outdated.coalesce(1).write.mode("append").parquet(inbox)
+    go(checkpoint)  # an older version arrives last
+    assert rows(table.read()) == newest
+    extra = late.limit(1).withColumns({"order_id": F.lit("ORD-NEW"), "status": F.lit("new")})
+    extra.coalesce(1).write.mode("append").parquet(inbox)
+    go(scratch.new_dir(spark, "ck"))  # a new checkpoint after more files arrived takes in every file
+    assert table.read().where("order_id = 'ORD-NEW'").count() == 1
+    assert table.read().count() == len(first) + 1
+
+
+def test_commit_times_rise(spark, folder):
+    table = versioned.VersionedTable(spark, scratch.new_dir(spark, "t"), ["order_id"])
+    base = first_load(adapters.orders(spark, folder))
+    table.create(base, NOW)
+    with pytest.raises(ValueError):
+        table.commit(base.limit(1), NOW - dt.timedelta(days=5))
 
 
 def test_whole_run_twice_gives_the_same_tables(spark, folder):
@@ -154,3 +172,20 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         scratch.root(Away)
+
+
+def test_csv_keeps_quotes_line_breaks_and_sets_bad_records_apart(spark, tmp_path, rows):
+    source = tmp_path / "in.csv"
+    source.write_text('id,name,price\nP1,"Desk, 27"" wide",10.5\nP2,"two\nlines",7.0\nP3,plain,cheap\nP4,,\n')
+    schema = "id STRING, name STRING, price DOUBLE"
+    read = files.read_csv(spark, str(source), schema)
+    assert rows(read) == [("P1", 'Desk, 27" wide', 10.5), ("P2", "two\nlines", 7.0), ("P3", "plain", None), ("P4", None, None)]
+    back = scratch.new_dir(spark, "csv")
+    files.write_csv(read, back)
+    assert rows(files.read_csv(spark, back, schema)) == rows(read)
+    out, rejects = scratch.new_dir(spark, "out"), scratch.new_dir(spark, "rejects")
+    layer = files.ingest(spark, str(source), out, schema, (), NOW, rejects)
+    assert rows(layer, "id") == [("P1",), ("P2",), ("P4",)]
+    assert rows(files.read_parquet(spark, rejects), "id", files.MALFORMED) == [("P3", "P3,plain,cheap")]
+    with pytest.raises(Exception, match="malformed record"):
+        files.ingest(spark, str(source), scratch.new_dir(spark, "out"), schema, (), NOW)
