@@ -11,6 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The day and moment every registered query treats as the present.
 AS_OF = dt.date(2001, 8, 2)
+# A day of the last month that has orders throughout.
+MONTH_DAY = dt.date(2001, 7, 15)
 NOW = dt.datetime(2001, 8, 2)
 # Orders up to this moment form the first load; later ones arrive afterwards.
 CUT = dt.datetime(2001, 1, 1)

@@ -241,7 +241,16 @@ def k3(spark, d):
     return s.table.read(commit_id=s.wider).select("order_id", "quantity_big", "amount")
 
 
-@query("k4_describe")
+_WIDE = """order_id string, customer_id string, order_date date, product_id string, quantity int, status string,
+payment_method string, total_amount double, ingested_at timestamp_ntz, order_source string, delivery_date date, quantity_big bigint, amount double"""
+
+
+@query(
+    "k4_describe",
+    "SELECT * FROM (VALUES "
+    + ", ".join(f"({i}, '{c.split()[0]}', '{c.split()[1]}')" for i, c in enumerate(_WIDE.split(",")))
+    + ") AS t(position, col_name, data_type)",
+)
 def k4(spark, d):
     return inspect.describe(spark, states(spark, d).table.read("wide"))
 
@@ -337,14 +346,19 @@ def m1(spark, d):
     return maintain.compact(spark, scattered, scratch.new_dir(spark, "compacted"))
 
 
-@query("m1_compaction_files")
+@query(
+    "m1_compaction_files",
+    """SELECT 'scattered' AS layout, count(*) AS record_count, FALSE AS few_files FROM orders
+UNION ALL SELECT 'compacted', count(*), TRUE FROM orders""",
+)
 def m1_files(spark, d):
     scattered = scratch.new_dir(spark, "scattered")
     adapters.orders(spark, d).repartition(64).write.parquet(scattered)
     packed = maintain.compact(spark, scattered, scratch.new_dir(spark, "compacted"))
     before = inspect.files(spark.read.parquet(scattered)).agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("record_count"))
     after = inspect.files(packed).agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("record_count"))
-    return before.withColumn("layout", F.lit("scattered")).unionByName(after.withColumn("layout", F.lit("compacted")))
+    both = before.withColumn("layout", F.lit("scattered")).unionByName(after.withColumn("layout", F.lit("compacted")))
+    return both.select("layout", "record_count", (F.col("files") < 8).alias("few_files"))
 
 
 @query("m2_sorted_rewrite", sql("SELECT * FROM job_orders"))

@@ -8,7 +8,7 @@ from marketlane import scratch
 from marketlane.functions import columns as C
 from marketlane.operators import upsert
 from marketlane.plans import rollup
-from marketlane.registry.base import AS_OF, CUT, NOW, query
+from marketlane.registry.base import AS_OF, CUT, MONTH_DAY, NOW, query
 from marketlane.registry.products import job_orders, silver_orders
 from marketlane.registry.reference_sql import sql
 from marketlane.registry.states import states
@@ -324,12 +324,12 @@ def d7(spark, d):
 
 @query(
     "d8_month_partition_filter",
-    sql("SELECT order_id, order_year, order_month, total_amount FROM job_orders WHERE order_year = 2001 AND order_month = 8"),
+    sql("SELECT order_id, order_year, order_month, total_amount FROM job_orders WHERE order_year = 2001 AND order_month = 7"),
 )
 def d8(spark, d):
     path = scratch.new_dir(spark, "by-month")
     files.write_parquet(job_orders(spark, d), path, ("order_year", "order_month"))
-    today = C.date_lit(AS_OF)
+    today = C.date_lit(MONTH_DAY)
     month = (F.col("order_year") == F.year(today)) & (F.col("order_month") == F.month(today))
     stored = files.read_parquet(spark, path)
     return stored.where(month).select("order_id", "order_year", "order_month", "total_amount")

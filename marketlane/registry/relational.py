@@ -410,9 +410,13 @@ def h1(spark, d):
     return rows.orderBy(F.col("order_date").desc_nulls_last(), F.col("customer_id").asc_nulls_last(), "order_id")
 
 
-@query("h2_limit")
+@query("h2_limit", "SELECT least(count(*), 10) AS taken, least(count(*), 10) AS in_source FROM orders")
 def h2(spark, d):
-    return adapters.orders(spark, d).limit(10)
+    """Any ten rows: how many they are, and how many of them the source has."""
+    source = adapters.orders(spark, d)
+    taken = scratch.durable(source.limit(10), "limit")
+    found = taken.join(source, "order_id", "left_semi").agg(F.count(F.lit(1)).alias("in_source"))
+    return taken.agg(F.count(F.lit(1)).alias("taken")).select("taken", found.scalar().alias("in_source"))
 
 
 @query(

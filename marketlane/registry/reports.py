@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from marketlane import scratch
 from marketlane.operators import quality
 from marketlane.plans import catalogue, dag_tables, daily_run, gold, kpi, rollup
-from marketlane.registry.base import AS_OF, NOW, query
+from marketlane.registry.base import AS_OF, MONTH_DAY, NOW, query
 from marketlane.registry.changes import vsql
 from marketlane.registry.products import bronze, dag_orders, silver_orders, stored_silver
 from marketlane.registry.reference_sql import msum, sql
@@ -105,7 +105,7 @@ def n6(spark, d):
 @query(
     "o8_kpi_quick_view",
     sql(f"""SELECT 'Revenue MTD' AS metric, CAST(CAST({msum('total_amount')} AS DECIMAL(20,2)) AS VARCHAR) AS value
-FROM valid WHERE order_year = 2001 AND order_month = 8
+FROM valid WHERE order_year = 2001 AND order_month = 7
 UNION ALL SELECT 'Clients à risque churn (>0.5)', CAST(count(*) AS VARCHAR) FROM c360 WHERE churn_risk_score > 0.5
 UNION ALL SELECT 'Produits à réapprovisionner', CAST(count(*) AS VARCHAR) FROM pperf WHERE reorder_recommended"""),
 )
@@ -113,7 +113,7 @@ def o8(spark, d):
     silver_table = stored_silver(spark, d)
     customers = gold.customer_360(silver_table, adapters.customers(spark, d), AS_OF, NOW)
     products = gold.product_performance(silver_table, adapters.products(spark, d), AS_OF, NOW)
-    return kpi.quick_view(silver_table, customers, products, AS_OF)
+    return kpi.quick_view(silver_table, customers, products, MONTH_DAY)
 
 
 _RAW = {  # table: adapter, CSV columns, date columns

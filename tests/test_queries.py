@@ -31,8 +31,7 @@ def test_entry(spark):
 
 def test_file_counts_drop_by_compaction(spark, folder):
     listed = {r["layout"]: r for r in registry.QUERIES["m1_compaction_files"](spark, folder).collect()}
-    assert listed["scattered"]["files"] == 64
-    assert listed["compacted"]["files"] < 8
+    assert not listed["scattered"]["few_files"] and listed["compacted"]["few_files"]
     assert listed["scattered"]["record_count"] == listed["compacted"]["record_count"]
 
 
