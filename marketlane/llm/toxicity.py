@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from marketlane.llm import labelled
 
-SLOT_BITS = 17
+SLOT_BITS = 18
 ORDERS = (3, 4, 5)
 PER_CLASS = 4000
 KEPT = 2000
