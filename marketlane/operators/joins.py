@@ -2,47 +2,45 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlane import scratch
 
 # A lookup side is broadcast only when it was measured to have no more rows and
-# no more bytes of text than this.
+# no more bytes, all columns written as JSON, than this.
 BROADCAST_ROWS = 500_000
-BROADCAST_TEXT_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds more than this share of the fact rows, so there
-# are fewer than 1/HOT_SHARE hot keys whatever the data.
-HOT_SHARE = 1 / 512
-# Rows without a key match nothing; they are spread over this many salts.
-NULL_FAN = 512
+BROADCAST_BYTES = 64 * 1024 * 1024
+# A key with more fact rows than this is split into pieces of at most so many.
+ROWS_PER_PIECE = 1_000_000
+# The list of split keys is broadcast. Beyond MOST_SPLIT * ROWS_PER_PIECE fact
+# rows the pieces grow instead of the list: it has fewer rows whatever the data.
+MOST_SPLIT = 100_000
 
 
 def is_small(df: DataFrame, most_rows: int | None = None) -> bool:
     """Whether ``df`` fits a broadcast.
 
     Rows are counted first, which for a stored table reads file footers only.
-    The text is measured when the rows are few. A limit would not be cheaper:
+    The bytes are measured when the rows are few. A limit would not be cheaper:
     it moves up to that many rows from every partition into one task.
     """
     if df.count() > (BROADCAST_ROWS if most_rows is None else most_rows):
         return False
-    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
-    width = reduce(lambda a, b: a + b, text, F.lit(0))
-    return (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_TEXT_BYTES
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return (df.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def hot_keys(counts: DataFrame, key: str, rows: str = "rows") -> DataFrame:
-    """Keys over the hot share, with the number of pieces (``_fan``) to split each into.
+    """Keys with more rows than a piece, with the number of pieces (``_fan``) to split each into.
 
-    ``counts`` has one row per key. The result has fewer than 1/HOT_SHARE rows,
-    and its ``_fan`` values add up to less than 2/HOT_SHARE.
+    ``counts`` has one row per key. The result has fewer than MOST_SPLIT rows.
     """
-    share = counts.agg((F.sum(rows).cast("double") * HOT_SHARE).alias("share")).scalar()
-    return counts.where(F.col(key).isNotNull() & (F.col(rows) > share)).select(
-        F.col(key), F.ceil(F.col(rows) / share).cast("int").alias("_fan")
+    piece = counts.agg(
+        F.greatest(F.lit(float(ROWS_PER_PIECE)), F.sum(rows).cast("double") / MOST_SPLIT).alias("piece")
+    ).scalar()
+    return counts.where(F.col(key).isNotNull() & (F.col(rows) > piece)).select(
+        F.col(key), F.ceil(F.col(rows) / piece).alias("_fan")
     )
 
 
@@ -54,17 +52,18 @@ def salted_join(
     Fact rows of a hot key get a salt from ``spread`` (a column with many
     values); the lookup row of a hot key is repeated once per salt. Rows with
     other keys have salt 0 on both sides, so the result equals the plain join.
+    Rows without a key match nothing and are spread by the whole hash.
     """
     small = F.broadcast(hot)  # bounded by hot_keys
     hashed = F.xxhash64(F.col(spread))
     salt = (
-        F.when(F.col(key).isNull(), F.pmod(hashed, F.lit(NULL_FAN)))
+        F.when(F.col(key).isNull(), hashed)
         .when(F.col("_fan").isNotNull(), F.pmod(hashed, F.col("_fan")))
-        .otherwise(F.lit(0))
-        .cast("int")
+        .otherwise(F.lit(0).cast("bigint"))
     )
     left = fact.join(small, key, "left").withColumn("_salt", salt).drop("_fan")
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1)
+    one = F.lit(1).cast("bigint")
+    copies = F.sequence(one - one, F.coalesce(F.col("_fan"), one) - one)
     right = lookup.join(small, key, "left").withColumn("_salt", F.explode(copies)).drop("_fan")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 

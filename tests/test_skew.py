@@ -27,11 +27,25 @@ def counts_of(fact):
     return fact.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def test_hot_keys_are_few_and_split_to_the_share(hot):
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_PIECE", 100)
+
+
+def test_pieces_keep_their_size_as_the_table_grows(spark):
+    for rows in (5_000, 20_000):
+        fact = spark.range(rows).select(
+            F.when(F.col("id") % 10 < 4, "H").when(F.col("id") % 10 < 7, F.lit(None)).otherwise(F.col("id").cast("string")).alias("key")
+        )
+        found = joins.hot_keys(counts_of(fact), "key").collect()
+        assert [(r["key"], r["_fan"]) for r in found] == [("H", rows * 4 // 10 // 100)]
+
+
+def test_list_of_hot_keys_is_bounded(hot, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_PIECE", 1)
+    monkeypatch.setattr(joins, "MOST_SPLIT", 9)
     found = joins.hot_keys(counts_of(hot[0]), "key").collect()
-    assert [r["key"] for r in found] == ["H"]
-    assert found[0]["_fan"] == 171  # 3,000 rows in pieces of 9,000 / 512
-    assert len(found) < 1 / joins.HOT_SHARE
+    assert [(r["key"], r["_fan"]) for r in found] == [("H", 3)]
 
 
 @pytest.mark.parametrize("broadcast_rows", [None, 0])
@@ -73,8 +87,9 @@ def test_unmatched_dimension_rows_stay(hot, broadcast_rows):
 def test_wide_rows_are_not_small(hot, monkeypatch):
     lookup = hot[1]
     assert joins.is_small(lookup) and not joins.is_small(lookup, 400) and joins.is_small(lookup, 401)
-    monkeypatch.setattr(joins, "BROADCAST_TEXT_BYTES", 1000)
-    assert not joins.is_small(lookup)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100_000)
+    assert joins.is_small(lookup)
+    assert not joins.is_small(lookup.withColumn("more", F.sequence(F.lit(1), F.lit(200))))
 
 
 def test_insert_absent_keeps_first(spark, rows):
@@ -86,7 +101,7 @@ def test_insert_absent_keeps_first(spark, rows):
 def test_distinct_counts_apart_from_measures(hot):
     fact = hot[0]
     got = with_distinct_counts(fact, ["key"], {"n": F.count(F.lit(1))}, {"ids": "id"})
-    want = fact.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").cast("int").alias("ids"))
+    want = fact.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"))
     assert got.count() == want.count()
     assert got.select("key", "n", "ids").exceptAll(want).isEmpty()
 
