@@ -36,11 +36,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten of them or more have; one that had no other lines goes."""
+    """All documents, without the lines that ten of them or more have; one that had no other lines is left empty."""
     out = line_dedup.drop(docs, line_dedup.build(docs, LINE_DOCUMENTS))
-    emptied = (F.col("n_dropped") > 0) & (F.col("n_dropped") == F.col("n_lines"))
     chars = F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.where(~emptied).withColumn("n_chars", chars).select(*docs.columns)
+    return out.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
