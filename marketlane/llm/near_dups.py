@@ -2,19 +2,22 @@
 
 A document's set holds its distinct runs of five words (the whole sequence
 where it has fewer). Equal sets form one class, and only classes are compared.
-A class's signature has SYMBOLS minima, of which BITS bits are kept. Signatures
-are cut into CHUNKS chunks. Two signatures that differ in at most
-MOST_ERRORS = CHUNKS * (CHUNK_ERRORS + 1) - 1 symbols have, by the pigeonhole
-principle, a chunk with at most CHUNK_ERRORS errors; all ways to leave out that
-many symbols of a chunk are enumerated as keys, so such a pair always meets
-under a key. A symbol of two sets with similarity s differs with a chance of
-1 - s, so a pair at 0.85 has more errors than that with a chance below 2e-5.
+A class's signature has SYMBOLS minima, of which BITS bits are kept. A symbol of
+two sets with similarity s differs with a chance of 1 - s, so ``layout`` takes
+the number of errors that a linked pair exceeds with a chance below MISSED, and
+cuts signatures into so many chunks that, by the pigeonhole principle, any two
+signatures within that distance have a chunk with at most CHUNK_ERRORS errors.
+All ways to leave out that many symbols of a chunk are enumerated as keys, so
+such a pair always meets under a key.
 
 Pairs that meet are confirmed on the full sets. First each member of a key is
 held against the key's first member. Then, where members of a key are still in
-different components, every pair across components within the distance is
-confirmed; pairs within one component cannot change it. Neither step lists the
-pairs of a group that the first members already join, and none drops a pair.
+different components, the pairs across components are confirmed, each under the
+first key it meets under. Two exact bounds spare most of them: the smaller set
+must reach the share of the larger, and both need enough shingles that some
+other of these sets has too (an edit's own shingles are in no other set). Pairs
+within one component cannot change it. So neither step lists the pairs of a
+group, and none drops a link.
 
 Documents without words (null, empty, white space) have empty sets and stay
 alone. Rows with a null id get a null component and are kept. Rows that repeat
@@ -24,7 +27,9 @@ an id with the same text fall into one class. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +41,30 @@ from marketlane.llm import wordhash
 from marketlane.llm.components import components
 
 WORDS = 5
-SYMBOLS, BITS, CHUNKS, CHUNK_ERRORS = 50, 16, 10, 1
-MOST_ERRORS = CHUNKS * (CHUNK_ERRORS + 1) - 1
+SYMBOLS, BITS, CHUNK_ERRORS = 50, 16, 1
+MISSED = 2e-5
 # Members of a key that one tile of the pairwise step compares with as many others.
 TILE = 2048
 
+
+@dataclass(frozen=True)
+class Layout:
+    percent: int
+    most_errors: int
+    chunks: tuple[tuple[int, ...], ...]
+
+
+def layout(percent: int) -> Layout:
+    """Chunks for pairs of at least this similarity."""
+    differs = 1 - percent / 100
+    beyond, errors = 1.0, -1
+    while beyond > MISSED:
+        errors += 1
+        beyond -= comb(SYMBOLS, errors) * differs**errors * (1 - differs) ** (SYMBOLS - errors)
+    n = -(-(errors + 1) // (CHUNK_ERRORS + 1))
+    return Layout(percent, n * (CHUNK_ERRORS + 1) - 1, tuple(tuple(map(int, c)) for c in np.array_split(np.arange(SYMBOLS), n)))
+
+
 _rng = np.random.default_rng(85)
 _TIMES = _rng.integers(1, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _rng.integers(0, 1 << 63, SYMBOLS, np.uint64)
@@ -56,16 +80,15 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (wordhash.mix(low) & np.uint64((1 << BITS) - 1)).astype(np.uint16)
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+def chunk_keys(signatures: np.ndarray, plan: Layout) -> np.ndarray:
     """For each signature (a row) its keys: each chunk without each choice of CHUNK_ERRORS symbols."""
-    size = SYMBOLS // CHUNKS
     weighted = (signatures.astype(np.uint64) + np.uint64(1)) * _KEYED
     out = []
-    for c in range(CHUNKS):
-        for left in combinations(range(size), size - CHUNK_ERRORS):
-            total = weighted[:, [c * size + k for k in left]].sum(axis=1)
-            out.append(wordhash.mix(total + np.uint64(1000 * c + sum(1 << k for k in left))))
-    return np.stack(out, axis=1) if out else np.zeros((0, 0), np.uint64)
+    for chunk in plan.chunks:
+        for out_of in combinations(chunk, min(CHUNK_ERRORS, len(chunk))):
+            total = weighted[:, [k for k in chunk if k not in out_of]].sum(axis=1)
+            out.append(wordhash.mix(total + np.uint64(len(out) + 1)))
+    return np.stack(out, axis=1)
 
 
 def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -93,12 +116,12 @@ def _signatures(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
 
 
-def members(classes: DataFrame) -> DataFrame:
+def members(classes: DataFrame, plan: Layout) -> DataFrame:
     """key, rep, first (smallest rep of the key) for each key that two classes or more have."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = chunk_keys(_signatures(batch.column("signature")))
+            keys = chunk_keys(_signatures(batch.column("signature")), plan)
             rep = np.repeat(batch.column("rep").to_numpy(), keys.shape[1])
             yield pa.record_batch({"key": keys.ravel().view(np.int64), "rep": rep})
 
@@ -163,57 +186,76 @@ def confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     return both.where(similar("a", "b")).select("u", "v")
 
 
-def _across(grouped: DataFrame) -> DataFrame:
-    """Pairs of a key's members in different components within the signature distance.
+def shared_sizes(bodies: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rep and n_shared: how many shingles of its set another of the ``wanted`` sets has too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, body in zip(batch.column("rep").to_pylist(), batch.column("body")):
+                shingles = np.frombuffer(body.as_buffer(), np.int64)
+                yield pa.record_batch({"shingle": shingles, "rep": np.full(len(shingles), rep)})
+
+    each = bodies.join(wanted, "rep", "left_semi").select("rep", "body").mapInArrow(run, "shingle long, rep long")
+    common = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    return each.join(common, "shingle", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("n_shared"))
+
+
+def _across(grouped: DataFrame, plan: Layout) -> DataFrame:
+    """Pairs of a key's members in different components that may be similar enough.
 
     A key's members are dealt out in tiles of TILE by TILE, so that no task
     holds more than two blocks of them.
     """
-    counts = grouped.groupBy("key").agg(
-        F.count("rep").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo <> hi").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    counts = grouped.groupBy("key").agg(F.count("rep").alias("members"))
+    counts = counts.select("key", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     dealt = (
         grouped.join(counts, "key")
-        .withColumn("block", block)
-        .withColumn("other", other)
-        .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "signature")
+        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .select("key", "i", "j", "block", "rep", "component", "n_shingles", "n_shared", "signature")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(rows):
-            block, rep, comp, n = (np.concatenate([r[k] for r in rows]) for k in (0, 1, 2, 3))
-            sig = np.concatenate([r[4] for r in rows])
-            u, v = [], []
-            for k in range(len(rep)):
-                test = (comp != comp[k]) & (rep > rep[k]) & (100 * np.minimum(n, n[k]) >= least * np.maximum(n, n[k]))
-                if block.min() != block.max():
-                    test &= block != block[k]
-                at = np.flatnonzero(test)
-                at = at[(sig[at] != sig[k]).sum(axis=1) <= MOST_ERRORS]
-                u.append(np.full(len(at), rep[k]))
-                v.append(rep[at])
-            return pa.record_batch({"u": np.concatenate(u), "v": np.concatenate(v)})
+    def pairs(key: int, rows: list) -> pa.RecordBatch:
+        block, rep, comp, n, shared = (np.concatenate([r[k] for r in rows]) for k in range(5))
+        sig = np.concatenate([r[5] for r in rows])
+        keys = chunk_keys(sig, plan)
+        mine = int(np.argmax(keys[0] == np.int64(key).astype(np.uint64)))
+        several = block.min() != block.max()
+        u, v = [], []
+        for k in range(len(rep)):
+            test = (comp != comp[k]) & (rep > rep[k])
+            # Sizes, and the least common shingles for the similarity.
+            test &= 100 * np.minimum(n, n[k]) >= plan.percent * np.maximum(n, n[k])
+            test &= (100 + plan.percent) * np.minimum(shared, shared[k]) >= plan.percent * (n + n[k])
+            if several:
+                test &= block != block[k]
+            at = np.flatnonzero(test)
+            at = at[(sig[at] != sig[k]).sum(axis=1) <= plan.most_errors]
+            at = at[(keys[at] == keys[k]).argmax(axis=1) == mine]
+            u.append(np.full(len(at), rep[k]))
+            v.append(rep[at])
+        return pa.record_batch({"u": np.concatenate(u), "v": np.concatenate(v)})
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held = None, []
         for batch in batches:
-            k, i, j, block, rep, comp, n = (batch.column(c).to_numpy() for c in ("key", "i", "j", "block", "rep", "component", "n"))
+            key, i, j = (batch.column(c).to_numpy() for c in ("key", "i", "j"))
+            plain = [batch.column(c).to_numpy() for c in ("block", "rep", "component", "n_shingles", "n_shared")]
             sig = _signatures(batch.column("signature"))
-            cuts = np.flatnonzero((k[1:] != k[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(k)]):
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(key)]):
                 if b == a:
                     continue
-                mine = (k[a], i[a], j[a])
-                if mine != tile and held:
-                    yield pairs(held)
+                if (key[a], i[a], j[a]) != tile and held:
+                    yield pairs(tile[0], held)
                     held = []
-                tile = mine
-                held.append((block[a:b], rep[a:b], comp[a:b], n[a:b], sig[a:b]))
+                tile = (key[a], i[a], j[a])
+                held.append((*(c[a:b] for c in plain), sig[a:b]))
         if held:
-            yield pairs(held)
+            yield pairs(tile[0], held)
 
-    least = 80
     sorted_tiles = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return sorted_tiles.mapInArrow(run, "u long, v long").distinct()
 
@@ -224,6 +266,7 @@ def link(docs: DataFrame, percent: int, text: str = "text", key: str = "doc_id")
     Documents are linked where 100 * intersection >= percent * union of their
     sets; a component is named by its smallest id.
     """
+    plan = layout(percent)
     marks = scratch.durable(sketches(docs, text, key), "sketches")
     same = ["n_shingles", "set_a", "set_b"]
     classes = scratch.durable(
@@ -232,21 +275,24 @@ def link(docs: DataFrame, percent: int, text: str = "text", key: str = "doc_id")
         .agg(F.min("doc_id").alias("rep"), F.any_value("signature").alias("signature")),
         "classes",
     )
-    met = scratch.durable(members(classes), "members")
+    met = scratch.durable(members(classes, plan), "members")
     stars = met.where("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v")).distinct()
     bodies = scratch.durable(sets(docs, met.select("rep").distinct(), text, key), "sets")
     stars = scratch.durable(confirm(stars, bodies, percent), "links")
     joined = scratch.durable(components(stars), "components")
 
-    known = classes.select("rep", F.col("n_shingles").alias("size"), "signature")
     grouped = (
         met.select("key", "rep")
         .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep"))
     )
     mixed = grouped.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    grouped = grouped.join(mixed.select("key"), "key", "left_semi").join(known, "rep")
-    rest = scratch.durable(_across(grouped.withColumn("n", F.col("size")).drop("size")), "pairs")
+    grouped = scratch.durable(grouped.join(mixed.select("key"), "key", "left_semi"), "mixed")
+    shared = shared_sizes(bodies, grouped.select("rep").distinct())
+    # A set whose shared shingles are fewer than its share is linked with none.
+    known = classes.select("rep", "n_shingles", "signature").join(shared, "rep")
+    known = known.where(100 * F.col("n_shared") >= percent * F.col("n_shingles"))
+    rest = scratch.durable(_across(grouped.join(known, "rep"), plan), "pairs")
     more = confirm(rest, bodies, percent)
     merged = scratch.durable(components(stars.unionByName(more)), "components")
 
