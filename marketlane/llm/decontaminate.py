@@ -3,8 +3,9 @@
 Words are runs of letters and digits with A-Z lower-cased (bytes above ASCII
 count as letters). Every run of SEED_WORDS words of a test item is looked up in
 all documents, and the number of documents that have it is counted. An item's
-rarer half of runs (at least LEAST_SEEDS, all of a shorter item) are its seeds,
-so an item that stands in very many documents still has some. Where a document
+seeds are its runs in at most RARE_DOCUMENTS documents, or in RARE_TIMES as
+many as its rarer quarter, so an item that stands in very many documents still
+has some, and a copy is found by any runs that editing left. Where a document
 has two different seeds of an item (or the one it has) within twice the item's
 length, the words round them are aligned with the item: MATCH for equal words,
 MISMATCH for different ones, GAP for one left out. The best local score over
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 
 from marketlane.llm import wordhash
 
-SEED_WORDS, LEAST_SEEDS = 3, 8
+SEED_WORDS = 3
+RARE_DOCUMENTS, RARE_TIMES = 50, 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SCORE = 0.5
 BLOCK_WORDS = 1_000_000
@@ -125,15 +127,16 @@ def frequencies(docs: DataFrame, block: Block, text: str = "text") -> dict[int,
 
 
 def seeds(block: Block, counts: dict[int, np.ndarray]) -> Block:
-    """The block with each item's rarer half of runs only."""
+    """The block with each item's rare runs only; runs that no document has are left out."""
     runs = {}
     for n, (h, item, place) in block.runs.items():
-        order = np.lexsort((place, counts[n], item))
-        first = np.searchsorted(item[order], np.arange(len(block.ids)))
-        rank = np.empty(len(h), np.int64)
-        rank[order] = np.arange(len(h)) - first[item[order]]
-        total = np.bincount(item, minlength=len(block.ids))[item]
-        kept = rank < np.maximum(LEAST_SEEDS, (total + 1) // 2)
+        docs = counts[n]
+        usual = np.zeros(len(block.ids))
+        order = np.lexsort((docs, item))
+        order = order[docs[order] > 0]
+        owners, first, size = np.unique(item[order], return_index=True, return_counts=True)
+        usual[owners] = docs[order][first + (size - 1) // 4]
+        kept = (docs > 0) & (docs <= np.maximum(RARE_DOCUMENTS, RARE_TIMES * usual[item]))
         runs[n] = (h[kept], item[kept], place[kept])
     return Block(block.ids, block.words, runs)
 
