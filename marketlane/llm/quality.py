@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from marketlane.llm import labelled
 
 PER_CLASS = 10_000
+LEAST_VARIANCE = 1e-4  # along any axis, of standardised features
 SHRINK = (0.1, 0.05)  # towards the pooled covariance, towards the own diagonal
 FEATURES = (
     "log_chars", "log_words", "word_length", "word_length_spread", "upper", "digits", "symbols", "marks",
@@ -104,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
         return Model(np.zeros(d), np.ones(d), (), (), (n[1] / max(sum(n), 1),))
     centre = (sums[0][1] + sums[1][1]) / sum(n)
     spread = np.diag(sums[0][2] + sums[1][2]) / sum(n) - centre**2
-    scale = np.sqrt(np.maximum(spread, 1e-9))
+    scale = np.where(spread > 1e-9, np.sqrt(np.maximum(spread, 1e-9)), 1.0)
     means, covs = [], []
     for y in (0, 1):
         m = sums[y][1] / n[y]
@@ -114,8 +115,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
     inverses, constants = [], []
     for y in (0, 1):
         c = (1 - shrink[0]) * covs[y] + shrink[0] * pooled
-        c = (1 - shrink[1]) * c + shrink[1] * np.diag(np.diag(c)) + 1e-6 * np.eye(d)
-        low = np.linalg.cholesky(c)
+        c = (1 - shrink[1]) * c + shrink[1] * np.diag(np.diag(c))
+        # A feature that hardly varies in the sample must not decide.
+        values, axes = np.linalg.eigh((c + c.T) / 2)
+        low = np.linalg.cholesky((axes * np.maximum(values, LEAST_VARIANCE)) @ axes.T)
         inverses.append(np.linalg.inv(low))
         constants.append(float(np.log(n[y] / sum(n)) - np.log(np.diag(low)).sum()))
     return Model(centre, scale, tuple(means), tuple(inverses), tuple(constants))

@@ -42,8 +42,8 @@ LABELS = [(1, 0, 1), (2, 1, 0), (2, 1, 0), (3, None, None), (None, 1, 1), (99, 1
 
 @pytest.fixture()
 def small(spark):
-    docs = spark.createDataFrame([(i, t, x) for k in range(6) for i, t, x in [(None if i is None else i + 10 * k, t, x) for i, t, x in DOCS]], "doc_id long, text string, y string")
-    labels = spark.createDataFrame([(None if i is None else i + 10 * k, a, b) for k in range(6) for i, a, b in LABELS], "doc_id long, toxic int, quality int")
+    docs = spark.createDataFrame([(i, t, x) for k in range(80) for i, t, x in [(None if i is None else i + 1000 * k, t, x) for i, t, x in DOCS]], "doc_id long, text string, y string")
+    labels = spark.createDataFrame([(None if i is None else i + 1000 * k, a, b) for k in range(80) for i, a, b in LABELS], "doc_id long, toxic int, quality int")
     return docs, labels
 
 
