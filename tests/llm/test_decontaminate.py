@@ -93,3 +93,33 @@ def test_odd_rows(spark, rows):
 def test_words():
     h, bounds = wordhash.words(["Ab-c ab".encode(), b"", "é1 É".encode()], wordhash.ALNUM)
     assert bounds.tolist() == [0, 3, 3, 5] and h[0] == h[2] and len(set(h.tolist())) == 4
+
+
+def test_one_exact_copy_and_many_edited_ones(spark):
+    rng = random.Random(3)
+    item = [f"q{k}" for k in range(40)]
+    edited = [w if k not in (3, 13, 23, 33) else "other" for k, w in enumerate(item)]
+    docs = []
+    for d, c in enumerate([item] + [edited] * 200):
+        words = rng.choices(VOCABULARY, k=100)
+        at = rng.randint(0, 100)
+        docs.append((d, " ".join(words[:at] + c + words[at:])))
+    items = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(d, 0) for d in range(201)}
+
+
+def test_every_pair_that_aligns_is_found(spark):
+    rng = random.Random(8)
+    item = [rng.choices(VOCABULARY[:12], k=rng.choice([3, 4, 7, 15, 30])) for _ in range(12)]
+    docs = []
+    for d in range(80):
+        words = rng.choices(VOCABULARY[:40], k=rng.randint(0, 60))
+        words[10:10] = edit(item[d % 12], rng, rng.choice([0.2, 0.4, 0.6]))
+        docs.append((d, " ".join(words)))
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(item)], "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    full = {(d, i): plain_align(w, x.split()) for d, x in docs for i, w in enumerate(item)}
+    for score in (0.5, 0.8):
+        got = {(r.doc_id, r.item_id): r.score for r in decontaminate.matches(frame, items, score).collect()}
+        assert got == {k: v for k, v in full.items() if v >= (1 if len(item[k[1]]) <= decontaminate.WHOLE_WORDS else score)}
