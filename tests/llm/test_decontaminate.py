@@ -123,3 +123,13 @@ def test_every_pair_that_aligns_is_found(spark):
     for score in (0.5, 0.8):
         got = {(r.doc_id, r.item_id): r.score for r in decontaminate.matches(frame, items, score).collect()}
         assert got == {k: v for k, v in full.items() if v >= (1 if len(item[k[1]]) <= decontaminate.WHOLE_WORDS else score)}
+
+
+def test_copies_without_two_intact_runs(spark):
+    item = [f"s{k}" for k in range(15)]
+    third = [w if k % 3 else f"x{k}" for k, w in enumerate(item)]
+    spread = [x for w in item for x in (w, "added")][:-1]
+    docs = [(d, " ".join(["a", "b", *c, "c"])) for d, c in enumerate([third, spread, item[:8], item[:7]])]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {r.doc_id for r in got} == {0, 1, 2}
