@@ -12,14 +12,15 @@ with C characters and T tags below, L characters and TL tags of links, N
 characters outside links, and LB / CB the share of link characters of the body.
 An element's density sum adds up the densities of its children. The threshold
 is the least density on the path from the body to its element of largest
-density sum; the main element is the one of largest density sum among those
-that reach it. Boilerplate (menus, headers and footers outside the article,
+density sum. Of every block element that reaches it, the element of largest
+density sum in it is main text; elements within others are part of those.
+Boilerplate (menus, headers and footers outside the article,
 side columns, notices, adverts, forms, reader comments; told by element name,
 role, class and id) is taken out before densities are summed, so none of it
-counts. A page whose main element lies inside an ``article`` or ``main``
-element gives that whole element, and a title in it stays.
+counts. A main element inside an ``article`` or ``main`` element gives that
+whole element, and a title in it stays.
 
-The text is that of the main element: character references decoded, white
+The text is that of the main elements in page order: character references decoded, white
 space inside a block turned into one space and trimmed, blocks joined by one
 space in page order; nothing is cut. A null or empty page, or one without text,
 gives the empty text. Truncated and ill-formed markup is read as far as it
@@ -187,26 +188,43 @@ def _measure(root: Node) -> Node:
     return body
 
 
-def main_node(root: Node) -> Node:
+def main_nodes(root: Node) -> list[Node]:
+    """The main elements, none inside another, in page order."""
     body = _measure(root)
     below = [body]
     for node in below:
         below.extend(c for c in node.children if isinstance(c, Node) and not c.boilerplate)
-    peak = max(below, key=lambda n: n.total)
-    threshold, node = peak.density, peak
-    while node is not None and node is not body.parent:
+    richest = {}  # the element of largest density sum in each; the outer one of equals
+    for node in reversed(below):
+        inner = [richest[c] for c in node.children if isinstance(c, Node) and not c.boilerplate]
+        richest[node] = max([node, *inner], key=lambda n: n.total)
+    threshold, node = body.density, richest[body]
+    while node is not body:
         threshold, node = min(threshold, node.density), node.parent
-    chosen = max((n for n in below if n.density >= threshold), key=lambda n: n.total, default=body)
-    if not chosen.chars:
-        chosen = max(below, key=lambda n: n.chars)
-    node = chosen
-    while node is not None:
-        if node.name in ("article", "main"):
-            chosen = node
-        node = node.parent
-    if chosen.name in INLINE and chosen.parent is not None:
-        while chosen.parent is not None and chosen.name in INLINE:
-            chosen = chosen.parent
+    least = threshold - 1e-9 * abs(threshold)
+    chosen = [richest[n] for n in below if n.density >= least and n.chars and (n is body or n.name not in INLINE)]
+    if not any(n.chars for n in chosen):
+        chosen = [max(below, key=lambda n: n.chars)]
+    picked = {_lifted(n) for n in set(chosen)}
+    out, work = [], [root]
+    while work:
+        node = work.pop()
+        if node in picked:
+            out.append(node)
+        else:
+            work.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return out
+
+
+def _lifted(node: Node) -> Node:
+    """The outermost article or main element round an element, else the block it stands in."""
+    chosen, up = node, node
+    while up is not None:
+        if up.name in ("article", "main"):
+            chosen = up
+        up = up.parent
+    while chosen.parent is not None and chosen.name in INLINE:
+        chosen = chosen.parent
     return chosen
 
 
@@ -236,7 +254,9 @@ def text_of(node: Node) -> str:
 
 
 def extract(page: str | None) -> str:
-    return text_of(main_node(tree(page))) if page and page.strip() else ""
+    if not page or not page.strip():
+        return ""
+    return " ".join(t for t in map(text_of, main_nodes(tree(page))) if t)
 
 
 def with_text(pages: DataFrame, page: str = "html", to: str = "text") -> DataFrame:

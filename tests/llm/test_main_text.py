@@ -40,6 +40,16 @@ def test_title_in_the_article_stays():
     assert main_text.extract("<header>Site</header><article><header><h1>T</h1></header><p>Long text.</p></article>") == "T Long text."
 
 
+def test_sibling_sections_all_stay():
+    part = ["".join(f"<p>{c * 300}</p>" for c in cs) for cs in ("abcde", "fghij", "klmno")]
+    text = [[c * 300 for c in cs] for cs in ("abcde", "fghij", "klmno")]
+    menu = "<div><a href=x>One</a><a href=y>Two</a></div>"
+    page = f"<body>{menu}<div>{part[0]}</div>{menu}<div>{part[1]}</div><div><div>{part[2]}</div></div></body>"
+    assert main_text.extract(page) == " ".join(sum(text, []))
+    two = f"<body>{menu}<article><h1>T</h1>{part[0]}</article>{menu}<article><h1>U</h1>{part[1]}{part[2]}</article></body>"
+    assert main_text.extract(two) == " ".join(["T", *text[0], "U", *text[1], *text[2]])
+
+
 def test_given_pages(spark, folder):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     out = queries.QUERIES["op1_main_text"](spark, folder).collect()
