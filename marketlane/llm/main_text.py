@@ -16,8 +16,10 @@ density sum. Of every block element that reaches it, the element of largest
 density sum in it is main text; elements within others are part of those.
 Boilerplate (menus, headers and footers outside the article,
 side columns, notices, adverts, forms, reader comments; told by element name,
-role, class and id) is taken out before densities are summed, so none of it
-counts. A main element inside an ``article`` or ``main`` element gives that
+role, whole id, and classes that are a marker or a known form of one) is taken
+out before densities are summed, so none of it counts. Headings are not told by
+class and id, nor are inline elements in an article, main, pre or code element;
+other elements in these only if they are adverts or most of their text is links. A main element inside an ``article`` or ``main`` element gives that
 whole element, and a title in it stays.
 
 The text is that of the main elements in page order: character references decoded, white
@@ -48,11 +50,20 @@ BOILERPLATE = frozenset(
     "nav aside footer form button select option fieldset input dialog menu audio video canvas object figure head".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|banner|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|"
-    r"subscribe|subscription|comments?|disqus|replies|respond|sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|footer|"
-    r"masthead|related|recommend\w*|share|sharing|social|widget|toolbar|login|signup|pager|pagination)(?:$|[\s_-])"
+ADVERT = r"ads?|advert\w*|adbox|adsense|sponsor(?:s|ed|ship)?|promo(?:s|tion|tions)?|cookies?|consent|gdpr|popup|modal"
+MARKER = (
+    rf"(?:{ADVERT}|banner|notice|newsletter|subscribe|subscription|comments?|disqus|replies|respond|sidebar|side|nav|navbar|navigation|menu|"
+    r"breadcrumbs?|footer|masthead|related|recommend(?:ed|ations?)?|share|sharing|social|widget|toolbar|login|signup|pager|pagination)"
 )
+# What a class name may hold besides a marker: 'site-nav' and 'related-posts' are forms of one, 'related-work' is not.
+_WITH = (
+    r"(?:site|page|main|global|primary|secondary|top|bottom|left|right|header|bar|box|block|wrap|wrapper|container|inner|outer|area|section|"
+    r"list|item|items|links?|buttons?|icons?|posts?|articles|stories|slot|unit|form|panel|overlay|column|col|mobile|desktop|sticky|[0-9]+)"
+)
+MARKED = re.compile(rf"(?:{_WITH}[_-]+)*{MARKER}(?:[_-]+(?:{MARKER}|{_WITH}))*")
+MARKED_ID = re.compile(MARKER)
+MARKED_ADVERT = re.compile(rf"(?:{_WITH}[_-]+)*(?:{ADVERT})(?:[_-]+(?:{MARKER}|{_WITH}))*")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What a start tag closes: the open element of a name, up to the elements that shield it.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -74,28 +85,39 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "boilerplate", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "boilerplate", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, boilerplate: bool = False) -> None:
-        self.name, self.parent, self.children, self.boilerplate = name, parent, [], boilerplate
+    def __init__(self, name: str, parent: Node | None, boilerplate: bool | None = False) -> None:
+        self.name, self.parent, self.children, self.boilerplate, self.doubtful = name, parent, [], bool(boilerplate), boilerplate is None
 
 
-def _boilerplate(name: str, attributes: str, stack: list[Node]) -> bool:
+def _boilerplate(name: str, attributes: str, stack: list[Node]) -> bool | None:
+    """Whether an element is boilerplate; None if its links decide that."""
     if name in BOILERPLATE:
         return True
-    inside = any(n.name in ("article", "main") for n in stack)
-    if name == "header" and not inside:
+    if name == "header" and not _inside(stack):
         return True
     if name in ("body", "html", "article", "main"):
         return False
+    marked = advert = False
     for m in _ATTRIBUTE.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         kind = m[1].lower()
         if kind == "role" and value in ROLES or kind == "aria-hidden" and value == "true":
             return True
-        if kind in ("class", "id") and MARKED.search(value):
-            return True
-    return False
+        if kind in ("class", "id"):
+            names, pattern = (value.split(), MARKED) if kind == "class" else ([value.strip()], MARKED_ID)
+            marked = marked or any(pattern.fullmatch(x) for x in names)
+            advert = advert or kind == "class" and any(MARKED_ADVERT.fullmatch(x) for x in names)
+    if not marked or name in HEADINGS:
+        return False
+    if not _inside(stack):
+        return True
+    return False if name in INLINE else advert or None
+
+
+def _inside(stack: list[Node]) -> bool:
+    return any(n.name in ("article", "main", "pre", "code") for n in stack)
 
 
 def tree(page: str) -> Node:
@@ -177,6 +199,8 @@ def _measure(root: Node) -> Node:
                 node.link_tags += c.link_tags + (c.name == "a")
         if node.name == "a":
             node.link_chars = node.chars
+        if node.doubtful and 2 * node.link_chars > node.chars:
+            node.boilerplate = True
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in reversed(order):
         c, t, links, link_tags = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)

@@ -50,6 +50,18 @@ def test_sibling_sections_all_stay():
     assert main_text.extract(two) == " ".join(["T", *text[0], "U", *text[1], *text[2]])
 
 
+def test_slugs_and_code_are_no_markers():
+    own = (
+        "<section id='related-work'><h2 id='share'>Share prices</h2><p>They fell.</p></section><h2 id='side-effects' class='notice'>Side effects</h2>"
+        "<p>None <span class='comment'># so far</span>.</p><div class='notice'><p>Mind the <a href=x>gap</a>.</p></div>"
+    )
+    text = WANTED + " Share prices They fell. Side effects None # so far. Mind the gap."
+    links = "<div class='related'><a href=x>More</a> <a href=y>Else</a></div><div class='site-nav left'><a href=z>Up</a></div>"
+    assert main_text.extract(f"<article>{ARTICLE}{own}{links}</article>") == text
+    page = f"<body><div class='related-posts'>Other posts</div><div id='sidebar'>Column</div><div><p>{'x' * 300}</p><section id='related-work'><p>{'y' * 300}</p></section></div>"
+    assert main_text.extract(page) == "x" * 300 + " " + "y" * 300
+
+
 def test_given_pages(spark, folder):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
     out = queries.QUERIES["op1_main_text"](spark, folder).collect()
