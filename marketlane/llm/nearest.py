@@ -9,6 +9,11 @@ to a share. The distance and the share are fitted on FIT_QUERIES vectors (a
 bounded sample, whose neighbours are found exactly by a pass over all rows) so
 that RECALL of their neighbours are met in some table. Every row is indexed.
 
+What that fit leaves open is settled query by query. A query that met fewer
+than ``k`` others, or for which a row at the distance of the worst it would
+return had a chance below SURE of being met, is compared with all rows in a
+second pass, in blocks; so lone vectors and small tables lose nothing.
+
 A bucket's vectors are cut into blocks and dealt out over groups; a query's
 vector goes once to each group that holds buckets it visits. There inner
 products are taken in double precision, and the best of each group and table
@@ -19,8 +24,7 @@ share makes no bucket larger. Queries are dealt out in blocks too.
 Vectors that are null, empty, zero, of another length than most (the smallest
 of equally frequent lengths), or that hold null or non-finite components take
 no part, nor do rows with a null id. Rows that repeat an id are one row. Ties
-go to the smaller id. With fewer candidates than ``k`` all are returned that
-the search met. An empty table gives an empty result.
+go to the smaller id. With fewer candidates than ``k`` all are returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ TABLES, FUNCTIONS = 2, 6
 WIDTH = 2.0  # of a cell, in norms
 REACH = 2  # cells to either side that a query may visit; a vector of a table's other cells is left to the other tables
 RECALL = 0.97
+SURE = 0.9
 FIT_QUERIES = 100
 GROUP_ROWS, QUERY_ROWS = 8192, 4096
 
@@ -111,6 +116,17 @@ class Tables:
                 return at[:n], sums[:n]
             limit *= 4
 
+    def met(self, places: np.ndarray, distance: float) -> float:
+        """Chance that a row at a distance from a query lies in a bucket that the query visits in some table."""
+        missed = 1.0
+        offsets = np.arange(-REACH, REACH + 2)
+        for place in places:
+            at, _ = self.visits(place, self.share)
+            edge = (offsets[None, :] - (place - np.floor(place))[:, None]) * self.width / max(distance, 1e-6 * self.longest)
+            chance = np.diff(_normal(edge), axis=1)
+            missed *= 1 - min(1.0, float(np.prod(chance[np.arange(FUNCTIONS), at + REACH], axis=1).sum()))
+        return 1 - missed
+
 
 def _normal(x: np.ndarray) -> np.ndarray:
     """Distribution function of the normal distribution, by a table."""
@@ -226,6 +242,8 @@ def search(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", vec
         F.col("class").alias("id"), "v", "buckets",
     )
 
+    every = F.array(F.lit(0).cast("long"))
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def best(queries, rows):
             """The k + 1 best of one group's rows for each of its queries."""
@@ -265,11 +283,49 @@ def search(vectors: DataFrame, queries: Column, k: int, key: str = "vec_id", vec
                 )
         yield from best(queries, rows)
 
-    dealt = asking.unionByName(offered).repartition("group", "part").sortWithinPartitions("group", "part", "kind")
-    # A group may give a class again that another table's group gave.
-    near = dealt.mapInArrow(scored, "q long, class long, score double").distinct()
-    top = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))
-    near = near.withColumn("place", top).where(F.col("place") <= k + 1).drop("place")
+    def best_of(asking: DataFrame, offered: DataFrame) -> DataFrame:
+        """q, class, score: the k + 1 best classes of each query among those it shares a bucket with."""
+        dealt = asking.unionByName(offered).repartition("group", "part").sortWithinPartitions("group", "part", "kind")
+        # A group may give a class again that another table's group gave.
+        near = dealt.mapInArrow(scored, "q long, class long, score double").distinct()
+        top = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))
+        return near.withColumn("place", top).where(F.col("place") <= k + 1).drop("place")
+
+    near = scratch.durable(best_of(asking, offered), "near")
+    rows = near.join(found.select("class", F.size("ids").alias("n")), "class")
+    upto = F.sum("n").over(Window.partitionBy("q").orderBy(F.desc("score"), "class"))
+    # The score of the last row that a query would return; null where it met too few.
+    last = rows.withColumn("upto", upto).groupBy("q").agg(F.max(F.when(F.col("upto") >= k + 1, F.col("score"))).alias("last"))
+
+    def open_still(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = _matrix(batch.column("v"))
+            place = tables.places(tables.queries(v))
+            out = []
+            for i, (q, worst) in enumerate(zip(batch.column("class").to_pylist(), batch.column("last").to_pylist())):
+                if worst is not None:
+                    square = 2 * tables.longest**2 - 2 * worst * tables.longest / np.linalg.norm(v[i])
+                    if tables.met(place[:, i], max(square, 0.0) ** 0.5) >= SURE:
+                        continue
+                out.append(q)
+            yield pa.record_batch({"q": pa.array(out, pa.int64())})
+
+    short = wanted.join(last.withColumnRenamed("q", "class"), "class", "left").select("class", "v", "last")
+    short = scratch.durable(short.mapInArrow(open_still, "q long"), "open")
+    n_short = short.count()
+    if n_short:
+        groups, parts = 1 + found.count() // GROUP_ROWS, 1 + n_short // QUERY_ROWS
+        part = F.pmod(F.xxhash64("q"), F.lit(parts)).cast("int")
+        asking = short.join(wanted.withColumnRenamed("class", "q"), "q").select(
+            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), part.alias("part"), F.lit(0).alias("kind"),
+            F.col("q").alias("id"), "v", every.alias("buckets"),
+        )
+        offered = found.select(
+            F.pmod(F.xxhash64("class"), F.lit(groups)).cast("int").alias("group"),
+            F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"),
+            F.col("class").alias("id"), "v", every.alias("buckets"),
+        )
+        near = near.join(short, "q", "left_anti").unionByName(best_of(asking, offered))
     ids = near.join(found.select("class", "ids"), "class").select("q", "score", F.explode("ids").alias("vec_id"))
     top = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
     ids = ids.withColumn("place", top).where(F.col("place") <= k + 1).drop("place")

@@ -62,6 +62,29 @@ def test_repeated_vectors_and_uneven_lengths(spark, monkeypatch):
     ]
 
 
+def test_small_tables_give_all_candidates(spark):
+    rng = np.random.default_rng(4)
+    for n in (2, 15, 21):
+        vectors = {i: rng.normal(size=16).tolist() for i in range(n)}
+        df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+        got = nearest.search(df, F.col("vec_id") >= 0, 20).collect()
+        assert recall(got, exact(vectors, list(vectors), 20)) == 1.0
+        assert len(got) == n * (n - 1)
+
+
+def test_clusters_and_lone_vectors(spark):
+    rng = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centres = unit(rng.normal(size=(40, 32)))
+    tight = unit(np.repeat(centres, 50, axis=0) + 0.01 * rng.normal(size=(2000, 32)))
+    vectors = dict(enumerate(np.vstack([tight, unit(rng.normal(size=(20, 32)))]).tolist()))
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = nearest.search(df, (F.col("vec_id") % 50 == 0) | (F.col("vec_id") >= 2000), 20).collect()
+    for q in [*range(0, 2000, 50), *range(2000, 2020)]:
+        mine = [r for r in got if r.query_id == q]
+        assert len(mine) == 20 and recall(mine, exact(vectors, [q], 20)) >= 0.9
+
+
 def test_odd_rows(spark):
     rows = [
         (0, [1.0, 0.0], "a"), (1, [0.5, 0.5], "b"), (2, None, "c"), (3, [], "d"), (4, [0.0, 0.0], "e"), (5, [float("nan"), 1.0], "f"),
