@@ -63,14 +63,14 @@ PATTERNS = (
     Pattern("phone", r"\+[0-9][\x20().0-9-]+[0-9]", ("+",), "", True),
     Pattern(
         "email",
-        rf"{_LOCAL}{{1,64}}+ ?[\[(] ?(?:at|AT) ?[\])] ?{_LABEL}{{1,63}}+(?: ?[\[(] ?(?:dot|DOT) ?[\])] ?{_LABEL}{{1,63}}+){{1,4}}+",
+        rf"{_LOCAL}++ ?[\[(] ?(?:at|AT) ?[\])] ?{_LABEL}++(?: ?[\[(] ?(?:dot|DOT) ?[\])] ?{_LABEL}++)++",
         ("(at)", "[at]", "( at )", "(AT)", "[AT]"),
         _LOCAL,
     ),
     Pattern("phone", r"(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9])", (), "[0-9.-]"),
     Pattern("id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", (), "[0-9-]"),
     Pattern("account", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", (), "[A-Za-z0-9]"),
-    Pattern("secret", r"(?<=(?:password|passwd|token|secret|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_/+.-]{8,128}+", ("passw", "token", "secret", "key"), ""),
+    Pattern("secret", r"(?<=(?:password|passwd|token|secret|api_key|apikey) ?[=:] ?[\"']?)[A-Za-z0-9_/+.-]{8,}+", ("passw", "token", "secret", "key"), ""),
     Pattern("secret", r"AKIA[0-9A-Z]{16}(?![A-Za-z0-9])", ("AKIA",), "[A-Za-z0-9]"),
 )
 

@@ -114,3 +114,18 @@ def test_empty_table(spark):
 @pytest.mark.parametrize("digits", ["4111111111111111", "79927398713", "79927398710", "0", "18"])
 def test_luhn(spark, digits):
     assert spark.range(1).select(personal.luhn(F.lit(digits)).alias("ok")).first().ok == luhn(digits)
+
+
+def test_long_credentials_and_addresses_are_whole(spark):
+    rng = random.Random(9)
+    token = "eyJ" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-.", k=297)).replace("..", "x.") + "Z"
+    token = re.sub("[0-9]+", lambda m: m[0][:1], token)
+    local, label = "a" * 80, "b" * 70
+    mail = f"{local} (at) {label}" + " (dot) c" * 7 + " (dot) com"
+    texts = [f"use token={token} here", f"write to {mail}.", f"password: {'p' + 'q7' * 2_500}\n"]
+    spans = {r.doc_id: r.spans for r in frame(spark, texts).select("doc_id", personal.candidates(frame(spark, texts)).alias("spans")).collect()}
+    for i, (text, value, kind) in enumerate(zip(texts, [token, mail, "p" + "q7" * 2_500], ["secret", "email", "secret"])):
+        start = text.index(value)
+        assert [(s.start, s.end, personal.KINDS[s.kind]) for s in spans[i]] == [(start, start + len(value), kind)]
+    found = {r.doc_id: [(s.kind, s.end) for s in r.spans] for r in personal.find(frame(spark, texts)).collect()}
+    assert found[0] == [("secret", len("use token=") + len(token))]
