@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import decontaminate, labelled, line_dedup, main_text, near_dups, nearest, personal, pieces, quality, toxicity, url_rules
+from marketlane.llm import decontaminate, dialogue, labelled, line_dedup, main_text, near_dups, nearest, personal, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,3 +171,28 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(personal.listing(base).cast("binary"), 256).alias("base_sha256"),
         personal.listing(F.col("spans")).alias("spans"),
     )
+
+
+def damaged(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """Conversations with some rows dropped, emptied, cut, repeated or given another role; and which rows are still there.
+
+    Null texts, roles and parts of the row's name count as one space.
+    """
+    name = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    kind = F.col("damage")
+    text, role = (F.coalesce(c, F.lit(" ")) for c in ("text", "role"))
+    out = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.crc32(name) % 20).alias("damage")).select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        "damage",
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+    return out, kind != 0
+
+
+@query("op12_dialogue_repair")
+def op12_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged and repaired."""
+    return dialogue.audit(dialogue.repair(*damaged(table(spark, folder, "conversations"))))
