@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlane.llm import decontaminate, dialogue, labelled, line_dedup, main_text, near_dups, nearest, personal, pieces, quality, toxicity, url_rules
+from marketlane.llm import align, decontaminate, dialogue, labelled, language_model, line_dedup, main_text, near_dups, nearest, personal, pieces, quality, toxicity, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,3 +197,23 @@ def damaged(rows: DataFrame) -> tuple[DataFrame, Column]:
 def op12_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation, damaged and repaired."""
     return dialogue.audit(dialogue.repair(*damaged(table(spark, folder, "conversations"))))
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's alignment of byte-level and piece ids, and how common its links are in the corpus."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return align.align(docs, align.read(), listing=_sha256).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_language_model")
+def op13_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log-likelihood, learnt from nine tenths of the documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = labelled.remainder("doc_id", 10) == 0
+    out = language_model.score(docs, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
