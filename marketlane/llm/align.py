@@ -40,8 +40,9 @@ from marketlane.llm import blocks
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-# Units that are encoded together.
+# Units that are aligned together, and that are encoded as one text.
 UNITS = 20_000
+RUN = 64
 
 
 @dataclass(frozen=True)
@@ -183,26 +184,65 @@ class Aligned:
     groups: list[str]
 
 
-def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
-    count = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(count.sum())), count
-
-
 def _bounds(count: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(count)])
 
 
-def align_units(p: Pair, texts: list[str]) -> Aligned:
-    a_lists = [e.ids for e in p.a.encode_batch_fast(texts, add_special_tokens=False)]
-    b_lists = p.b.encode([t[1:] for t in texts], num_threads=1)
-    a_table, b_table = p.a_bytes, p.b_bytes
+def _runs(texts: list[str]) -> list[tuple[int, int]]:
+    """Bounds of the units that are encoded as one text: runs of those that begin and end with a word, and single others."""
+    out, start = [], 0
+    for k, t in enumerate(texts):
+        whole = not (t[1:2].isspace() or t[-1:].isspace())
+        if not whole or k - start == RUN:
+            if start < k:
+                out.append((start, k))
+            start = k
+        if not whole:
+            out.append((k, k + 1))
+            start = k + 1
+    if start < len(texts):
+        out.append((start, len(texts)))
+    return out
+
+
+def _encoded(p: Pair, texts: list[str]) -> tuple[np.ndarray, tuple, tuple]:
+    """Which units' bytes agree, and of those, for each side, all ids and how many each unit has.
+
+    A run whose bytes do not agree is encoded again, unit by unit.
+    """
     ok = np.zeros(len(texts), bool)
-    for k, (t, x, y) in enumerate(zip(texts, a_lists, b_lists)):
-        raw = t.encode()
-        ok[k] = b"".join([a_table[i] for i in x]) == raw == b"".join([b_table[i] for i in y])
+    ids: list[dict[int, list[int]]] = [{}, {}]
+    counts = np.zeros((2, len(texts)), np.int64)
+    open_ = _runs(texts)
+    while open_:
+        again = []
+        whole = ["".join(texts[i:j]) for i, j in open_]
+        a_ids = [e.ids for e in p.a.encode_batch_fast(whole, add_special_tokens=False)]
+        b_ids = p.b.encode([t[1:] for t in whole], num_threads=1)
+        for (i, j), text, *sides in zip(open_, whole, a_ids, b_ids):
+            raw = text.encode()
+            ends = np.cumsum([len(t.encode()) for t in texts[i:j]])
+            found = []
+            for mine, table, size in zip(sides, (p.a_bytes, p.b_bytes), (p.a_size, p.b_size)):
+                if b"".join([table[x] for x in mine]) == raw:
+                    at = np.cumsum(size[mine])
+                    last = np.searchsorted(at, ends)
+                    if np.array_equal(at[last], ends):
+                        found.append(np.diff(last, prepend=-1))
+            if len(found) == 2:
+                ok[i:j] = True
+                counts[:, i:j] = found
+                ids[0][i], ids[1][i] = sides
+            elif j - i > 1:
+                again += [(k, k + 1) for k in range(i, j)]
+        open_ = again
+    flat = [np.fromiter(chain.from_iterable(held[k] for k in sorted(held)), np.int64) for held in ids]
+    return ok, *zip(flat, counts[:, ok])
+
+
+def align_units(p: Pair, texts: list[str]) -> Aligned:
+    ok, (a, a_count), (b, b_count) = _encoded(p, texts)
     good = np.flatnonzero(ok)
-    a, a_count = _flat([a_lists[k] for k in good])
-    b, b_count = _flat([b_lists[k] for k in good])
     a_ends, b_ends = np.cumsum(p.a_size[a]), np.cumsum(p.b_size[b])
     a_at, b_at = _bounds(a_count), _bounds(b_count)
     leaf = leaves(a_ends, b_ends, np.stack([a_at[:-1], a_at[1:], b_at[:-1], b_at[1:]], 1))

@@ -8,6 +8,7 @@ block, and what comes back to a block is bounded by the block.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,10 +16,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 # Rows of a batch that are turned into Python objects at once.
 ROWS = 512
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # a system without glibc
+    _libc = None
+
 
 def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
     """Runs of rows (any columns, of which the second is a text) with the block's number."""
@@ -35,11 +41,21 @@ def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[in
                     held.append(batch.slice(start, at - start))
                 yield base + number, held
                 held, size, number, start = [], 0, number + 1, at
+                freed()
             size += weight
         if len(batch) > start:
             held.append(batch.slice(start))
     if held:
         yield base + number, held
+        held = []
+        freed()
+
+
+def freed() -> None:
+    """Give what the last block held back to the system; a worker process serves many tasks."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def summed(blocks: DataFrame) -> DataFrame:
