@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from marketlane import schemas, scratch
 from marketlane.functions.columns import ts_lit
-from marketlane.operators import inspect, maintain, quality, upsert, versioned
+from marketlane.operators import inspect, keyed, maintain, quality, timeline, upsert, versioned
 from marketlane.plans import silver
 from marketlane.registry.base import AS_OF, CUT, NOW, query
 from marketlane.registry.reference_sql import CTES, msum, sql
@@ -24,13 +24,12 @@ def vsql(body: str, **extra: str) -> str:
 
 @query("a4_read_at_snapshot", vsql("SELECT * FROM v_base"))
 def a4(spark, d):
-    s = states(spark, d)
-    return s.table.read(commit_id=s.load)
+    return timeline.as_of(states(spark, d).line, 1)
 
 
 @query("a5_read_at_time", vsql("SELECT * FROM v_base"))
 def a5(spark, d):
-    return states(spark, d).table.read(at=CUT.replace(month=6))
+    return timeline.as_of(states(spark, d).line, CUT.replace(month=6))
 
 
 SNAPSHOT_SQL = """
@@ -82,7 +81,7 @@ SELECT n.* FROM v_delta n LEFT JOIN v_base b ON b.order_id = n.order_id WHERE b.
 )
 def j1(spark, d):
     s = states(spark, d)
-    return upsert.upsert(s.base, s.delta, ["order_id"], ["status", "total_amount"])
+    return keyed.merge(s.stored, s.delta, ["status", "total_amount"])
 
 
 # Customers without a state come late, and the premium ones move house.
@@ -132,13 +131,11 @@ def customer_loads(spark, d):
 
 def merged_profiles(spark, d):
     first, late = customer_loads(spark, d)
-    profiles = scratch.durable(
-        silver.customer_profiles(first, adapters.orders(spark, d), AS_OF, CUT), "profiles"
-    )
+    profiles = keyed.store(silver.customer_profiles(first, adapters.orders(spark, d), AS_OF, CUT), ["customer_id"])
     bronze = first.unionByName(late)
-    since = upsert.high_water_mark(profiles, "updated_at")
+    since = upsert.high_water_mark(profiles.rows, "updated_at")
     source = scratch.durable(silver.changed_customers(bronze, since, NOW), "profile-source")
-    return upsert.upsert(profiles, source, ["customer_id"], PROFILE_UPDATES, PROFILE_INSERTS)
+    return keyed.merge(profiles, source, PROFILE_UPDATES, PROFILE_INSERTS)
 
 
 @query("j2_merge_insert_columns", PROFILE_MERGE_SQL)
@@ -189,16 +186,11 @@ SELECT * REPLACE (FALSE AS is_first_order, FALSE AS is_repeat_customer, 'New' AS
 def o3(spark, d):
     s = states(spark, d)
     customers, products = adapters.customers(spark, d), adapters.products(spark, d)
-    target = scratch.durable(silver.enrich_orders(s.base, customers, products, CUT), "silver-first")
+    target = keyed.store(silver.enrich_orders(s.base, customers, products, CUT), ["order_id"])
     bronze = s.base.unionByName(s.delta)
-    since = upsert.high_water_mark(target, "processed_at")
+    since = upsert.high_water_mark(target.rows, "processed_at")
     source = scratch.durable(silver.arrivals(bronze, customers, products, since, NOW), "silver-arrivals")
-    return upsert.upsert(
-        target,
-        source,
-        ["order_id"],
-        ["status", "total_amount", "discount_amount", "channel_category", "processed_at"],
-    )
+    return keyed.merge(target, source, ["status", "total_amount", "discount_amount", "channel_category", "processed_at"])
 
 
 @query("o4_profile_merge", PROFILE_MERGE_SQL)
@@ -278,7 +270,7 @@ def l2(spark, d):
 
 @query("l3_state_as_of", vsql("SELECT order_id, status, total_amount FROM v_main"))
 def l3(spark, d):
-    return states(spark, d).table.read(at=NOW).select("order_id", "status", "total_amount")
+    return timeline.as_of(states(spark, d).line, NOW).select("order_id", "status", "total_amount")
 
 
 COMPARE_SQL = vsql(f"""
@@ -288,13 +280,8 @@ SELECT 'apres_merge', count(*), {msum('total_amount')} FROM v_main""")
 
 
 def version_report(spark, d):
-    table = states(spark, d).table
-    return versioned.compare_versions(
-        {"avant_merge": table.read(at=CUT), "apres_merge": table.read(at=NOW)},
-        "total_amount",
-        "total_orders",
-        "total_revenue",
-    )
+    moments = {"avant_merge": CUT, "apres_merge": NOW}
+    return timeline.compare(states(spark, d).line, moments, "total_amount", "total_orders", "total_revenue")
 
 
 @query("l4_compare_states", COMPARE_SQL)

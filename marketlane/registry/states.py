@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane import scratch
 from marketlane.functions.columns import not_cancelled, ts_lit
+from marketlane.operators import keyed, timeline
 from marketlane.operators.versioned import DELETE, UPSERT, VersionedTable
 from marketlane.registry.base import CUT, NOW
 from marketlane.registry.reference_sql import CTES
@@ -83,6 +85,17 @@ class States:
         )
         self.dropped = table.drop_column("nps_score", MERGED_AT, "wide")
 
+    @cached_property
+    def stored(self) -> keyed.Keyed:
+        """The first load, bucketed by order."""
+        return keyed.store(self.base, ["order_id"])
+
+    @cached_property
+    def line(self) -> timeline.Timeline:
+        """The first load, then the second merged into it, as spans of time."""
+        first = timeline.start(self.base, ["order_id"], CUT)
+        return timeline.record(first, self.delta, NOW, ORDER_COLUMNS)
+
     def corrections(self) -> DataFrame:
         old = self.base.where(F.col("order_date") < F.lit(DEV_BEFORE))
         keep = not_cancelled(F.col("status"))
