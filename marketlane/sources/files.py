@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from marketlane import scratch
 from marketlane.functions.columns import ts_lit
+from marketlane.sources import quoted
 
 # Text keeps its padding both ways; the cleaning step is what trims it. A quote inside quotes is doubled.
 _CSV = {
@@ -20,30 +21,45 @@ _CSV = {
     "ignoreTrailingWhiteSpace": "false",
 }
 MALFORMED = "_malformed"
+_ORIGIN = "_origin"
 
 
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    line_breaks: bool = True,
+    line_breaks: bool | None = None,
     malformed: bool = False,
+    origin: str | None = None,
 ) -> DataFrame:
     """CSV with a header line. Without a schema the types are inferred, at the cost of a pass over the files.
 
-    Line breaks inside quotes are part of the value. A file is then read by one
-    task; where no value has one, ``line_breaks=False`` lets Spark split files.
-    With a schema, ``malformed`` adds a column with the text of each record
-    that does not fit it; the fields that fit keep their values.
+    Line breaks inside quotes are part of the value. Unless ``line_breaks``
+    says whether there are any, the lines are searched for it. Files are read
+    split by split either way (see ``quoted``); only inferring types from files
+    with such values reads each by one task. With a schema, ``malformed`` adds
+    a column with the text of each record that does not fit it; the fields that
+    fit keep their values. ``origin`` names a column for the file's name.
     """
-    reader = spark.read.options(**_CSV).option("multiLine", str(line_breaks).lower())
+    if line_breaks is None:
+        line_breaks = quoted.has_line_breaks(spark, path)
+    if schema is None and line_breaks:
+        schema = spark.read.options(**_CSV).option("multiLine", "true").option("inferSchema", "true").csv(path).schema
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if line_breaks:
+        rows = quoted.read(spark, path, schema, _CSV, MALFORMED if malformed else None)
+        name = F.element_at(F.split(F.col(quoted.FILE), "/"), -1)
+        return (rows if origin is None else rows.withColumn(origin, F.url_decode(name))).drop(quoted.FILE)
+    reader = spark.read.options(**_CSV)
     if schema is None:
-        return reader.option("inferSchema", "true").csv(path)
-    if malformed:
-        fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
-    return reader.schema(schema).option("enforceSchema", "false").csv(path)
+        rows = reader.option("inferSchema", "true").csv(path)
+    else:
+        if malformed:
+            schema = T.StructType([*schema, T.StructField(MALFORMED, T.StringType())])
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+        rows = reader.schema(schema).option("enforceSchema", "false").csv(path)
+    return rows if origin is None else rows.withColumn(origin, F.col("_metadata.file_name"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -97,7 +113,7 @@ def ingest(
     date_columns: tuple[str, ...] = (),
     now: dt.datetime | None = None,
     rejects_path: str | None = None,
-    line_breaks: bool = True,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """CSV to the raw layer: dates parsed from text, stamps added, written as Parquet and read back.
 
@@ -105,7 +121,8 @@ def ingest(
     do not fit it are written to ``rejects_path`` with their text and are no
     part of the layer; without that path a malformed record is an error.
     """
-    read = stamped(read_csv(spark, csv_path, schema, line_breaks, malformed=True), now)
+    found = read_csv(spark, csv_path, schema, line_breaks, malformed=True, origin=_ORIGIN)
+    read = stamped(found, now, F.col(_ORIGIN)).drop(_ORIGIN)
     read = read.withColumns({c: F.try_to_date(F.col(c)) for c in date_columns})
     if rejects_path is None:
         refused = F.raise_error(F.concat(F.lit("malformed record: "), F.col(MALFORMED)))
