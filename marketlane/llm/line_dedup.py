@@ -199,8 +199,10 @@ def drop(docs: DataFrame, store: Store, text: str = "text", key: str = "doc_id")
             names=["kept", "n_lines", "n_dropped"],
         )
 
-    names = [c for c in docs.columns if c not in {"n_lines", "n_dropped"}]
-    joined = docs.select(*names).join(per_doc, F.col(key).eqNullSafe(F.col("_id")), "left")
-    out = joined.withColumn("_out", without(F.col(text), F.col("_keys")))
-    kept = [F.col("_out.kept").alias(c) if c == text else F.col(c) for c in names]
-    return out.select(*kept, F.col("_out.n_lines").alias("n_lines"), F.col("_out.n_dropped").alias("n_dropped"))
+    names = [c for c in docs.columns if c.lower() not in {"n_lines", "n_dropped"}]
+    # The columns travel in one, so that none can clash with those of the join.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    joined = packed.join(per_doc, F.col(f"row.`{key}`").eqNullSafe(F.col("_id")), "left")
+    out = joined.select("row", without(F.col(f"row.`{text}`"), F.col("_keys")).alias("out"))
+    kept = [(F.col("out.kept") if c == text else F.col(f"row.`{c}`")).alias(c) for c in names]
+    return out.select(*kept, F.col("out.n_lines").alias("n_lines"), F.col("out.n_dropped").alias("n_dropped"))
