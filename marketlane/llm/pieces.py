@@ -311,14 +311,15 @@ def decode_udf(v: Vocabulary) -> Callable[[Column], Column]:
 
 
 def encode(docs: DataFrame, v: Vocabulary, text: str = "text") -> DataFrame:
-    """``docs`` with ids, n_tokens and lossless."""
-    names = [c for c in docs.columns if c not in {"ids", "n_tokens", "lossless"}]
-    out = docs.select(*names).withColumn("_out", encode_udf(v)(F.col(text)))
+    """``docs`` with ids, n_tokens and lossless; columns of these names, in any case, are replaced."""
+    names = [c for c in docs.columns if c.lower() not in {"ids", "n_tokens", "lossless"}]
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    out = docs.select(row, encode_udf(v)(F.col(f"`{text}`")).alias("out"))
     return out.select(
-        *names,
-        F.col("_out.ids").alias("ids"),
-        F.size("_out.ids").cast("long").alias("n_tokens"),
-        F.col("_out.lossless").alias("lossless"),
+        *[F.col(f"row.`{c}`").alias(c) for c in names],
+        F.col("out.ids").alias("ids"),
+        F.size("out.ids").cast("long").alias("n_tokens"),
+        F.col("out.lossless").alias("lossless"),
     )
 
 
