@@ -119,10 +119,15 @@ def index(rules: Sequence[Rule], counts: dict[str, int]) -> tuple[Column, int]:
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
-    """``pages`` with host, path, rule (the deciding listed rule or null), verdict and n_rules (that fitted)."""
+    """``pages`` with host, path, rule (the deciding listed rule or null), verdict and n_rules (that fitted).
+
+    Columns of these names, in any case, are replaced.
+    """
     host, path, rest = parts(F.col(url))
-    kept = [c for c in pages.columns if c not in {"host", "path", "rule", "verdict", "n_rules"}]
-    addresses = pages.select(*kept, host.alias("host"), path.alias("path"), F.concat(host, path, rest).alias("_subject"))
+    kept = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict", "n_rules"}]
+    # The columns travel in one, so that none can clash with those added here.
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    addresses = pages.select(row, host.alias("host"), path.alias("path"), F.concat(host, path, rest).alias("_subject"))
     table, size = index(rules, token_counts(addresses, rules))
 
     def fetched(token: Column) -> Column:
@@ -140,7 +145,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFram
         addresses.withColumn("_hits", hits)
         .withColumn("_best", best)
         .select(
-            *kept,
+            *[F.col(f"row.`{c}`").alias(c) for c in kept],
             "host",
             "path",
             F.col("_best.text").alias("rule"),
