@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,8 @@ LABELERS = 6
 FEATURE_BITS = 11
 ACCEPT = 0.9
 BEFORE, AFTER = 40, 2
+# Spans of a text that are handled at once.
+CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -148,19 +151,51 @@ def _features(p: Pattern, value: Column, before: Column, after: Column) -> Colum
     return F.array(*(F.pmod(F.xxhash64(x), F.lit(1 << FEATURE_BITS)).cast("int") for x in parts))
 
 
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _chunks(values: Column) -> Column:
+    """An array cut into arrays of CHUNK, so that work on pairs and growing arrays is done on short ones."""
+    last = F.floor((F.size(values) - 1) / CHUNK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda c: F.slice(values, c * CHUNK + 1, CHUNK))
+    return F.filter(cut, lambda c: F.size(c) > 0)
+
+
+def _ends(sizes: Column, start: Column) -> Column:
+    """Running sums of an array, from ``start`` on."""
+    return F.aggregate(
+        sizes,
+        F.struct(start.alias("at"), F.array().cast("array<int>").alias("ends")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["ends"], F.array(acc["at"] + n)).alias("ends")),
+    )["ends"]
+
+
+def _running(sizes: Column) -> Column:
+    """Running sums of an array of any length: of its chunks, then within each."""
+
+    def within(chunks: Column) -> Column:
+        totals = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda a, n: a + n))
+        return F.flatten(F.zip_with(chunks, F.zip_with(_ends(totals, F.lit(0)), totals, lambda e, n: e - n), _ends))
+
+    return _let(_chunks(sizes), within)
+
+
 def _spans(p: Pattern, text: Column) -> Column:
     """All matches of one pattern: kind, start, end, base, votes, features."""
     gaps, values, afters = (F.regexp_extract_all(text, F.lit(p.expression), F.lit(i)) for i in (1, 2, 3))
     rows = F.arrays_zip(gaps.alias("gap"), values.alias("value"), afters.alias("after"))
-    placed = F.aggregate(
+    return _let(rows, lambda rows: _placed(p, rows))
+
+
+def _placed(p: Pattern, rows: Column) -> Column:
+    ends = _running(F.transform(rows, lambda r: F.length(r["gap"]) + F.length(r["value"])))
+    whole = F.zip_with(
         rows,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, r: F.struct(
-            (acc["at"] + F.length(r["gap"]) + F.length(r["value"])).alias("at"),
-            F.concat(acc["starts"], F.array(acc["at"] + F.length(r["gap"]))).alias("starts"),
-        ),
-    )["starts"]
-    whole = F.zip_with(rows, placed, lambda r, s: F.struct(r["gap"].alias("gap"), r["value"].alias("value"), r["after"].alias("after"), s.alias("start")))
+        ends,
+        lambda r, e: F.struct(r["gap"].alias("gap"), r["value"].alias("value"), r["after"].alias("after"), (e - F.length(r["value"])).alias("start")),
+    )
     return F.transform(
         F.filter(whole, lambda r: _holds(p.kind, r["value"])) if p.base else whole,
         lambda r: F.struct(
@@ -189,8 +224,24 @@ def candidates(docs: DataFrame, text: str = "text") -> Column:
 
     base = F.concat(*(searched(p) for p in PATTERNS if p.base))
     more = F.concat(*(searched(p) for p in PATTERNS if not p.base))
-    free = F.filter(more, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return F.array_sort(F.concat(base, free))
+    return _let(F.array_sort(base), lambda base: F.array_sort(F.concat(base, _free(more, base))))
+
+
+def _free(more: Column, base: Column) -> Column:
+    """The spans of ``more`` that overlap none of ``base``, which is sorted by start; looked up by chunks of it."""
+
+    def looked_up(chunks: Column) -> Column:
+        def taken(m: Column) -> Column:
+            meets = lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])
+            return F.exists(chunks, lambda c: meets(c) & F.exists(c["spans"], meets))
+
+        return F.filter(more, lambda m: ~taken(m))
+
+    bounds = F.transform(
+        _chunks(base),
+        lambda c: F.struct(F.element_at(c, 1)["start"].alias("start"), F.array_max(F.transform(c, lambda s: s["end"])).alias("end"), c.alias("spans")),
+    )
+    return _let(bounds, looked_up)
 
 
 def _pattern_number(span: Column) -> Column:
@@ -234,8 +285,11 @@ def _constant(values: list[float]) -> Column:
 
 
 def find(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFrame:
-    """``docs`` without ``text`` and with spans: array of (kind, start, end, base, score) by start and kind."""
-    kept = [c for c in docs.columns if c not in {text, "spans"}]
+    """``docs`` without ``text`` and with spans: array of (kind, start, end, base, score) by start and kind.
+
+    Columns named spans, in any case, are replaced.
+    """
+    kept = [c for c in docs.columns if c.lower() not in {text.lower(), "spans"}]
     marked = scratch.durable(docs.select(*kept, candidates(docs, text).alias("spans")), "candidates")
     each = marked.select(F.explode("spans").alias("s"))
     numbers = each.groupBy(_pattern_number(F.col("s")).alias("number")).agg(F.count(F.lit(1)).alias("n"))
