@@ -18,12 +18,13 @@ Boilerplate (menus, headers and footers outside the article,
 side columns, notices, adverts, forms, reader comments; told by element name,
 role, whole id, and classes that are a marker or a known form of one) is taken
 out before densities are summed, so none of it counts. Headings are not told by
-class and id, nor are inline elements in an article, main, pre or code element;
-other elements in these only if they are adverts or most of their text is links. A main element inside an ``article`` or ``main`` element gives that
-whole element, and a title in it stays.
+class and id, nor is anything in pre and code, nor inline elements in an article
+or main element. A main element inside an ``article`` or ``main`` element gives
+that whole element, and a title in it stays, as do figures, captions, formulas
+and the text that stands in for media.
 
-The text is that of the main elements in page order: character references decoded, white
-space inside a block turned into one space and trimmed, blocks joined by one
+The text is that of the main elements in page order: character references decoded (each
+text between two tags by itself), white space inside a block turned into one space and trimmed, blocks joined by one
 space in page order; nothing is cut. A null or empty page, or one without text,
 gives the empty text. Truncated and ill-formed markup is read as far as it
 goes. Repeated rows are read alike; other columns are carried along.
@@ -34,20 +35,21 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
-# Elements of forms, menus and media, which hold no main text.
+# Elements of forms, menus and side matter, which hold no main text.
 BOILERPLATE = frozenset(
-    "nav aside footer form button select option fieldset input dialog menu audio video canvas object figure head".split()
+    "nav aside footer form button select option fieldset input dialog menu head".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 ADVERT = r"ads?|advert\w*|adbox|adsense|sponsor(?:s|ed|ship)?|promo(?:s|tion|tions)?|cookies?|consent|gdpr|popup|modal"
@@ -62,7 +64,6 @@ _WITH = (
 )
 MARKED = re.compile(rf"(?:{_WITH}[_-]+)*{MARKER}(?:[_-]+(?:{MARKER}|{_WITH}))*")
 MARKED_ID = re.compile(MARKER)
-MARKED_ADVERT = re.compile(rf"(?:{_WITH}[_-]+)*(?:{ADVERT})(?:[_-]+(?:{MARKER}|{_WITH}))*")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What a start tag closes: the open element of a name, up to the elements that shield it.
 CLOSES = {
@@ -85,21 +86,55 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "boilerplate", "doubtful", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "parent", "children", "boilerplate", "outer", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, name: str, parent: Node | None, boilerplate: bool | None = False) -> None:
-        self.name, self.parent, self.children, self.boilerplate, self.doubtful = name, parent, [], bool(boilerplate), boilerplate is None
+    def __init__(self, name: str, parent: Node | None, boilerplate: bool = False) -> None:
+        self.name, self.parent, self.children, self.boilerplate = name, parent, [], boilerplate
+        # The outermost article or main element it is, or is in.
+        self.outer = (parent and parent.outer) or (self if name in ("article", "main") else None)
 
 
-def _boilerplate(name: str, attributes: str, stack: list[Node]) -> bool | None:
-    """Whether an element is boilerplate; None if its links decide that."""
+class _Open:
+    """The elements that are open, and how many of each name, so that none is searched for in vain."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.names = [root], Counter()
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.names[node.name] += 1
+
+    def cut(self, k: int) -> None:
+        for n in self.stack[k:]:
+            self.names[n.name] -= 1
+        del self.stack[k:]
+
+    def any(self, *names: str) -> bool:
+        return any(self.names[n] for n in names)
+
+    def close(self, wanted: frozenset | set, shields: frozenset | set | None) -> None:
+        """Close the innermost open element of the wanted names, unless a shield (None: any block) lies in between."""
+        if not self.any(*wanted):
+            return
+        for k in range(len(self.stack) - 1, 0, -1):
+            name = self.stack[k].name
+            if shields is not None and name in shields:
+                return
+            if name in wanted:
+                self.cut(k)
+                return
+            if shields is None and name not in INLINE:
+                return
+
+
+def _boilerplate(name: str, attributes: str, held: _Open) -> bool:
     if name in BOILERPLATE:
         return True
-    if name == "header" and not _inside(stack):
+    if name == "header" and not held.any("article", "main"):
         return True
     if name in ("body", "html", "article", "main"):
         return False
-    marked = advert = False
+    marked = False
     for m in _ATTRIBUTE.finditer(attributes):
         value = (m[2] or m[3] or m[4] or "").lower()
         kind = m[1].lower()
@@ -108,41 +143,35 @@ def _boilerplate(name: str, attributes: str, stack: list[Node]) -> bool | None:
         if kind in ("class", "id"):
             names, pattern = (value.split(), MARKED) if kind == "class" else ([value.strip()], MARKED_ID)
             marked = marked or any(pattern.fullmatch(x) for x in names)
-            advert = advert or kind == "class" and any(MARKED_ADVERT.fullmatch(x) for x in names)
-    if not marked or name in HEADINGS:
+    if not marked or name in HEADINGS or held.any("pre", "code"):
         return False
-    if not _inside(stack):
-        return True
-    return False if name in INLINE else advert or None
-
-
-def _inside(stack: list[Node]) -> bool:
-    return any(n.name in ("article", "main", "pre", "code") for n in stack)
+    return not (name in INLINE and held.any("article", "main"))
 
 
 def tree(page: str) -> Node:
+    """Elements and their texts, whose character references are decoded text by text."""
     root = Node("html", None)
-    stack, at, size = [root], 0, len(page)
+    held = _Open(root)
+    stack, at, size = held.stack, 0, len(page)
     body = None
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
-            stack[-1].children.append(page[at:])
+            stack[-1].children.append(html.unescape(page[at:]))
             break
         if m.start() > at:
-            stack[-1].children.append(page[at : m.start()])
+            stack[-1].children.append(html.unescape(page[at : m.start()]))
         at = m.end()
         if m[2] is None:
             continue
         name = m[2].lower()
         if m[1]:
-            if name == "p" and not any(n.name == "p" for n in stack):
+            if not held.names[name]:
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
                     # An inline end tag does not close the block round it.
-                    if name not in INLINE or all(n.name in INLINE for n in stack[k + 1 :]):
-                        del stack[k:]
+                    held.cut(k)
                     break
                 if name in INLINE and stack[k].name not in INLINE:
                     break
@@ -155,28 +184,17 @@ def tree(page: str) -> Node:
         if name == "html" or name == "body" and body is not None:
             continue
         if name in ENDS_PARAGRAPH:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == "p":
-                    del stack[k:]
-                    break
-                if stack[k].name not in INLINE:
-                    break
+            held.close({"p"}, None)
         if name in CLOSES:
-            closed, shields = CLOSES[name]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in shields:
-                    break
-                if stack[k].name in closed:
-                    del stack[k:]
-                    break
+            held.close(*CLOSES[name])
         if name == "body":
-            del stack[1:]
-        node = Node(name, stack[-1], _boilerplate(name, m[3], stack))
+            held.cut(1)
+        node = Node(name, stack[-1], _boilerplate(name, m[3], held))
         stack[-1].children.append(node)
         if name == "body":
             body = node
         if name not in VOID and not m[3].endswith("/"):
-            stack.append(node)
+            held.push(node)
     return root
 
 
@@ -191,7 +209,7 @@ def _measure(root: Node) -> Node:
         node.chars, node.tags, node.link_chars, node.link_tags = 0, 0, 0, 0
         for c in node.children:
             if isinstance(c, str):
-                node.chars += len(_SPACE.sub(" ", html.unescape(c)).strip())
+                node.chars += len(_SPACE.sub(" ", c).strip())
             elif not c.boilerplate:
                 node.chars += c.chars
                 node.tags += c.tags + 1
@@ -199,8 +217,6 @@ def _measure(root: Node) -> Node:
                 node.link_tags += c.link_tags + (c.name == "a")
         if node.name == "a":
             node.link_chars = node.chars
-        if node.doubtful and 2 * node.link_chars > node.chars:
-            node.boilerplate = True
     share = body.link_chars / body.chars if body.chars else 0.0
     for node in reversed(order):
         c, t, links, link_tags = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
@@ -242,11 +258,7 @@ def main_nodes(root: Node) -> list[Node]:
 
 def _lifted(node: Node) -> Node:
     """The outermost article or main element round an element, else the block it stands in."""
-    chosen, up = node, node
-    while up is not None:
-        if up.name in ("article", "main"):
-            chosen = up
-        up = up.parent
+    chosen = node.outer or node
     while chosen.parent is not None and chosen.name in INLINE:
         chosen = chosen.parent
     return chosen
@@ -257,7 +269,7 @@ def text_of(node: Node) -> str:
     run: list[str] = []
 
     def close() -> None:
-        if text := _SPACE.sub(" ", html.unescape("".join(run))).strip():
+        if text := _SPACE.sub(" ", "".join(run)).strip():
             blocks.append(text)
         run.clear()
 

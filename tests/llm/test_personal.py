@@ -129,3 +129,14 @@ def test_long_credentials_and_addresses_are_whole(spark):
         assert [(s.start, s.end, personal.KINDS[s.kind]) for s in spans[i]] == [(start, start + len(value), kind)]
     found = {r.doc_id: [(s.kind, s.end) for s in r.spans] for r in personal.find(frame(spark, texts)).collect()}
     assert found[0] == [("secret", len("use token=") + len(token))]
+
+
+def test_many_spans_in_one_text(spark):
+    """Spans across several chunks, and columns that could clash."""
+    text = " ".join(f"mail a{i}@ex{i}.com or call (555) 123-{i + 1000}, ok" for i in range(700))
+    docs = spark.createDataFrame([(1, text, 5)], "doc_id long, text string, SPANS int")
+    (row,) = personal.find(docs).collect()
+    base = [(s["start"], s["end"]) for s in row["spans"] if s["base"]]
+    want = [m.span() for m in re.finditer(r"a[0-9]+@ex[0-9]+\.com", text)]
+    assert base == want
+    assert [(s["start"], s["end"]) for s in row["spans"] if not s["base"]] == [m.span() for m in re.finditer(r"\(555\) 123-[0-9]+", text)]

@@ -52,3 +52,10 @@ def test_empty_table(spark):
 )
 def test_tokens_are_whole_words(text, tokens):
     assert url_rules.Rule(text).tokens == tokens
+
+
+def test_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", 7, 8, 9)], "page_id long, url string, _subject int, HOST int, _hits int")
+    out = url_rules.judge(pages, queries.URL_RULES)
+    assert out.columns == ["page_id", "url", "_subject", "_hits", "host", "path", "rule", "verdict", "n_rules"]
+    assert tuple(out.first())[:7] == (1, "http://a.org/x", 7, 9, "a.org", "/x", "org/")
