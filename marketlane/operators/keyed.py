@@ -75,25 +75,29 @@ def merge(
     source: DataFrame,
     update: list[str],
     insert: list[str] | None = None,
-    newer_by: str | None = None,
+    newer_by: str | list[str] | None = None,
     keys: list[str] | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """The whole target after the merge.
 
     A key in both gets the source's ``update`` columns; a key only in the
     source is inserted with its ``insert`` columns (all by default), the others
     NULL. With ``newer_by`` a row is updated only by one whose value there is
-    larger. ``source`` is read twice: pass a stored table. A key it holds more
-    than once is refused. ``keys`` is needed only for a plain frame as target.
+    larger; of several columns the first that differs decides, NULL is smallest. ``source`` is read twice: pass a stored table. A key it holds more
+    than once is refused; ``unique`` says that none is, and it is read once.
+    ``keys`` is needed only for a plain frame as target.
     """
     keys = list(target.keys) if isinstance(target, Keyed) else list(keys or ())
     rows = target.rows if isinstance(target, Keyed) else target
-    require_unique(source, keys)
+    if not unique:
+        require_unique(source, keys)
     given = set(source.columns if insert is None else insert)
     wins = arrived()
     if newer_by is not None:
-        old, new = F.col(newer_by), F.col(f"{_NEW}{newer_by}")
-        wins = wins & F.coalesce(new > old, old.isNull() & new.isNotNull())
+        order = [newer_by] if isinstance(newer_by, str) else newer_by
+        old, new = (F.struct(*[F.col(side + c).alias(c) for c in order]) for side in ("", _NEW))
+        wins = wins & (new > old)
     cells = []
     for f in rows.schema.fields:
         new = F.col(f"{_NEW}{f.name}") if f.name in source.columns else F.lit(None)

@@ -12,7 +12,7 @@ from marketlane.registry.base import AS_OF, CUT, NOW, query
 from marketlane.registry.reference_sql import CTES, msum, sql
 from marketlane.registry.states import MERGED_AT, ORDER_COLUMNS, STATE_SQL, first_load, states
 from marketlane.sources import adapters
-from marketlane.streaming import continuous
+from marketlane.streaming import continuous, keyfeed
 
 
 def vsql(body: str, **extra: str) -> str:
@@ -372,18 +372,31 @@ def m3(spark, d):
 # ------------------------------------------------------------------- Q
 
 
+def _late_and_new(spark, s):
+    """The second load as a stream of files; an older version of every arriving row comes last and must not win."""
+    inbox = scratch.new_dir(spark, "inbox")
+    s.delta.repartitionByRange(2, "ingested_at").write.parquet(inbox)
+    older = s.delta.withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 2000 DAYS"))
+    older.withColumn("status", F.lit("outdated")).coalesce(1).write.mode("append").parquet(inbox)
+    return continuous.arriving_files(spark, inbox, schemas.BRONZE_ORDERS, files_per_batch=1)
+
+
 @query("q1_streaming_upsert", vsql("SELECT * FROM v_main"))
 def q1(spark, d):
     s = states(spark, d)
     table = versioned.VersionedTable(spark, scratch.new_dir(spark, "streamed"), ["order_id"])
     table.create(s.base, CUT)
-    inbox = scratch.new_dir(spark, "inbox")
-    s.delta.repartitionByRange(2, "ingested_at").write.parquet(inbox)
-    # An older version of every arriving row comes last and must not win.
-    older = s.delta.withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 2000 DAYS"))
-    older.withColumn("status", F.lit("outdated")).coalesce(1).write.mode("append").parquet(inbox)
-    stream = continuous.arriving_files(spark, inbox, schemas.BRONZE_ORDERS, files_per_batch=1)
+    stream = _late_and_new(spark, s)
     continuous.upsert_stream(
         stream, table, ORDER_COLUMNS, scratch.new_dir(spark, "stream-state"), "ingested_at"
     ).awaitTermination()
     return table.read()
+
+
+@query("q1_stateful_upsert", vsql("SELECT * FROM v_main"))
+def q1_stateful(spark, d):
+    s = states(spark, d)
+    feed = keyfeed.start(s.base, ["order_id"], "ingested_at")
+    stream = _late_and_new(spark, s)
+    keyfeed.listen(feed, stream, scratch.new_dir(spark, "feed-state")).awaitTermination()
+    return keyfeed.current(feed)

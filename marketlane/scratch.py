@@ -53,6 +53,20 @@ def _delete(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def finished(spark: SparkSession, path: str) -> list[str]:
+    """The folders right under ``path`` that a job has written to its end."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [entry.getPath() for entry in files.listStatus(parent) if entry.isDirectory()]
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(p.toString() for p in found if files.exists(mark(p, "_SUCCESS")))
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _delete(spark, path)
+
+
 @contextmanager
 def held(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``durable`` for the length of a block; what was written is deleted after it."""
