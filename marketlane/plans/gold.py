@@ -94,12 +94,13 @@ def daily_sales(silver: DataFrame, now: dt.datetime) -> DataFrame:
     return _shaped(daily, schemas.GOLD_DAILY, derived)
 
 
-def favourites(rows: DataFrame, key: str, choices: dict[str, str]) -> DataFrame:
+def favourites(rows: DataFrame, key: str, choices: dict[str, str], uses: str | None = None) -> DataFrame:
     """The most frequent value of several columns per ``key``, in one pass.
 
     ``choices`` maps an output name to a column. Equal counts go to the value
     that sorts first, NULL last. Counting comes first, so a key with very many
-    rows is one counter per distinct value by the time it is shuffled.
+    rows is one counter per distinct value by the time it is shuffled. ``uses``
+    names how many rows a row stands for.
     """
     names = list(choices)
     tagged = F.array(
@@ -109,9 +110,9 @@ def favourites(rows: DataFrame, key: str, choices: dict[str, str]) -> DataFrame:
         ]
     )
     counted = (
-        rows.select(key, F.explode(tagged).alias("c"))
+        rows.select(key, F.explode(tagged).alias("c"), *([uses] if uses else []))
         .groupBy(key, "c.choice", "c.value")
-        .agg(F.count(F.lit(1)).alias("uses"))
+        .agg((F.sum(uses) if uses else F.count(F.lit(1))).alias("uses"))
     )
     preference = F.struct(-F.col("uses"), F.col("value").isNull(), F.col("value"))
     return counted.groupBy(key).agg(
@@ -157,9 +158,25 @@ def customer_360(
     A customer whose details changed between orders has one row per version of
     the details; ``_variant`` tells these rows apart.
     """
+    liked = favourites(
+        valid_rows(silver),
+        "customer_id",
+        {
+            "favorite_category": "product_category",
+            "favorite_payment_method": "payment_method",
+            "favorite_channel": "order_source",
+        },
+    )
+    return scored_customers(customer_metrics(silver, as_of), liked, customers, now, rows_per_slice)
+
+
+def scored_customers(
+    counted: DataFrame, liked: DataFrame, customers: DataFrame, now: dt.datetime, rows_per_slice: int | None = None
+) -> DataFrame:
+    """Scores, ranks and churn from the metrics and favourites of customers."""
     described_by = ["customer_name", "customer_email", "customer_segment", "customer_city", "customer_state"]
     metrics = scratch.durable(
-        customer_metrics(silver, as_of).withColumn("_variant", F.xxhash64(*described_by)), "customer-metrics"
+        counted.withColumn("_variant", F.xxhash64(*described_by)), "customer-metrics"
     )
     scores = score_scales(
         metrics,
@@ -178,15 +195,6 @@ def customer_360(
         ranks={"lifetime_value_rank": "value", "segment_rank": "segment"},
         rows_per_slice=rows_per_slice,
     )
-    liked = favourites(
-        valid_rows(silver),
-        "customer_id",
-        {
-            "favorite_category": "product_category",
-            "favorite_payment_method": "payment_method",
-            "favorite_channel": "order_source",
-        },
-    )
     registered = customers.select("customer_id", "registration_date")
     joined = (
         metrics.join(scores, ["customer_id", "_variant"])
@@ -203,18 +211,23 @@ def customer_360(
     return _shaped(joined, schemas.GOLD_CUSTOMERS, derived)
 
 
+def trend_windows(as_of: dt.date) -> tuple[Column, Column]:
+    """Whether an order lies in the last 30 days, and in the 30 days before them."""
+    day = F.col("order_date")
+    recent_from = as_of - dt.timedelta(days=RECENT_DAYS)
+    before_from = as_of - dt.timedelta(days=2 * RECENT_DAYS)
+    before_to = as_of - dt.timedelta(days=RECENT_DAYS + 1)
+    return day >= C.date_lit(recent_from), day.between(C.date_lit(before_from), C.date_lit(before_to))
+
+
 def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
     """Totals and 30-day trends per product. ``silver`` is read twice: pass the stored table.
 
     A product renamed between orders has a row per name, each with the trend of
     the product as a whole.
     """
-    total, day = F.col("total_amount"), F.col("order_date")
-    recent_from = as_of - dt.timedelta(days=RECENT_DAYS)
-    before_from = as_of - dt.timedelta(days=2 * RECENT_DAYS)
-    before_to = as_of - dt.timedelta(days=RECENT_DAYS + 1)
-    recent = day >= C.date_lit(recent_from)
-    before = day.between(C.date_lit(before_from), C.date_lit(before_to))
+    total = F.col("total_amount")
+    recent, before = trend_windows(as_of)
     totals = with_distinct_counts(
         valid_rows(silver),
         ["product_id", "product_name", "product_category"],
@@ -228,6 +241,11 @@ def product_metrics(silver: DataFrame, as_of: dt.date) -> DataFrame:
         },
         {"total_orders": "order_id", "unique_customers": "customer_id"},
     )
+    return with_trends(totals)
+
+
+def with_trends(totals: DataFrame) -> DataFrame:
+    """Totals of each name of a product with the trend of the product as a whole."""
     whole = Window.partitionBy("product_id")  # as many rows as the product had names
     return totals.select(
         "product_id",
@@ -281,8 +299,15 @@ def product_performance(
     rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Revenue, growth quadrant, ranks and stock cover per product."""
+    return scored_products(product_metrics(silver, as_of), products, now, rows_per_slice)
+
+
+def scored_products(
+    counted: DataFrame, products: DataFrame, now: dt.datetime, rows_per_slice: int | None = None
+) -> DataFrame:
+    """Quadrants, ranks and stock cover from the metrics of products."""
     metrics = scratch.durable(
-        product_metrics(silver, as_of).withColumn("_variant", F.xxhash64("product_name", "product_category")),
+        counted.withColumn("_variant", F.xxhash64("product_name", "product_category")),
         "product-metrics",
     )
     ranks = score_scales(
