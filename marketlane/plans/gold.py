@@ -196,11 +196,7 @@ def scored_customers(
         rows_per_slice=rows_per_slice,
     )
     registered = customers.select("customer_id", "registration_date")
-    joined = (
-        metrics.join(scores, ["customer_id", "_variant"])
-        .join(liked, "customer_id", "left")
-        .join(registered, "customer_id", "left")
-    )
+    joined = scores.join(liked, "customer_id", "left").join(registered, "customer_id", "left")
     score_sum = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     derived = {
         "customer_tier": C.spend_tier(F.col("lifetime_value")),
@@ -327,7 +323,7 @@ def scored_products(
     mean = metrics.agg(
         (of_steps(F.sum(steps(recent))) / F.count(recent)).alias("mean")
     ).scalar()
-    joined = metrics.join(ranks, ["product_id", "_variant"]).join(stock, "product_id", "left")
+    joined = ranks.join(stock, "product_id", "left")
     derived = {
         "revenue_growth_pct": growth_pct(recent, before),
         "performance_quadrant": quadrant(recent, before, mean),

@@ -339,7 +339,7 @@ def customer_totals(spark, d):
   CAST(ntile(5) OVER (ORDER BY lifetime_value DESC, customer_id) AS INT) AS monetary_score FROM spend"""),
 )
 def g3(spark, d):
-    return ranking.score_scales(
+    scored = ranking.score_scales(
         customer_totals(spark, d),
         ["customer_id"],
         scales={
@@ -353,6 +353,7 @@ def g3(spark, d):
             "monetary_score": ("value", 5),
         },
     )
+    return scored.select("customer_id", "recency_score", "frequency_score", "monetary_score")
 
 
 @query(
@@ -375,8 +376,9 @@ def g4(spark, d):
 )
 def g5(spark, d):
     totals = customer_totals(spark, d).select("customer_id", "customer_segment", "total_orders")
-    placed = ranking.positions(totals, ["customer_id"], [("total_orders", True)], ["customer_segment"])
-    return placed.select("customer_id", "customer_segment", F.col("rank").alias("segment_rank"))
+    scales = {"segment": ("customer_segment", "total_orders", True)}
+    ranked = ranking.score_scales(totals, ["customer_id"], scales, ranks={"segment_rank": "segment"})
+    return ranked.select("customer_id", "customer_segment", "segment_rank")
 
 
 @query(

@@ -62,7 +62,9 @@ def test_tile_sizes(spark, n, k):
     assert got == tiles(n, k)[:n]
 
 
-def test_scales_share_one_sort(spark):
+@pytest.mark.parametrize("rows_per_slice", [7, None])
+@pytest.mark.parametrize("broadcast_rows", [0, None])
+def test_scales_by_counted_values(spark, rows_per_slice, broadcast_rows):
     data = [(f"c{i}", "x" if i < 20 else "y", float(i % 4), i) for i in range(30)]
     df = spark.createDataFrame(data, "c STRING, seg STRING, spent DOUBLE, orders INT")
     scored = ranking.score_scales(
@@ -71,8 +73,10 @@ def test_scales_share_one_sort(spark):
         scales={"spent": (None, "spent", True), "orders": (None, "orders", False), "seg": ("seg", "spent", True)},
         tiles={"spent_tile": ("spent", 5), "orders_tile": ("orders", 5)},
         ranks={"all_rank": "spent", "seg_rank": "seg"},
-        rows_per_slice=7,
+        rows_per_slice=rows_per_slice,
+        broadcast_rows=broadcast_rows,
     )
+    assert scored.count() == 30
     got = {r["c"]: r for r in scored.collect()}
     spent = brute(data, lambda r: 0, lambda r: r[2], True)
     orders = brute(data, lambda r: 0, lambda r: r[3], False)
@@ -81,3 +85,50 @@ def test_scales_share_one_sort(spark):
         assert row["spent_tile"] == tiles(30, 5)[spent[key][0] - 1]
         assert row["orders_tile"] == tiles(30, 5)[orders[key][0] - 1]
         assert (row["all_rank"], row["seg_rank"]) == (spent[key][1], seg[key][1])
+
+
+@pytest.mark.parametrize("rows_per_slice", [5, None])
+@pytest.mark.parametrize("broadcast_rows", [0, None])
+@pytest.mark.parametrize("size", [0, 3, 200])
+def test_tiles_of_ties_nulls_and_odd_values(spark, size, rows_per_slice, broadcast_rows):
+    """Half of the rows tie on zero, of either sign; some have no value, no number or no part."""
+    rng = random.Random(size)
+    odd = [0.0, -0.0, 0.0, 0.0, None, float("nan"), 1.0, 2.0, -3.5, 7.25]
+    data = [(i % 2, f"k{i:03d}" if i != 5 else None, rng.choice(["x", "x", None, "y"]), rng.choice(odd)) for i in range(size)]
+    df = spark.createDataFrame(data, "a INT, b STRING, part STRING, v DOUBLE")
+    scored = ranking.score_scales(
+        df,
+        ["a", "b"],
+        scales={"up": (None, "v", False), "down": (None, "v", True), "in": ("part", "v", False)},
+        tiles={"three": ("up", 3), "five": ("up", 5), "seven": ("down", 7)},
+        ranks={"all_rank": "up", "part_rank": "in"},
+        rows_per_slice=rows_per_slice,
+        broadcast_rows=broadcast_rows,
+    )
+    got = {(r["a"], r["b"]): r for r in scored.collect()}
+    assert len(got) == size
+
+    def place(v, descending=False):
+        if v is None:
+            return (2, 0)
+        return (1, 0) if v != v else (0, (-v if descending else v) + 0.0)
+
+    def key(r):
+        return (r[0], r[1] is None, r[1] or "")
+
+    up = sorted(data, key=lambda r: (place(r[3]), key(r)))
+    down = sorted(data, key=lambda r: (place(r[3], True), key(r)))
+    for i, r in enumerate(up):
+        mine = got[r[0], r[1]]
+        assert (mine["three"], mine["five"]) == (tiles(size, 3)[i], tiles(size, 5)[i])
+        assert mine["all_rank"] == 1 + sum(place(o[3]) < place(r[3]) for o in data)
+        assert mine["part_rank"] == 1 + sum(place(o[3]) < place(r[3]) for o in data if o[2] == r[2])
+    for i, r in enumerate(down):
+        assert got[r[0], r[1]]["seven"] == tiles(size, 7)[i]
+
+
+def test_scales_do_not_sort_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    scored = ranking.score_scales(df, ["k"], {"v": (None, "v", True)}, ranks={"place": "v"})
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
