@@ -23,6 +23,12 @@ def files(df: DataFrame) -> DataFrame:
     )
 
 
+def ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per data file: path, rows, and the least and greatest value of each column. Store it beside the files."""
+    spans = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    return df.groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("record_count"), *spans)
+
+
 def largest_files(df: DataFrame, k: int = 20) -> DataFrame:
     return (
         files(df)

@@ -1,16 +1,19 @@
-"""File maintenance: compaction by size and a sorted rewrite."""
+"""File maintenance: compaction by size, a sorted rewrite, and a rewrite along a space-filling curve."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlane.operators import inspect
 from marketlane.settings import held
 
 TARGET_BYTES = 256 * 1024 * 1024
+# Cells of a column along the curve, as a power of two, and the rows whose values cut it into cells.
+CELL_BITS = 6
+SAMPLE_ROWS = 10_000
 _SIZE_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
@@ -29,6 +32,12 @@ def compact(
     return spark.read.schema(df.schema).parquet(out)
 
 
+def _files_for(df: DataFrame) -> int:
+    """How many files of the target size a stored table fills."""
+    size = inspect.files(df).agg(F.sum("file_size_in_bytes").alias("b")).first()["b"]
+    return max(1, math.ceil((size or 0) / TARGET_BYTES))
+
+
 def sorted_rewrite(
     df: DataFrame, out: str, sort_by: list[str], spread: str, partitions: int | None = None
 ) -> DataFrame:
@@ -38,9 +47,77 @@ def sorted_rewrite(
     of the sort columns can fill several files.
     """
     spark = df.sparkSession
-    if partitions is None:
-        size = inspect.files(df).agg(F.sum("file_size_in_bytes").alias("b")).first()["b"]
-        partitions = max(1, math.ceil((size or 0) / TARGET_BYTES))
+    partitions = partitions or _files_for(df)
     ordered = df.repartitionByRange(partitions, *sort_by, spread).sortWithinPartitions(*sort_by, spread)
     ordered.write.mode("errorifexists").parquet(out)
     return spark.read.schema(df.schema).parquet(out)
+
+
+def _cell(column: Column, cuts: list) -> Column:
+    """Number of ``cuts`` (sorted, one less than a power of two) not above a value, by bisection; NULL is in cell 0."""
+    held = F.array(*[F.lit(c) for c in cuts])
+    halves = [(len(cuts) + 1) >> k for k in range(1, (len(cuts) + 1).bit_length())]
+    steps = F.array(*[F.lit(h) for h in halves])
+    at = F.aggregate(
+        steps, F.lit(0), lambda found, step: F.when(F.get(held, found + step - 1) <= column, found + step).otherwise(found)
+    )
+    return F.coalesce(at, F.lit(0))
+
+
+def curve_place(df: DataFrame, by: list[str], spread: str, bits: int = CELL_BITS) -> Column:
+    """A row's place on the Z-order curve over the columns ``by``.
+
+    Each column is cut into cells that hold about as many rows each, by the values
+    of SAMPLE_ROWS rows (those with the smallest hash of ``spread``); the bits of
+    the cells are taken in turn, highest first. The sample bears on how evenly the
+    cells are filled, on nothing else.
+    """
+    sample = df.select(spread, *by).orderBy(F.xxhash64(spread), *by).limit(SAMPLE_ROWS).collect()
+    cells = []
+    for name in by:
+        values = sorted(r[name] for r in sample if r[name] is not None)
+        count = 1 << bits
+        cells.append(_cell(F.col(name), [values[len(values) * k // count] for k in range(1, count)]) if values else F.lit(0))
+    place = F.lit(0).cast("bigint")
+    for bit in reversed(range(bits)):
+        for cell in cells:
+            place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(cell, bit).bitwiseAND(F.lit(1)).cast("bigint"))
+    return place
+
+
+def curve_rewrite(
+    df: DataFrame, out: str, by: list[str], spread: str, partitions: int | None = None, bits: int = CELL_BITS
+) -> DataFrame:
+    """Write the rows along the Z-order curve over ``by``, so that each file spans little of every column.
+
+    A sorted rewrite narrows its first column only; here a condition on any of
+    them leaves out files, a condition on several more of them. The curve is cut
+    where its highest bits change, into as many stretches as there are to be files (a
+    power of two), so no file lies over a corner. A stretch that holds many rows, say
+    those of one buyer, fills several files. ``spread`` is a column with many values.
+    """
+    spark = df.sparkSession
+    partitions = partitions or _files_for(df)
+    kept = min(bits * len(by), (partitions - 1).bit_length())
+    stretch = F.shiftright("_place", bits * len(by) - kept)
+    placed = df.withColumn("_place", curve_place(df, by, spread, bits)).withColumn("_stretch", stretch)
+    gathered = placed.hint("rebalance", F.col("_stretch")).sortWithinPartitions("_stretch", "_place", *by, spread)
+    with held(spark, _SIZE_SETTING, str(TARGET_BYTES)):
+        gathered.drop("_place").write.mode("errorifexists").partitionBy("_stretch").parquet(out)
+    return spark.read.schema(df.schema).option("recursiveFileLookup", True).parquet(out)
+
+
+def read_within(spark: SparkSession, ranges: DataFrame, stored: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
+    """Rows of ``stored`` with each column of ``bounds`` between its two values (inclusive).
+
+    ``ranges`` is ``inspect.ranges`` of the same files; only files whose ranges
+    meet the bounds are opened. Their paths come to the driver, which lists files anyway.
+    """
+    meets, holds = F.lit(True), F.lit(True)
+    for name, (low, high) in bounds.items():
+        meets &= (F.col(f"min_{name}") <= F.lit(high)) & (F.col(f"max_{name}") >= F.lit(low))
+        holds &= F.col(name).between(F.lit(low), F.lit(high))
+    paths = [r["file_path"] for r in ranges.where(meets).select("file_path").collect()]
+    if not paths:
+        return stored.where(F.lit(False))
+    return spark.read.schema(stored.schema).parquet(*paths).where(holds)

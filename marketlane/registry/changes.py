@@ -357,6 +357,44 @@ def m2(spark, d):
     return maintain.sorted_rewrite(stored, out, ["order_year", "order_month", "customer_id"], "order_id")
 
 
+_CURVE = ["order_year", "order_month", "customer_id"]
+
+
+def _along_curve(spark, d):
+    from marketlane.registry.products import job_orders
+
+    stored = scratch.durable(job_orders(spark, d), "job-orders")
+    return maintain.curve_rewrite(stored, scratch.new_dir(spark, "curve"), _CURVE, "order_id", 64)
+
+
+@query("m2_curve_rewrite", sql("SELECT * FROM job_orders"))
+def m2_curve(spark, d):
+    return _along_curve(spark, d)
+
+
+@query(
+    "m2_curve_files",
+    sql("""SELECT order_year, order_month, count(*) AS orders, count(customer_id) AS with_customer, TRUE AS few_files
+FROM job_orders GROUP BY order_year, order_month"""),
+)
+def m2_curve_files(spark, d):
+    """Orders of each month, and whether less than half of the files can hold the month."""
+    laid = _along_curve(spark, d)
+    months = laid.groupBy("order_year", "order_month").agg(
+        F.count(F.lit(1)).alias("orders"), F.count("customer_id").alias("with_customer")
+    )
+    spans = scratch.durable(inspect.ranges(laid, _CURVE), "ranges")
+    # A file's months lie in a box of years and months: as many rows as the calendar has in it.
+    year = F.explode(F.sequence("min_order_year", "max_order_year")).alias("order_year")
+    month = F.explode(F.sequence("min_order_month", "max_order_month")).alias("order_month")
+    may_hold = spans.select("file_path", "min_order_month", "max_order_month", year).select("order_year", month)
+    files = may_hold.groupBy("order_year", "order_month").agg(F.count(F.lit(1)).alias("files"))
+    every = spans.count()
+    return months.join(files, ["order_year", "order_month"], "left").select(
+        "order_year", "order_month", "orders", "with_customer", (F.col("files") * 2 < every).alias("few_files")
+    )
+
+
 @query("m3_snapshot_expiry", vsql("SELECT * FROM v_main"))
 def m3(spark, d):
     """A table of its own: the first load expires, the current state must not change."""
