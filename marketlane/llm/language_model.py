@@ -4,8 +4,9 @@ A text's tokens are its words, runs without white space [\\x20\\x09-\\x0D] with
 A-Z lower-cased, and one end. Counts of all tokens of the documents to learn
 from are taken over the whole corpus and looked up for every block of
 documents (``blocks``). The ``HEADS`` most frequent tokens are predicted one by
-one; a rarer one by the class of its spelling (its first two characters) and
-its share of that class; those seen once, and all unseen tokens as one, by the
+one; a rarer one by the class of its spelling (its first two characters), by
+its turns in that class's tree to one of ``2 ** DEPTH`` leaves, to which it is
+hashed, and by its share of the leaf; those seen once, and all unseen tokens as one, by the
 class of new tokens, in which unseen ones have the share that the numbers of
 words seen once and twice suggest (Good and Turing). So the model spreads all
 probability over the known tokens and one unseen token, as the base score does.
@@ -38,7 +39,9 @@ from marketlane import scratch
 from marketlane.llm import blocks, recurrent
 
 HEADS = 256
-SHAPE = recurrent.Shape(heads=HEADS, width=32, spellings=16)
+# Of the tree of each spelling: 16 * 512 leaves for the words below the heads that were seen more than once.
+DEPTH = 9
+SHAPE = recurrent.Shape(heads=HEADS, width=32, spellings=16, depth=DEPTH)
 ROUNDS = 3
 END = ""
 ADDED = 0.1
@@ -54,24 +57,29 @@ class Counts:
     twice: int
     heads: dict[str, int]  # word to count, most frequent first, the end before all
     spellings: tuple[int, ...]  # tokens of words below the heads that were seen more than once
+    leaves: tuple[int, ...] = ()  # the same by spelling and leaf
 
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + ADDED) / (self.tokens + ADDED * (self.distinct + 1)))
 
     def share(self, counts: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """log10 of a token's share of its code: its class of spelling, or the new tokens."""
+        """log10 of a token's share of its code: its leaf or class of spelling, or the new tokens."""
         out = np.zeros(len(counts))
+        leaf = codes >= SHAPE.first_leaf
+        out[leaf] = np.log10(counts[leaf] / np.array(self.leaves)[codes[leaf] - SHAPE.first_leaf]) if leaf.any() else 0
+        new = (codes >= HEADS + SHAPE.spellings) & ~leaf
         rare = (codes >= HEADS) & (codes < HEADS + SHAPE.spellings)
         out[rare] = np.log10(counts[rare] / np.array(self.spellings)[codes[rare] - HEADS])
         unseen = (self.once + 1) / (self.once + 2 * self.twice + 2) if self.once else 1.0
-        out[(codes >= HEADS + SHAPE.spellings) & (counts == 0)] = math.log10(unseen)
+        out[new & (counts == 0)] = math.log10(unseen)
         if self.once:
-            once = (codes >= HEADS + SHAPE.spellings) & (counts > 0)
+            once = new & (counts > 0)
             out[once] = math.log10((1 - unseen) / self.once)
         return out
 
     def start(self) -> recurrent.Model:
-        return recurrent.start(SHAPE, np.array(list(self.heads.values()), float), np.array(self.spellings, float), self.once + 1)
+        leaves = np.array(self.leaves, float) if self.leaves else None
+        return recurrent.start(SHAPE, np.array(list(self.heads.values()), float), np.array(self.spellings, float), self.once + 1, leaves)
 
 
 def _spelling(word: str) -> int:
@@ -121,26 +129,28 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
 
 
 def _counts(rows: DataFrame) -> Counts:
-    """Corpus figures: two bounded results, one row for each spelling and HEADS words."""
+    """Corpus figures: two bounded results, one row for each leaf and HEADS words."""
     one = rows.where(F.col("first") & (F.col("total") > 0))
     total = F.col("total")
-    figures = one.groupBy("spelling").agg(
+    figures = one.groupBy("leaf").agg(
         F.sum("total").alias("tokens"),
         F.count(F.lit(1)).alias("distinct"),
         F.count_if(total == 1).alias("once"),
         F.count_if(total == 2).alias("twice"),
         F.coalesce(F.sum(F.when(total > 1, total)), F.lit(0)).alias("often"),
     )
-    parts = {r["spelling"]: r for r in figures.collect()}
+    parts = {r["leaf"]: r for r in figures.collect()}
     end = F.col("key") == END
-    top = one.orderBy(end.desc(), total.desc(), "key").select("key", "total").limit(HEADS).collect()
+    top = one.orderBy(end.desc(), total.desc(), "key").select("key", "total", "leaf").limit(HEADS).collect()
     heads = {END: 0} | {r["key"]: r["total"] for r in top}
     heads = dict(list(heads.items())[:HEADS])
-    often = [parts[k]["often"] if k in parts else 0 for k in range(SHAPE.spellings)]
-    for word, n in heads.items():
-        often[_spelling(word)] -= n if n > 1 else 0
+    leaves = np.array([parts[k]["often"] if k in parts else 0 for k in range(SHAPE.spellings * SHAPE.leaves)], np.int64)
+    for r in top:
+        if r["key"] in heads and r["total"] > 1:
+            leaves[r["leaf"]] -= r["total"]
+    often = leaves.reshape(SHAPE.spellings, -1).sum(axis=1)
     sums = [sum(r[c] for r in parts.values()) for c in ("tokens", "distinct", "once", "twice")]
-    return Counts(*sums, heads, tuple(often))
+    return Counts(*sums, heads, tuple(often.tolist()), tuple(leaves.tolist()))
 
 
 def _numbers(column: pa.Array, row: int) -> np.ndarray:
@@ -152,7 +162,8 @@ def _coded(held: DataFrame, rows: DataFrame, counts: Counts) -> DataFrame:
     spark = held.sparkSession
     kind = held.schema["rows"].dataType.simpleString()
     heads = spark.createDataFrame([(w, k) for k, w in enumerate(counts.heads)], "key string, head int")
-    rare = F.col("spelling") + F.when(F.col("total") > 1, HEADS).otherwise(HEADS + SHAPE.spellings)
+    new = F.shiftright("leaf", DEPTH) + F.lit(HEADS + SHAPE.spellings)
+    rare = F.when(F.col("total") > 1, F.col("leaf") + SHAPE.first_leaf).otherwise(new)
     found = rows.join(F.broadcast(heads), "key", "left").select("block", "pos", "total", F.coalesce("head", rare).cast("int").alias("code"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +260,8 @@ def score(docs: DataFrame, learn: Column, text: str = "text", key: str = "doc_id
     wanted = docs.select(F.col(key), F.col(text), F.coalesce(learn, F.lit(False)))
     held = scratch.durable(_blocks(wanted.toDF("id", "text", "learn"), block_bytes), "lm-blocks")
     spelling = F.pmod(F.crc32(F.substring("key", 1, 2).cast("binary")), F.lit(SHAPE.spellings)).cast("int")
-    rows = blocks.summed(held).select("block", "pos", "key", "total", "first", spelling.alias("spelling"))
+    leaf = F.shiftleft(spelling, DEPTH) + F.pmod(F.xxhash64("key"), F.lit(SHAPE.leaves)).cast("int")
+    rows = blocks.summed(held).select("block", "pos", "key", "total", "first", leaf.alias("leaf"))
     with scratch.held(rows, "lm-words") as rows:
         counts = _counts(rows)
         coded = scratch.durable(_coded(held, rows, counts), "lm-codes")

@@ -2,9 +2,12 @@
 
 Codes: 0 to ``heads - 1`` are frequent tokens, each with an input and an output
 of its own; then ``spellings`` codes for rarer tokens and as many for tokens
-that are new, by how they are spelt. The output is the softmax of a class
-(blocks of ``width`` frequent tokens, each spelling, and one class for all new
-tokens) times, for a frequent token, the softmax within its class.
+that are new, by how they are spelt; then, with a ``depth``, ``leaves`` codes
+for each spelling, so that a rarer token is told from others of its spelling.
+The output is the softmax of a class (blocks of ``width`` frequent tokens, each
+spelling, and one class for all new tokens) times, for a frequent token, the
+softmax within its class, and for a rarer one the turns to its leaf in a binary
+tree of its spelling. As input it has the vector of its spelling and its own.
 
 Documents are packed into lanes, each document whole and in order. All lanes
 step together; a window's last state is the next window's first, and a
@@ -30,6 +33,8 @@ CLIP = 5.0
 # Windows that each lane has at least where a block is small, so that there are steps to learn from.
 LEAST_WINDOWS = 24
 _LOW = -30.0
+# What the sums of squares start from: of all weights, and of those of leaves, which few steps change.
+SQUARES, LEAF_SQUARES = 1e-4, 1e-6
 
 
 @dataclass(frozen=True)
@@ -37,6 +42,16 @@ class Shape:
     heads: int
     width: int
     spellings: int
+    depth: int = 0
+
+    @property
+    def leaves(self) -> int:
+        """Leaves of a spelling's tree."""
+        return 1 << self.depth
+
+    @property
+    def first_leaf(self) -> int:
+        return self.heads + 2 * self.spellings
 
     @property
     def head_classes(self) -> int:
@@ -47,8 +62,10 @@ class Shape:
         return self.head_classes + self.spellings + 1
 
     def sizes(self) -> dict[str, tuple[int, ...]]:
-        h = UNITS
-        return {
+        h, leaves = UNITS, self.spellings * self.leaves
+        # Nodes of a tree are numbered from 1, the children of k are 2 k and 2 k + 1.
+        trees = {"l": (leaves, 3 * h), "t": (leaves, h), "t0": (leaves,)} if self.depth else {}
+        return trees | {
             "x": (self.heads + self.spellings, 3 * h),
             "u": (h, 3 * h),
             "u0": (3 * h,),
@@ -62,12 +79,13 @@ class Shape:
 Model = dict[str, np.ndarray]
 
 
-def start(shape: Shape, head_counts: np.ndarray, spelling_counts: np.ndarray, new: float) -> Model:
+def start(shape: Shape, head_counts: np.ndarray, spelling_counts: np.ndarray, new: float, leaf_counts: np.ndarray | None = None) -> Model:
     """A model that gives every token its share of the corpus, whatever went before."""
     rng = np.random.default_rng(11)
-    model = {k: rng.normal(0, 0.1, s).astype(np.float32) for k, s in shape.sizes().items()}
-    for k in ("u0", "c", "w"):
-        model[k][:] = 0
+    zeros = ("u0", "c", "w", "l", "t", "t0")
+    model = {k: np.zeros(s, np.float32) if k in zeros else rng.normal(0, 0.1, s).astype(np.float32) for k, s in shape.sizes().items()}
+    if shape.depth and leaf_counts is not None:
+        model["t0"][:] = _turns(shape, leaf_counts)
     held = np.zeros((shape.head_classes, shape.width))
     held.flat[: len(head_counts)] = head_counts
     per_class = np.concatenate([held.sum(1), spelling_counts, [new]])
@@ -77,6 +95,21 @@ def start(shape: Shape, head_counts: np.ndarray, spelling_counts: np.ndarray, ne
     return model
 
 
+def _turns(shape: Shape, leaf_counts: np.ndarray) -> np.ndarray:
+    """For each node of the trees, the log-odds of the second child."""
+    sums = np.zeros((shape.spellings, 2 * shape.leaves))
+    sums[:, shape.leaves :] = leaf_counts.reshape(shape.spellings, shape.leaves)
+    for level in reversed(range(shape.depth)):
+        nodes = np.arange(1 << level, 2 << level)
+        sums[:, nodes] = sums[:, 2 * nodes] + sums[:, 2 * nodes + 1]
+    left, right = sums[:, 0::2], sums[:, 1::2]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        odds = np.clip(np.log(right) - np.log(left), _LOW, -_LOW)
+    odds[(left == 0) & (right == 0)] = 0
+    odds[:, 0] = 0  # there is no node 0
+    return odds.ravel()
+
+
 def packed(model: Model) -> np.ndarray:
     return np.concatenate([model[k].ravel() for k in sorted(model)])
 
@@ -131,14 +164,19 @@ class Network:
     def __init__(self, shape: Shape, model: Model) -> None:
         self.shape = shape
         self.m = model
-        self.squares = {k: np.full(v.shape, 1e-4, np.float32) for k, v in model.items()}
+        self.squares = {k: np.full(v.shape, LEAF_SQUARES if k in ("l", "t", "t0") else SQUARES, np.float32) for k, v in model.items()}
 
-    def _inputs(self, codes: np.ndarray) -> np.ndarray:
+    def _spelt(self, codes: np.ndarray) -> np.ndarray:
+        """The codes with a leaf's spelling in place of the leaf."""
         s = self.shape
+        return np.where(codes < s.first_leaf, codes, s.heads + (codes - s.first_leaf >> s.depth))
+
+    def _inputs(self, codes: np.ndarray) -> np.ndarray:
+        s, codes = self.shape, self._spelt(codes)
         return np.where(codes < s.heads + s.spellings, codes, codes - s.spellings)
 
     def _classes(self, codes: np.ndarray) -> np.ndarray:
-        s = self.shape
+        s, codes = self.shape, self._spelt(codes)
         rare = np.minimum(codes - s.heads, s.spellings) + s.head_classes
         return np.where(codes < s.heads, codes // s.width, rare)
 
@@ -150,8 +188,13 @@ class Network:
         m, n = self.m, UNITS
         steps, width = place.shape
         opens = lanes.opens[place]
-        before = np.where(opens, 0, self._inputs(lanes.codes[place - ~opens]))
-        gates = np.ascontiguousarray(m["x"][before].transpose(0, 2, 1))
+        last = np.where(opens, 0, lanes.codes[place - ~opens])
+        before = self._inputs(last)
+        gates = m["x"][before]
+        if self.shape.depth:
+            own = last >= self.shape.first_leaf
+            gates[own] += m["l"][last[own] - self.shape.first_leaf]
+        gates = np.ascontiguousarray(gates.transpose(0, 2, 1))
         states = np.empty((steps, n, width), np.float32)
         olds, inner = (np.empty((steps if keep else 1, n, width), np.float32) for _ in range(2))
         u, u0 = np.ascontiguousarray(m["u"].T), m["u0"][:, None]
@@ -181,7 +224,7 @@ class Network:
             np.subtract(old, fresh, out=h)
             h *= g[n : 2 * n]
             h += fresh
-        return before, states, gates, olds, inner
+        return last, states, gates, olds, inner
 
     def _columns(self, states: np.ndarray, there: np.ndarray) -> np.ndarray:
         """The states that there are, one column each."""
@@ -215,6 +258,27 @@ class Network:
         z += self.m["w0"][k][:, None]
         return self._softmax(z, codes - k * self.shape.width)
 
+    def _leaf_terms(self, leaf: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For columns in the order of their leaves: log-probability of each leaf given its spelling,
+        then by level and column the nodes passed, their weights, and the errors of their log-odds."""
+        s, m = self.shape, self.m
+        tree, at = leaf >> s.depth << s.depth, (leaf & (s.leaves - 1)) + s.leaves
+        down = np.arange(s.depth, 0, -1)[:, None]
+        nodes = tree + (at >> down)
+        turn = (at >> (down - 1) & 1).astype(np.float32)
+        weights = m["t"][nodes]
+        z = np.einsum("dnh,hn->dn", weights, flat)
+        z += m["t0"][nodes]
+        logs = -np.logaddexp(0, (1 - 2 * turn) * z).sum(axis=0)
+        return logs, nodes, weights, 0.5 + 0.5 * np.tanh(0.5 * z) - turn
+
+    def _by_leaf(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes are leaves, in the order of the leaves, and the leaves."""
+        rows = np.flatnonzero(codes >= self.shape.first_leaf) if self.shape.depth else np.empty(0, np.int64)
+        leaf = codes[rows] - self.shape.first_leaf
+        order = np.argsort(leaf, kind="stable")
+        return rows[order], leaf[order]
+
     def score(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Natural log-likelihood of each document's codes."""
         codes = codes.astype(np.int64)
@@ -229,6 +293,9 @@ class Network:
             found, _ = self._class_terms(flat, self._classes(target))
             for k, rows in self._by_class(target):
                 found[rows] += self._word_terms(k, flat[:, rows], target[rows])[0]
+            rows, leaf = self._by_leaf(target)
+            if len(rows):
+                found[rows] += self._leaf_terms(leaf, flat[:, rows])[0]
             logs[at] = found
         out = np.zeros(len(sizes))
         out[lanes.docs] = np.add.reduceat(logs, lanes.starts) if len(logs) else 0
@@ -244,7 +311,8 @@ class Network:
 
     def _learn(self, lanes: Lanes, place: np.ndarray, there: np.ndarray, h: np.ndarray) -> np.ndarray:
         m, n = self.m, UNITS
-        before, states, gates, olds, inner = self._forward(lanes, place, h)
+        last, states, gates, olds, inner = self._forward(lanes, place, h)
+        before = self._inputs(last)
         flat, target = self._columns(states, there), lanes.codes[place[there]]
         # A window that few lanes reach counts for as much less.
         share = np.float32(1 / (WINDOW * len(lanes.length)))
@@ -260,6 +328,16 @@ class Network:
             grad["w"][k] = mine @ error.T
             grad["w0"][k] = error.sum(axis=1)
             back[:, rows] += m["w"][k] @ error
+        rows, leaf = self._by_leaf(target)
+        if len(rows):
+            mine = np.ascontiguousarray(flat[:, rows])
+            _, nodes, weights, error = self._leaf_terms(leaf, mine)
+            back[:, rows] += np.einsum("dnh,dn->hn", weights, error)
+            # Each level's nodes are in order, and no node is on two levels.
+            edge = np.flatnonzero(np.diff(nodes.ravel(), prepend=-1))
+            passed = nodes.ravel()[edge]
+            grad["t"] = passed, np.add.reduceat((error[:, :, None] * mine.T).reshape(-1, n), edge, axis=0)
+            grad["t0"] = passed, np.add.reduceat(error.ravel(), edge)
         d_flat = back
         if not there.all():
             d_flat = np.zeros((n, there.size), np.float32)
@@ -293,19 +371,31 @@ class Network:
         grad["u0"] = by_row.sum(axis=0)
         d_input = by_row.copy()
         d_input[:, 2 * n :] = d_fresh.transpose(0, 2, 1).reshape(-1, n)
-        order = np.argsort(before, axis=None, kind="stable")
-        ids = before.ravel()[order]
-        edge = np.flatnonzero(np.diff(ids, prepend=-1))
-        grad["x"] = np.add.reduceat(d_input[order], edge, axis=0)
-        self._step(grad, ids[edge], share)
+        if self.shape.depth:
+            leaf = last.ravel() - self.shape.first_leaf
+            own = np.flatnonzero(leaf >= 0)
+            if len(own):
+                grad["l"] = self._by_id(leaf[own], d_input[own])
+        ids, grad["x"] = self._by_id(before.ravel(), d_input)
+        self._step(grad, ids, share)
         return states[-1]
 
+    @staticmethod
+    def _by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids there are, and the sum of each one's rows."""
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        edge = np.flatnonzero(np.diff(ids, prepend=-1))
+        return ids[edge], np.add.reduceat(values[order], edge, axis=0)
+
     def _step(self, grad: Model, rows: np.ndarray, share: np.float32) -> None:
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values()))) * float(share)
+        """Gradients of some rows only: of ``rows`` for x, of those they come with for leaves."""
+        some = {k: g if isinstance(g, tuple) else (rows if k == "x" else None, g) for k, g in grad.items()}
+        norm = float(np.sqrt(sum(float((g * g).sum()) for _, g in some.values()))) * float(share)
         share = share * np.float32(min(1.0, CLIP / max(norm, 1e-9)))
-        for k, g in grad.items():
+        for k, (rows, g) in some.items():
             g = g * share
-            if k == "x":
+            if rows is not None:
                 held = self.squares[k][rows] + g * g
                 self.squares[k][rows] = held
                 self.m[k][rows] -= np.float32(RATE) * g / np.sqrt(held)

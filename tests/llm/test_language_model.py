@@ -145,3 +145,107 @@ def test_query(spark, folder):
     mine = [r for r in out.values() if r.held_out]
     gain = sum(r.score - r.base_score for r in mine) / sum(r.n_tokens for r in mine)
     assert gain > 0.2  # log10 for each token of documents not learnt from
+
+
+LEAVED = recurrent.Shape(heads=10, width=4, spellings=3, depth=3)
+
+
+def leaved_model():
+    rng = np.random.default_rng(6)
+    return {k: rng.normal(0, 0.4, s).astype(np.float32) for k, s in LEAVED.sizes().items()}
+
+
+def leaved_documents(n, longest):
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, longest, n)
+    codes = rng.integers(0, LEAVED.first_leaf + LEAVED.spellings * LEAVED.leaves, int(sizes.sum()))
+    return codes.astype(np.int16), sizes
+
+
+def leaf_by_leaf(m, codes):
+    """Log-likelihood of one document with leaves: own inputs, and the turns to each leaf."""
+    n, s = recurrent.UNITS, LEAVED
+    h, x, total = np.zeros(n), m["x"][0].astype(float), 0.0
+    sig = lambda v: 1 / (1 + np.exp(-v))
+    soft = lambda v: np.exp(v - v.max()) / np.exp(v - v.max()).sum()
+    for code in codes.tolist():
+        a = h @ m["u"].astype(float) + m["u0"]
+        r, z = sig(x[:n] + a[:n]), sig(x[n : 2 * n] + a[n : 2 * n])
+        fresh = np.tanh(x[2 * n :] + r * a[2 * n :])
+        h = fresh + z * (h - fresh)
+        classes = soft(h @ m["c"] + m["c0"])
+        spelling, leaf = divmod(code - s.first_leaf, s.leaves)
+        if code < s.heads:
+            k = code // s.width
+            total += math.log(classes[k]) + math.log(soft(h @ m["w"][k] + m["w0"][k])[code % s.width])
+            x = m["x"][code].astype(float)
+        elif code < s.first_leaf:
+            kind = code - s.heads
+            total += math.log(classes[s.head_classes + min(kind, s.spellings)])
+            x = m["x"][s.heads + kind % s.spellings].astype(float)
+        else:
+            total += math.log(classes[s.head_classes + spelling])
+            node = 1
+            for bit in f"{leaf:0{s.depth}b}":
+                p = sig(h @ m["t"][spelling * s.leaves + node] + m["t0"][spelling * s.leaves + node])
+                total += math.log(p if bit == "1" else 1 - p)
+                node = 2 * node + int(bit)
+            x = m["x"][s.heads + spelling] + m["l"][code - s.first_leaf].astype(float)
+    return total
+
+
+def test_rare_words_are_told_apart():
+    m = leaved_model()
+    codes, sizes = leaved_documents(200, 60)
+    got = recurrent.Network(LEAVED, m).score(codes, sizes)
+    ends = np.cumsum(sizes)
+    np.testing.assert_allclose(got, [leaf_by_leaf(m, codes[e - n : e]) for e, n in zip(ends, sizes)], rtol=2e-4, atol=2e-3)
+    # The leaves of a spelling share the probability that a code without leaf has.
+    leaf = np.arange(LEAVED.spellings * LEAVED.leaves)
+    each = np.exp(recurrent.Network(LEAVED, m).score(leaf + LEAVED.first_leaf, np.ones(len(leaf), int)))
+    spelt = np.arange(LEAVED.spellings) + LEAVED.heads
+    whole = np.exp(recurrent.Network(LEAVED, m).score(spelt, np.ones(len(spelt), int)))
+    np.testing.assert_allclose(each.reshape(LEAVED.spellings, -1).sum(axis=1), whole, rtol=1e-4)
+
+
+def test_gradients_of_leaves(monkeypatch):
+    m = leaved_model()
+    codes, sizes = leaved_documents(30, 12)
+    net = recurrent.Network(LEAVED, {k: v.copy() for k, v in m.items()})
+    lanes = recurrent.Lanes(codes.astype(np.int64), sizes, len(sizes))
+    taken = {}
+    monkeypatch.setattr(net, "_step", lambda grad, rows, share: taken.update(grad=grad))
+    place, there = next(lanes.windows())
+    net._learn(lanes, place, there, np.zeros((recurrent.UNITS, place.shape[1]), np.float32))
+    ends = np.cumsum(sizes)
+    rng = np.random.default_rng(0)
+    for name in ("l", "t", "t0"):
+        full = np.zeros_like(m[name])
+        full[taken["grad"][name][0]] = taken["grad"][name][1]
+        for at in rng.choice(full.size, 8, replace=False):
+            losses = []
+            for move in (1e-2, -1e-2):
+                moved = {k: v.copy() for k, v in m.items()}
+                moved[name].flat[at] += move
+                losses.append(-sum(leaf_by_leaf(moved, codes[e - n : e]) for e, n in zip(ends, sizes)))
+            assert abs((losses[0] - losses[1]) / 2e-2 - full.flat[at]) < 2e-2 + 2e-2 * abs(full.flat[at]), name
+
+
+def test_trees_start_from_the_shares():
+    counts = np.arange(LEAVED.spellings * LEAVED.leaves, dtype=float)
+    m = recurrent.start(LEAVED, np.ones(LEAVED.heads), counts.reshape(LEAVED.spellings, -1).sum(axis=1), 1, counts)
+    m["x"][:] = 0
+    leaf = np.flatnonzero(counts)
+    logs = recurrent.Network(LEAVED, m).score(leaf + LEAVED.first_leaf, np.ones(len(leaf), int))
+    np.testing.assert_allclose(np.exp(logs), counts[leaf] / (counts.sum() + LEAVED.heads + 1), rtol=1e-3)
+
+
+def test_words_of_a_spelling_have_predictions_of_their_own(spark):
+    """Two frequent words below the heads, spelt alike: the model learns which follows which."""
+    heads = " ".join(f"h{k:03d} " * 40 for k in range(language_model.HEADS))
+    pairs = [("alpha", "zzone"), ("beta", "zztwo")]
+    texts = [heads] + [" ".join(f"{a} {b}" for a, b in (pairs if k % 2 else pairs[::-1])) for k in range(30)] * 30
+    texts += ["alpha zzone " * 50, "alpha zztwo " * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    got = {r.doc_id: r.score for r in language_model.score(docs, F.col("doc_id") < len(texts) - 2).collect()}
+    assert got[len(texts) - 2] > got[len(texts) - 1] + 5
