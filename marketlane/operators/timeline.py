@@ -21,7 +21,7 @@ from marketlane import scratch
 from marketlane.functions.columns import ts_lit
 from marketlane.functions.money import money_sum_where
 from marketlane.operators import keyed
-from marketlane.operators.upsert import require_unique
+from marketlane.operators.upsert import DuplicateKeys, require_unique
 
 UPSERT, DELETE = "U", "D"
 FROM_AT, FROM_NO, TO_AT, TO_NO = "valid_from", "from_no", "valid_to", "to_no"
@@ -49,8 +49,12 @@ def _since(rows: DataFrame, at: dt.datetime, number: int) -> DataFrame:
 
 def start(rows: DataFrame, keys: list[str], at: dt.datetime, buckets: int | None = None) -> Timeline:
     """The first change: ``rows`` hold from ``at`` on. Keys must be unique."""
-    require_unique(rows, keys)
     current = keyed.store(_since(rows, at, 1), keys, buckets)
+    try:
+        require_unique(current.rows, keys)  # a key's rows are in one bucket, so nothing is shuffled
+    except DuplicateKeys:
+        current.forget()
+        raise
     closed = scratch.new_dir(rows.sparkSession, "closed")
     empty = current.rows.limit(0).withColumns({TO_AT: ts_lit(at), TO_NO: F.lit(0).cast("bigint")})
     empty.write.partitionBy(TO_NO).parquet(closed)

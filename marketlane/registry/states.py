@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlane import scratch
 from marketlane.functions.columns import not_cancelled, ts_lit
@@ -45,8 +46,22 @@ def second_load(orders: DataFrame) -> DataFrame:
     return late.unionByName(again)
 
 
+_LATE = "_late"
+
+
+def stored_loads(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two loads, stored. The orders are made once, and written apart by load."""
+    spark = orders.sparkSession
+    path = scratch.new_dir(spark, "orders-loads")
+    moment = F.col("ingested_at")
+    orders.where(moment.isNotNull()).withColumn(_LATE, moment > ts_lit(CUT)).write.partitionBy(_LATE).parquet(path)
+    held = spark.read.schema(T.StructType([*orders.schema.fields, T.StructField(_LATE, T.BooleanType())])).parquet(path)
+    first, late = (held.where(c).drop(_LATE) for c in (~F.col(_LATE), F.col(_LATE)))
+    return first, scratch.durable(second_load(late.unionByName(first)), "orders-second")
+
+
 class States:
-    """The order versions for one folder of tables, written on first use.
+    """The order versions for one folder of tables, each kind written on first use.
 
     Branches: ``main`` (first load, then second), ``dev`` (old orders corrected
     and deleted on the first load), ``trial`` (``main`` with ``dev`` merged in),
@@ -55,35 +70,42 @@ class States:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        orders = adapters.orders(spark, folder)
-        self.base = scratch.durable(first_load(orders), "orders-first")
-        self.delta = scratch.durable(second_load(orders), "orders-second")
-        table = VersionedTable(spark, scratch.new_dir(spark, "orders-versions"), ["order_id"])
-        self.table = table
-        self.load = table.create(self.base, CUT)
+        self.base, self.delta = stored_loads(adapters.orders(spark, folder))
+
+    @cached_property
+    def versions(self) -> dict:
+        """The log of changes with its branches and tags: the table, and commits by name."""
+        table = VersionedTable(self.spark, scratch.new_dir(self.spark, "orders-versions"), ["order_id"])
+        load = table.create(self.base, CUT)
         table.branch("dev", CUT)
-        self.dev = table.commit(self.corrections(), DEV_AT, "dev", "correct")
-        self.main = table.merge_rows(self.delta, NOW, ORDER_COLUMNS)
+        dev = table.commit(self.corrections(), DEV_AT, "dev", "correct")
+        main = table.merge_rows(self.delta, NOW, ORDER_COLUMNS)
         table.tag("v1_0", NOW)
         table.branch("undo", NOW)
-        table.rollback(self.load, MERGED_AT, "undo")
+        table.rollback(load, MERGED_AT, "undo")
         table.branch("trial", NOW)
         table.merge("dev", "trial", MERGED_AT)
         table.branch("gone", NOW)
         table.drop("gone", MERGED_AT)
         table.branch("wide", NOW)
-        self.added = table.add_columns("delivery_date DATE, nps_score INT", MERGED_AT, "wide")
+        added = table.add_columns("delivery_date DATE, nps_score INT", MERGED_AT, "wide")
         filled = (
             table.read("wide")
             .where(F.col("order_date") >= F.lit(DELIVERED_FROM))
             .withColumns({"delivery_date": F.date_add("order_date", 3), "nps_score": F.col("quantity") * 2})
         )
-        self.filled = table.commit(filled, MERGED_AT, "wide", "fill")
-        self.wider = table.add_columns(
+        filled = table.commit(filled, MERGED_AT, "wide", "fill")
+        wider = table.add_columns(
             "quantity_big BIGINT, amount DOUBLE", MERGED_AT, "wide",
             copy_from={"quantity_big": "quantity", "amount": "total_amount"},
         )
-        self.dropped = table.drop_column("nps_score", MERGED_AT, "wide")
+        dropped = table.drop_column("nps_score", MERGED_AT, "wide")
+        return {"table": table, "load": load, "dev": dev, "main": main, "added": added, "filled": filled, "wider": wider, "dropped": dropped}
+
+    table, load, dev, main, added, filled, wider, dropped = (
+        property(lambda self, name=name: self.versions[name])
+        for name in ("table", "load", "dev", "main", "added", "filled", "wider", "dropped")
+    )
 
     @cached_property
     def stored(self) -> keyed.Keyed:

@@ -117,3 +117,30 @@ def test_present_is_read_alike_after_many_changes(spark):
     plan = old._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(to_no" in plan or "PartitionFilters: [isnull(to_no" in plan or "to_no" in plan.split("PartitionFilters")[1]
     assert {r["id"]: r["a"] for r in old.collect()}[9] == "x"
+
+
+def test_a_timeline_deals_its_rows_once(spark, monkeypatch):
+    """Keys are checked where the rows lie; the first load is shuffled to its buckets and nowhere else."""
+    checked = []
+    monkeypatch.setattr(timeline, "require_unique", lambda source, keys: checked.append(source.groupBy(*keys).count()))
+    timeline.start(spark.range(100).select("id", F.lit(1).alias("v")), ["id"], DAY, 4)
+    assert len(checked) == 1 and "Exchange" not in checked[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_timeline_refuses_a_key_twice(spark):
+    with pytest.raises(upsert.DuplicateKeys):
+        timeline.start(spark.createDataFrame([(1, "a"), (1, "b")], "id INT, v STRING"), ["id"], DAY, 2)
+
+
+def test_loads_are_split_from_one_pass(spark, folder, rows):
+    from marketlane.registry import states
+    from marketlane.sources import adapters
+
+    orders = adapters.orders(spark, folder).withColumn("ingested_at", F.when(F.col("quantity") != 2, F.col("ingested_at")))
+    base, delta = states.stored_loads(orders)
+    assert rows(base) == rows(states.first_load(orders)) and rows(delta) == rows(states.second_load(orders))
+    for load in (base, delta):
+        assert "Join" not in load._jdf.queryExecution().executedPlan().toString()
+    held = states.States(spark, folder)
+    assert "versions" not in vars(held) and held.line.number == 2 and "versions" not in vars(held)
+    assert held.main > held.load and "versions" in vars(held)
