@@ -23,6 +23,9 @@ from marketlane.functions.columns import date_lit
 
 PERIOD = "_period_"
 DAY, MONTH = "day", "month"
+# A period with more rows than this is aggregated in pieces.
+ROWS_PER_PIECE = 500_000
+_PIECE = "_piece_"
 
 
 @dataclass(frozen=True)
@@ -129,6 +132,37 @@ class Partial:
         return rows.groupBy(*groups).agg(*parts) if parts else rows.select(*groups).distinct()
 
 
+def _pieces(rows: DataFrame, period: Column) -> Column:
+    """In how many pieces a row's period is aggregated; lists the periods with several, as many as the calendar has."""
+    number = F.ceil(F.count(F.lit(1)) / F.lit(ROWS_PER_PIECE)).cast("int")
+    found = rows.groupBy(period.alias("p")).agg(number.alias("n")).where("n > 1").collect()
+    of_none = next((r["n"] for r in found if r["p"] is None), 1)
+    several = [c for r in found if r["p"] is not None for c in (date_lit(r["p"]), F.lit(r["n"]))]
+    listed = F.coalesce(F.try_element_at(F.create_map(*several), period), F.lit(1)) if several else F.lit(1)
+    return F.when(period.isNull(), F.lit(of_none)).otherwise(listed)
+
+
+def store_partial(partial: Partial, rows: DataFrame, day: str, label: str, per: str = DAY) -> DayTable:
+    """``store`` of ``partial.of(rows, day)``, with one shuffle: by period and piece, which groups and layout share.
+
+    A group lies in one piece of its period. ``rows`` are read twice: pass a stored table.
+    """
+    spark = rows.sparkSession
+    period, groups = period_of(F.col(day), per), [day, *(k for k in partial.keys if k != day)]
+    piece = F.pmod(F.xxhash64(*groups), _pieces(rows, period))
+    read = rows.select(*groups, *[c.alias(name) for named in (partial.sums, partial.least, partial.largest) for name, c in named.items()])
+    dealt = read.withColumns({PERIOD: period, _PIECE: piece}).repartition(PERIOD, _PIECE)
+    merged = Partial(
+        (PERIOD, _PIECE, *groups),
+        *({name: F.col(name) for name in named} for named in (partial.sums, partial.least, partial.largest)),
+    )
+    found = merged.of(dealt, day).drop(_PIECE).select(day, *[c for c in groups if c != day], *partial.sums, *partial.least, *partial.largest, PERIOD)
+    plain = found.drop(PERIOD)
+    table = DayTable(spark, scratch.new_dir(spark, label), day, per, plain.schema)
+    found.write.mode("append").partitionBy(PERIOD).parquet(table.path)
+    return table
+
+
 def refresh(table: DayTable, partial: Partial, rows: DataFrame, periods: list[dt.date | None]) -> None:
     """Compute the aggregates of some periods anew from all ``rows`` of those periods."""
     with scratch.held(partial.of(rows, table.day), "partials") as fresh:

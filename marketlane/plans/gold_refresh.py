@@ -28,13 +28,15 @@ _CHOICES = {"favorite_category": "product_category", "favorite_payment_method":
 
 
 def _partials() -> dict[str, Partial]:
+    # Each order's sums stand beside what is counted, so that a row is stored and shuffled once for both.
     total = steps("total_amount")
     return {
-        "customer_sums": Partial(_BUYER, {"_total": total, "_amounts": F.when(F.col("total_amount").isNotNull(), 1).otherwise(0)}),
-        "customer_orders": Partial((*_BUYER, "order_id")),
+        "customers": Partial(
+            (*_BUYER, "order_id"), {"_total": total, "_amounts": F.when(F.col("total_amount").isNotNull(), 1).otherwise(0)}
+        ),
         "choices": Partial(("customer_id", *_CHOICES.values()), {"_uses": F.lit(1)}),
-        "product_sums": Partial(
-            _PRODUCT,
+        "products": Partial(
+            (*_PRODUCT, "order_id", "customer_id"),
             {
                 "_units": F.col("quantity"),
                 "_total": total,
@@ -42,8 +44,6 @@ def _partials() -> dict[str, Partial]:
                 "_prices": F.when(F.col("unit_price").isNotNull(), 1).otherwise(0),
             },
         ),
-        "product_orders": Partial((*_PRODUCT, "order_id")),
-        "product_buyers": Partial((*_PRODUCT, "customer_id")),
     }
 
 
@@ -62,7 +62,7 @@ def build(silver: DataFrame, now: dt.datetime, per: str = daily.DAY) -> GoldPart
     rows = daily.store(silver, _DAY, "silver-days", per)
     days = daily.store(gold.daily_sales(rows.rows, now), "sale_date", "daily", per)
     valid = gold.valid_rows(rows.rows)
-    parts = {name: daily.store(p.of(valid, _DAY), _DAY, name, per) for name, p in _partials().items()}
+    parts = {name: daily.store_partial(p, valid, _DAY, name, per) for name, p in _partials().items()}
     return GoldParts(rows, days, parts)
 
 
@@ -79,13 +79,13 @@ def refresh(made: GoldParts, arrived: DataFrame, keys: list[str], now: dt.dateti
 
 
 def customer_metrics(made: GoldParts, as_of: dt.date) -> DataFrame:
-    sums = made["customer_sums"].groupBy(*_BUYER).agg(
+    counted = made["customers"].groupBy(*_BUYER).agg(
+        F.countDistinct("order_id").alias("total_orders"),
         of_steps(F.sum("_total")).alias("lifetime_value"),
         (of_steps(F.sum("_total")) / F.sum("_amounts")).alias("avg_order_value"),
         F.min(_DAY).alias("first_order_date"),
         F.max(_DAY).alias("last_order_date"),
     )
-    counted = daily.with_distinct(sums, list(_BUYER), {"total_orders": (made["customer_orders"], "order_id")})
     return counted.withColumn("days_since_last_order", F.datediff(C.date_lit(as_of), F.col("last_order_date")))
 
 
@@ -97,7 +97,8 @@ def customer_360(made: GoldParts, customers: DataFrame, as_of: dt.date, now: dt.
 def product_metrics(made: GoldParts, as_of: dt.date) -> DataFrame:
     recent, before = gold.trend_windows(as_of)
     none = F.lit(0).cast("decimal(20,0)")
-    sums = made["product_sums"].groupBy(*_PRODUCT).agg(
+    sums = made["products"].groupBy(*_PRODUCT).agg(
+        F.countDistinct("order_id").alias("total_orders"),
         F.sum("_units").alias("units_sold"),
         of_steps(F.sum("_total")).alias("total_revenue"),
         (of_steps(F.sum("_price")) / F.sum("_prices")).alias("avg_selling_price"),
@@ -105,7 +106,7 @@ def product_metrics(made: GoldParts, as_of: dt.date) -> DataFrame:
         F.sum(F.when(before, F.col("_total")).otherwise(none)).alias("_before"),
         F.sum(F.when(recent, F.col("_units")).otherwise(0)).alias("_units"),
     )
-    sets = {"total_orders": (made["product_orders"], "order_id"), "unique_customers": (made["product_buyers"], "customer_id")}
+    sets = {"unique_customers": (made["products"], "customer_id")}
     return gold.with_trends(daily.with_distinct(sums, list(_PRODUCT), sets))
 
 

@@ -95,3 +95,24 @@ def test_one_day_refresh_equals_the_full_build(spark, folder, rows):
     ]
     for got, want in pairs:
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("per", [daily.DAY, daily.MONTH])
+def test_partials_are_stored_with_one_shuffle(spark, rows, monkeypatch, per):
+    """Groups and layout share it, periods with many rows are in pieces, and the rows are those of ``of``."""
+    monkeypatch.setattr(daily, "ROWS_PER_PIECE", 10)
+    data = [(i, None if i % 7 == 0 else D[i % 3], "ab"[i % 2] if i % 5 else None, i) for i in range(100)]
+    table = daily.store(spark.createDataFrame(data, DDL), "day", "t", per)
+    shuffles = []
+    repartition = type(table.rows).repartition
+    monkeypatch.setattr(type(table.rows), "repartition", lambda self, *by: shuffles.append(by) or repartition(self, *by))
+    for p in (daily.Partial(("who",), {"s": F.col("n")}, {"lo": F.col("n")}, {"hi": F.col("n")}), daily.Partial(("who", "id"))):
+        stored = daily.store_partial(p, table.rows, "day", "p", per)
+        assert rows(stored.rows) == rows(p.of(table.rows, "day"))
+        assert stored.rows.columns == p.of(table.rows, "day").columns
+        files = stored.rows.select("_metadata.file_path").distinct().count()
+        assert files >= len(daily.periods_of(stored.rows, "day", per))
+    assert shuffles == [(daily.PERIOD, "_piece_")] * 2
+    found = spark.createDataFrame(data, DDL)
+    pieces = found.select("day", daily._pieces(found, daily.period_of(F.col("day"), per)).alias("n")).distinct().collect()
+    assert all(r["n"] >= 2 for r in pieces)
