@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from marketlane import scratch
 from marketlane.functions.columns import not_cancelled, ts_lit
 from marketlane.operators import keyed, timeline
+from marketlane.operators.upsert import require_unique
 from marketlane.operators.versioned import DELETE, UPSERT, VersionedTable
 from marketlane.registry.base import CUT, NOW
 from marketlane.registry.reference_sql import CTES
@@ -71,6 +72,8 @@ class States:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.base, self.delta = stored_loads(adapters.orders(spark, folder))
+        for load in (self.base, self.delta):
+            require_unique(load, ["order_id"])
 
     @cached_property
     def versions(self) -> dict:

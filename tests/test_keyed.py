@@ -144,3 +144,12 @@ def test_loads_are_split_from_one_pass(spark, folder, rows):
     held = states.States(spark, folder)
     assert "versions" not in vars(held) and held.line.number == 2 and "versions" not in vars(held)
     assert held.main > held.load and "versions" in vars(held)
+
+
+def test_states_refuse_a_key_twice(spark, folder, monkeypatch):
+    from marketlane.registry import states
+
+    orders = states.adapters.orders(spark, folder)
+    monkeypatch.setattr(states.adapters, "orders", lambda *_: orders.unionByName(orders))
+    with pytest.raises(upsert.DuplicateKeys):
+        states.States(spark, folder)
