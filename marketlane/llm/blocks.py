@@ -51,6 +51,13 @@ def gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[in
         freed()
 
 
+def steady() -> None:
+    """Let the process keep a few freed megabytes, so that arrays made again and again are not mapped anew each time."""
+    if _libc is not None:
+        _libc.mallopt(-1, 32 << 20)  # M_TRIM_THRESHOLD
+        _libc.mallopt(-3, 16 << 20)  # M_MMAP_THRESHOLD
+
+
 def freed() -> None:
     """Give what the last block held back to the system; a worker process serves many tasks."""
     pa.default_memory_pool().release_unused()

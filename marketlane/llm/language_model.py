@@ -94,20 +94,28 @@ def _binary(values: np.ndarray, kind: str) -> pa.Array:
     return pa.array([values.astype(kind).tobytes()], pa.binary())
 
 
+class _Numbered(dict):
+    """Words to their numbers, in the order in which they are first looked up."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """A row for each block: its words with their counts in documents to learn from, and each document's words."""
     kind = docs.schema[docs.columns[0]].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, held in blocks.gathered(batches, block_bytes):
-            known: dict[bytes, int] = {END.encode(): 0}
+            known = _Numbered({END.encode(): 0})
             words, sizes = [], []
             for batch in held:
                 for at in range(0, len(batch), blocks.ROWS):
                     for text in batch.column(1).slice(at, blocks.ROWS).cast(pa.binary()).to_pylist():
-                        mine = [known.setdefault(w, len(known)) for w in (text or b"").lower().split()]
-                        mine.append(0)
-                        words.append(np.array(mine, np.int32))
+                        mine = (text or b"").lower().split()
+                        mine.append(END.encode())
+                        words.append(np.fromiter(map(known.__getitem__, mine), np.int32, len(mine)))
                         sizes.append(len(mine))
             learn = pa.concat_arrays([x.column(2) for x in held])
             seen = [w for w, yes in zip(words, learn.to_pylist()) if yes]
@@ -198,6 +206,7 @@ def _round(coded: DataFrame, model: np.ndarray, number: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, learnt = None, 0
+        blocks.steady()
         for batch in batches:
             for k in range(len(batch)):
                 codes, sizes = _documents(batch, k)
@@ -234,6 +243,7 @@ def _scored(coded: DataFrame, model: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = recurrent.Network(SHAPE, recurrent.unpacked(model, SHAPE))
+        blocks.steady()
         for batch in batches:
             for k in range(len(batch)):
                 codes, sizes = _documents(batch, k)

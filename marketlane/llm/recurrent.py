@@ -19,6 +19,7 @@ steps of one window (truncated backpropagation), with steps of Adagrad.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,13 +27,20 @@ import numpy as np
 
 UNITS = 16
 WINDOW = 16
+# Steps that scoring takes at a time, which the scores do not depend on.
+SCORED = 48
 LANES = 256
 LEAST_LANES = 16
 RATE = 0.2
 CLIP = 5.0
 # Windows that each lane has at least where a block is small, so that there are steps to learn from.
 LEAST_WINDOWS = 24
+# Rows that one small matrix product adds up by id.
+RUN = 16
 _LOW = -30.0
+_HIGH = np.float32(80)  # exp stays finite
+# Levels of the trees, from the root, whose nodes are all worked out for each row; of the rest only those passed.
+TOP = 5
 # What the sums of squares start from: of all weights, and of those of leaves, which few steps change.
 SQUARES, LEAF_SQUARES = 1e-4, 1e-6
 
@@ -123,6 +131,38 @@ def unpacked(flat: np.ndarray, shape: Shape) -> Model:
     return out
 
 
+def sums_by_id(ids: np.ndarray, values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids there are, and the weighted sum of each one's rows of ``values``.
+
+    ``ids`` (and ``weights``) are levels by rows, each level in order, with no id on two levels.
+    Runs of rows are multiplied by a small matrix with a line for each id of the run;
+    ids that go on in further runs get the rest by ``reduceat``.
+    """
+    levels, n = ids.shape
+    runs, width = -(-n // RUN), values.shape[1]
+    fresh = np.ones(ids.shape, bool)
+    np.not_equal(ids[:, 1:], ids[:, :-1], out=fresh[:, 1:])
+    begins = fresh.copy()
+    begins[:, ::RUN] = True
+    piece = np.cumsum(begins, axis=1, dtype=np.int32)
+    row = np.arange(n)
+    line = (piece - piece[:, ::RUN].repeat(RUN, axis=1)[:, :n]) + (row // RUN * levels + np.arange(levels)[:, None]) * RUN
+    table = np.zeros(runs * levels * RUN * RUN, np.float32)
+    table[line * RUN + row % RUN] = 1 if weights is None else weights
+    if runs * RUN > n:
+        values = np.concatenate([values, np.zeros((runs * RUN - n, width), values.dtype)])
+    part = np.matmul(table.reshape(runs, levels * RUN, RUN), values.reshape(runs, RUN, width)).reshape(-1, width)
+    at = np.flatnonzero(begins)
+    line, first = line.ravel().take(at), fresh.ravel().take(at)
+    sums = part.take(line[first], axis=0)
+    rest = np.flatnonzero(~first)
+    if len(rest):
+        owner = np.cumsum(first)[rest] - 1
+        edge = np.flatnonzero(np.diff(owner, prepend=-1))
+        sums[owner[edge]] += np.add.reduceat(part.take(line[rest], axis=0), edge, axis=0)
+    return ids.ravel().take(at[first]), sums
+
+
 class Lanes:
     """Documents' codes laid out in lanes, longest lane first."""
 
@@ -143,13 +183,17 @@ class Lanes:
         self.codes = codes[place]
         self.opens = np.zeros(len(place), bool)
         self.opens[self.starts] = True
+        # What goes in before each token: the token before it in its document, else the end.
+        self.last = np.zeros_like(self.codes)
+        self.last[1:] = self.codes[:-1]
+        self.last[self.starts] = 0
         self.length = np.array([n for n, _ in length], np.int64)
         self.first = np.cumsum(self.length) - self.length
 
-    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def windows(self, size: int = WINDOW) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places of the tokens of each window (steps by lanes), and which of them there are."""
-        steps = np.arange(WINDOW)[:, None]
-        for at in range(0, int(self.length.max(initial=0)), WINDOW):
+        steps = np.arange(size)[:, None]
+        for at in range(0, int(self.length.max(initial=0)), size):
             n = int(np.searchsorted(-self.length, -at))
             there = at + steps < self.length[:n]
             yield np.where(there, self.first[:n] + at + steps, self.first[:n]), there
@@ -163,61 +207,62 @@ def lanes_for(sizes: np.ndarray, most: int) -> int:
 class Network:
     def __init__(self, shape: Shape, model: Model) -> None:
         self.shape = shape
-        self.m = model
+        self.m = dict(model)
         self.squares = {k: np.full(v.shape, LEAF_SQUARES if k in ("l", "t", "t0") else SQUARES, np.float32) for k, v in model.items()}
-
-    def _spelt(self, codes: np.ndarray) -> np.ndarray:
-        """The codes with a leaf's spelling in place of the leaf."""
-        s = self.shape
-        return np.where(codes < s.first_leaf, codes, s.heads + (codes - s.first_leaf >> s.depth))
-
-    def _inputs(self, codes: np.ndarray) -> np.ndarray:
-        s, codes = self.shape, self._spelt(codes)
-        return np.where(codes < s.heads + s.spellings, codes, codes - s.spellings)
-
-    def _classes(self, codes: np.ndarray) -> np.ndarray:
-        s, codes = self.shape, self._spelt(codes)
-        rare = np.minimum(codes - s.heads, s.spellings) + s.head_classes
-        return np.where(codes < s.heads, codes // s.width, rare)
-
-    def _forward(self, lanes: Lanes, place: np.ndarray, h: np.ndarray, keep: bool = True) -> tuple:
+        # By code: its input, its class, its leaf (for codes without one a row of zeros after all leaves).
+        leaves = shape.spellings * shape.leaves if shape.depth else 0
+        codes = np.arange(shape.first_leaf + leaves)
+        spelt = np.where(codes < shape.first_leaf, codes, shape.heads + (codes - shape.first_leaf >> shape.depth))
+        rare = np.minimum(spelt - shape.heads, shape.spellings) + shape.head_classes
+        self._input = np.where(spelt < shape.heads + shape.spellings, spelt, spelt - shape.spellings)
+        self._class = np.where(spelt < shape.heads, spelt // shape.width, rare)
+        self._leaf = np.where(codes < shape.first_leaf, leaves, codes - shape.first_leaf)
+        if shape.depth:
+            self._own = np.concatenate([model["l"], np.zeros((1, 3 * UNITS), np.float32)])
+            self.m["l"] = self._own[:-1]
+
+    def _bias(self) -> np.ndarray:
+        """What both gates have whatever comes in; the new state's is damped with the old state."""
+        bias = self.m["u0"].copy()
+        bias[2 * UNITS :] = 0
+        return bias
+
+    def _forward(self, lanes: Lanes, place: np.ndarray, h: np.ndarray, inputs: np.ndarray | None = None) -> tuple:
         """States and gates of a window, as steps by features by lanes; ``h`` is the state before it.
 
-        ``keep`` says whether what backpropagation needs is kept for every step.
+        With ``inputs``, those of every code, what backpropagation needs is kept for one step only.
         """
-        m, n = self.m, UNITS
+        m, n, keep = self.m, UNITS, inputs is None
         steps, width = place.shape
-        opens = lanes.opens[place]
-        last = np.where(opens, 0, lanes.codes[place - ~opens])
-        before = self._inputs(last)
-        gates = m["x"][before]
-        if self.shape.depth:
-            own = last >= self.shape.first_leaf
-            gates[own] += m["l"][last[own] - self.shape.first_leaf]
+        opens, last = lanes.opens[place], lanes.last[place]
+        if inputs is None:
+            gates = (m["x"] + self._bias()).take(self._input.take(last), axis=0)
+            if self.shape.depth:
+                gates += self._own.take(self._leaf.take(last), axis=0)
+        else:
+            gates = inputs.take(last, axis=0)
         gates = np.ascontiguousarray(gates.transpose(0, 2, 1))
         states = np.empty((steps, n, width), np.float32)
         olds, inner = (np.empty((steps if keep else 1, n, width), np.float32) for _ in range(2))
-        u, u0 = np.ascontiguousarray(m["u"].T), m["u0"][:, None]
+        u, u0 = np.ascontiguousarray(m["u"].T), m["u0"][2 * n :, None]
+        u[: 2 * n] *= -1  # the gates are 1 / (1 + exp(-x - u h))
         a, b = np.empty((3 * n, width), np.float32), np.empty((n, width), np.float32)
-        opened = opens.any(axis=1)
-        half = np.float32(0.5)
+        opened = opens.any(axis=1).tolist()
         for t in range(steps):
             old = olds[t if keep else 0]
             old[:] = h
             if opened[t]:
                 old[:, opens[t]] = 0
             np.matmul(u, old, out=a)
-            a += u0
-            if keep:
-                inner[t] = a[2 * n :]
+            into = inner[t if keep else 0]
+            np.add(a[2 * n :], u0, out=into)
             g = gates[t]
             both, fresh = g[: 2 * n], g[2 * n :]
-            both += a[: 2 * n]
-            both *= half
-            np.tanh(both, out=both)
-            both *= half
-            both += half
-            np.multiply(g[:n], a[2 * n :], out=b)
+            np.subtract(a[: 2 * n], both, out=both)
+            np.exp(np.minimum(both, _HIGH, out=both), out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            np.multiply(g[:n], into, out=b)
             fresh += b
             np.tanh(fresh, out=fresh)
             h = states[t]
@@ -226,128 +271,175 @@ class Network:
             h += fresh
         return last, states, gates, olds, inner
 
-    def _columns(self, states: np.ndarray, there: np.ndarray) -> np.ndarray:
-        """The states that there are, one column each."""
-        flat = states.transpose(1, 0, 2).reshape(UNITS, -1)
-        return flat if there.all() else flat[:, there.ravel()]
+    def _ordered(self, codes: np.ndarray, states: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The codes of the tokens that there are in order, their places among all steps and lanes, and the states before them."""
+        places = np.flatnonzero(there)
+        # 16 bits are sorted by their digits.
+        order = np.argsort(codes.astype(np.int16) if len(self._class) <= 1 << 15 else codes, kind="stable")
+        places = places.take(order)
+        rows = np.ascontiguousarray(states.transpose(0, 2, 1)).reshape(-1, UNITS)
+        return codes.take(order), places, rows.take(places, axis=0)
 
     @staticmethod
-    def _softmax(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log-probability of each column's target, and the softmax of the columns (in place)."""
+    def _softmax(z: np.ndarray, target: np.ndarray, keep: bool = False) -> np.ndarray:
+        """Log-probability of each column's target; with ``keep``, the errors of the columns (in place)."""
         z -= z.max(axis=0)
-        logs = z[target, np.arange(len(target))]
+        columns = np.arange(len(target))
+        if not keep:
+            logs = z[target, columns]
+            np.exp(z, out=z)
+            return logs - np.log(z.sum(axis=0))
         np.exp(z, out=z)
-        total = z.sum(axis=0)
-        z /= total
-        return logs - np.log(total), z
-
-    def _class_terms(self, flat: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self._softmax(self.m["c"].T @ flat + self.m["c0"][:, None], classes)
-
-    def _by_class(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        head = np.flatnonzero(codes < self.shape.heads)
-        classes = codes[head] // self.shape.width
-        order = np.argsort(classes.astype(np.int16), kind="stable")
-        edge = np.searchsorted(classes[order], np.arange(self.shape.head_classes + 1))
-        for k in range(self.shape.head_classes):
-            if edge[k] < edge[k + 1]:
-                yield k, head[order[edge[k] : edge[k + 1]]]
+        z /= z.sum(axis=0)
+        z[target, columns] -= 1
+        return z
 
-    def _word_terms(self, k: int, flat: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z = self.m["w"][k].T @ flat
-        z += self.m["w0"][k][:, None]
-        return self._softmax(z, codes - k * self.shape.width)
+    def _class_terms(self, rows: np.ndarray, codes: np.ndarray, keep: bool = False) -> np.ndarray:
+        z = self.m["c"].T @ rows.T
+        z += self.m["c0"][:, None]
+        return self._softmax(z, self._class.take(codes), keep)
 
-    def _leaf_terms(self, leaf: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For columns in the order of their leaves: log-probability of each leaf given its spelling,
-        then by level and column the nodes passed, their weights, and the errors of their log-odds."""
+    def _by_class(self, codes: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """The slices of the ordered codes that each class of frequent tokens has."""
+        s = self.shape
+        edge = np.searchsorted(codes, np.minimum(np.arange(s.head_classes + 1) * s.width, s.heads)).tolist()
+        for k in range(s.head_classes):
+            if edge[k] < edge[k + 1]:
+                yield k, slice(edge[k], edge[k + 1])
+
+    def _word_terms(self, rows: np.ndarray, codes: np.ndarray, keep: bool = False) -> np.ndarray:
+        """For frequent tokens in the order of their codes, as ``_softmax`` has it, within their classes."""
+        z = np.empty((self.shape.width, len(codes)), np.float32)
+        for k, own in self._by_class(codes):
+            np.matmul(self.m["w"][k].T, rows[own].T, out=z[:, own])
+            z[:, own] += self.m["w0"][k][:, None]
+        return self._softmax(z, codes % self.shape.width, keep)
+
+    def _by_tree(self, leaf: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """The slices of the ordered leaves that each spelling has."""
+        s = self.shape
+        edge = np.searchsorted(leaf, np.arange(s.spellings + 1) << s.depth).tolist()
+        for k in range(s.spellings):
+            if edge[k] < edge[k + 1]:
+                yield k, slice(edge[k], edge[k + 1])
+
+    def _leaf_terms(self, leaf: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For rows in the order of their leaves, by level and row: the nodes passed, the weights of those below
+        the top, the log-odds against the turn taken, and the turn; and where the top's are among its nodes by row."""
         s, m = self.shape, self.m
+        top = min(TOP, s.depth)
         tree, at = leaf >> s.depth << s.depth, (leaf & (s.leaves - 1)) + s.leaves
-        down = np.arange(s.depth, 0, -1)[:, None]
-        nodes = tree + (at >> down)
+        down = np.arange(s.depth, 0, -1, dtype=leaf.dtype)[:, None]
+        at_level = at >> down
+        nodes = at_level + tree
         turn = (at >> (down - 1) & 1).astype(np.float32)
-        weights = m["t"][nodes]
-        z = np.einsum("dnh,hn->dn", weights, flat)
-        z += m["t0"][nodes]
-        logs = -np.logaddexp(0, (1 - 2 * turn) * z).sum(axis=0)
-        return logs, nodes, weights, 0.5 + 0.5 * np.tanh(0.5 * z) - turn
-
-    def _by_leaf(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which codes are leaves, in the order of the leaves, and the leaves."""
-        rows = np.flatnonzero(codes >= self.shape.first_leaf) if self.shape.depth else np.empty(0, np.int64)
-        leaf = codes[rows] - self.shape.first_leaf
-        order = np.argsort(leaf, kind="stable")
-        return rows[order], leaf[order]
+        every = np.empty((len(leaf), 1 << top), np.float32)
+        trees = m["t"].reshape(s.spellings, s.leaves, UNITS)
+        for k, own in self._by_tree(leaf):
+            np.matmul(rows[own], trees[k, : 1 << top].T, out=every[own])
+        where = at_level[:top] + (np.arange(len(leaf)) << top)
+        weights = m["t"].take(nodes[top:], axis=0)
+        z = m["t0"].take(nodes)
+        z[:top] += every.take(where)
+        z[top:] += np.einsum("dnh,nh->dn", weights, rows)
+        z *= 1 - 2 * turn
+        return nodes, weights, z, turn, where
+
+    def _learn_leaves(self, leaf: np.ndarray, rows: np.ndarray, back: np.ndarray, grad: dict) -> None:
+        """Adds the errors of the states to ``back``, and the gradients of the trees to ``grad``."""
+        s, m = self.shape, self.m
+        top = min(TOP, s.depth)
+        nodes, weights, error, turn, where = self._leaf_terms(leaf, rows)
+        # sigmoid(z) (1 - 2 turn), where z is the log-odds against the turn.
+        error *= np.float32(0.5)
+        np.tanh(error, out=error)
+        error += 1
+        np.subtract(np.float32(0.5), turn, out=turn)
+        error *= turn
+        edge = np.flatnonzero(np.diff(nodes.ravel(), prepend=-1))
+        # Each level's nodes are in order, and no node is on two levels.
+        grad["t0"] = nodes.ravel()[edge], np.add.reduceat(error.ravel(), edge)
+        every = np.zeros((len(leaf), 1 << top), np.float32)
+        every.ravel()[where] = error[:top]
+        trees = m["t"].reshape(s.spellings, s.leaves, UNITS)
+        ids, sums = [], []
+        for k, own in self._by_tree(leaf):
+            ids.append(np.arange(1 << top) + (k << s.depth))
+            sums.append(every[own].T @ rows[own])
+            back[own] += every[own] @ trees[k, : 1 << top]
+        if top < s.depth:
+            back += np.einsum("dnh,dn->hn", weights, error[top:]).T
+            below = sums_by_id(nodes[top:], rows, error[top:])
+            ids.append(below[0])
+            sums.append(below[1])
+        grad["t"] = np.concatenate(ids), np.concatenate(sums)
+
+    def _first_leaf(self, codes: np.ndarray) -> int:
+        return int(np.searchsorted(codes, self.shape.first_leaf))
 
     def score(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Natural log-likelihood of each document's codes."""
-        codes = codes.astype(np.int64)
         lanes = Lanes(codes, sizes, lanes_for(sizes, LANES))
         logs = np.zeros(len(lanes.codes))
         h = np.zeros((UNITS, len(lanes.length)), np.float32)
-        for place, there in lanes.windows():
-            _, states, *_ = self._forward(lanes, place, h[:, : place.shape[1]], keep=False)
+        inputs = (self.m["x"] + self._bias())[self._input]
+        if self.shape.depth:
+            inputs += self._own[self._leaf]
+        for place, there in lanes.windows(SCORED):
+            _, states, *_ = self._forward(lanes, place, h[:, : place.shape[1]], inputs)
             h = states[-1]
-            flat, at = self._columns(states, there), place[there]
-            target = lanes.codes[at]
-            found, _ = self._class_terms(flat, self._classes(target))
-            for k, rows in self._by_class(target):
-                found[rows] += self._word_terms(k, flat[:, rows], target[rows])[0]
-            rows, leaf = self._by_leaf(target)
-            if len(rows):
-                found[rows] += self._leaf_terms(leaf, flat[:, rows])[0]
-            logs[at] = found
+            target, at, rows = self._ordered(lanes.codes[place[there]], states, there)
+            found = self._class_terms(rows, target)
+            lo = int(np.searchsorted(target, self.shape.heads))
+            found[:lo] += self._word_terms(rows[:lo], target[:lo])
+            lo = self._first_leaf(target)
+            if lo < len(target):
+                z = self._leaf_terms(target[lo:].astype(np.int64) - self.shape.first_leaf, rows[lo:])[2]
+                found[lo:] -= (np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z)))).sum(axis=0)
+            logs[place.ravel()[at]] = found
         out = np.zeros(len(sizes))
         out[lanes.docs] = np.add.reduceat(logs, lanes.starts) if len(logs) else 0
         return out
 
     def train(self, codes: np.ndarray, sizes: np.ndarray) -> None:
         """One pass over the documents."""
-        codes = codes.astype(np.int64)
         lanes = Lanes(codes, sizes, lanes_for(sizes, max(1, min(LANES, len(codes) // (WINDOW * LEAST_WINDOWS)))))
         h = np.zeros((UNITS, len(lanes.length)), np.float32)
         for place, there in lanes.windows():
             h = self._learn(lanes, place, there, h[:, : place.shape[1]])
 
     def _learn(self, lanes: Lanes, place: np.ndarray, there: np.ndarray, h: np.ndarray) -> np.ndarray:
-        m, n = self.m, UNITS
+        m, n, s = self.m, UNITS, self.shape
         last, states, gates, olds, inner = self._forward(lanes, place, h)
-        before = self._inputs(last)
-        flat, target = self._columns(states, there), lanes.codes[place[there]]
+        target, at, rows = self._ordered(lanes.codes[place[there]], states, there)
         # A window that few lanes reach counts for as much less.
         share = np.float32(1 / (WINDOW * len(lanes.length)))
-        classes = self._classes(target)
-        _, error = self._class_terms(flat, classes)
-        error[classes, np.arange(len(target))] -= 1
-        grad = {"c": flat @ error.T, "c0": error.sum(axis=1), "w": np.zeros_like(m["w"]), "w0": np.zeros_like(m["w0"])}
-        back = m["c"] @ error
-        for k, rows in self._by_class(target):
-            mine = flat[:, rows]
-            _, error = self._word_terms(k, mine, target[rows])
-            error[target[rows] - k * self.shape.width, np.arange(len(rows))] -= 1
-            grad["w"][k] = mine @ error.T
-            grad["w0"][k] = error.sum(axis=1)
-            back[:, rows] += m["w"][k] @ error
-        rows, leaf = self._by_leaf(target)
-        if len(rows):
-            mine = np.ascontiguousarray(flat[:, rows])
-            _, nodes, weights, error = self._leaf_terms(leaf, mine)
-            back[:, rows] += np.einsum("dnh,dn->hn", weights, error)
-            # Each level's nodes are in order, and no node is on two levels.
-            edge = np.flatnonzero(np.diff(nodes.ravel(), prepend=-1))
-            passed = nodes.ravel()[edge]
-            grad["t"] = passed, np.add.reduceat((error[:, :, None] * mine.T).reshape(-1, n), edge, axis=0)
-            grad["t0"] = passed, np.add.reduceat(error.ravel(), edge)
-        d_flat = back
-        if not there.all():
-            d_flat = np.zeros((n, there.size), np.float32)
-            d_flat[:, there.ravel()] = back
-        d_states = d_flat.reshape(n, *place.shape).transpose(1, 0, 2)
+        error = self._class_terms(rows, target, keep=True)
+        grad = {"c": rows.T @ error.T, "c0": error.sum(axis=1), "w": np.zeros_like(m["w"]), "w0": np.zeros_like(m["w0"])}
+        back = error.T @ m["c"].T
+        lo = int(np.searchsorted(target, s.heads))
+        error = self._word_terms(rows[:lo], target[:lo], keep=True)
+        for k, own in self._by_class(target):
+            mine = error[:, own].T
+            grad["w"][k] = rows[own].T @ mine
+            grad["w0"][k] = mine.sum(axis=0)
+            back[own] += mine @ m["w"][k].T
+        lo = self._first_leaf(target)
+        if lo < len(target):
+            self._learn_leaves(target[lo:].astype(np.int64) - s.first_leaf, rows[lo:], back[lo:], grad)
+        if there.all():
+            placed = np.empty_like(at)
+            placed[at] = np.arange(len(at))
+            d_rows = back.take(placed, axis=0)
+        else:
+            d_rows = np.zeros((there.size, n), np.float32)
+            d_rows[at] = back
+        d_states = np.ascontiguousarray(d_rows.reshape(*place.shape, n).transpose(0, 2, 1))
         d_inner = np.empty(gates.shape, np.float32)  # of u h + u0
         d_fresh = np.empty(states.shape, np.float32)
         dh = np.zeros_like(states[0])
         opens = lanes.opens[place]
-        opened = opens.any(axis=1)
+        opened = opens.any(axis=1).tolist()
         reset, keep, fresh = gates[:, :n], gates[:, n : 2 * n], gates[:, 2 * n :]
         slope = gates[:, : 2 * n] * (1 - gates[:, : 2 * n])
         curve = (1 - keep) * (1 - fresh * fresh)
@@ -366,39 +458,40 @@ class Network:
             dh += b
             if opened[t]:
                 dh[:, opens[t]] = 0
-        by_row = d_inner.transpose(0, 2, 1).reshape(-1, 3 * n)
+        by_row = np.ascontiguousarray(d_inner.transpose(0, 2, 1)).reshape(-1, 3 * n)
         grad["u"] = olds.transpose(0, 2, 1).reshape(-1, n).T @ by_row
         grad["u0"] = by_row.sum(axis=0)
-        d_input = by_row.copy()
-        d_input[:, 2 * n :] = d_fresh.transpose(0, 2, 1).reshape(-1, n)
-        if self.shape.depth:
-            leaf = last.ravel() - self.shape.first_leaf
-            own = np.flatnonzero(leaf >= 0)
-            if len(own):
-                grad["l"] = self._by_id(leaf[own], d_input[own])
-        ids, grad["x"] = self._by_id(before.ravel(), d_input)
-        self._step(grad, ids, share)
+        by_row.reshape(*place.shape, 3 * n)[:, :, 2 * n :] = d_fresh.transpose(0, 2, 1)
+        last = last.ravel()
+        order = np.argsort(last, kind="stable")
+        codes, d_input = sums_by_id(last.take(order)[None], by_row.take(order, axis=0))
+        lo = self._first_leaf(codes)
+        if lo < len(codes):
+            grad["l"] = codes[lo:].astype(np.int64) - s.first_leaf, d_input[lo:]
+        lo = int(np.searchsorted(codes, s.heads))
+        which = self._input.take(codes[lo:]) == np.arange(s.heads, s.heads + s.spellings)[:, None]
+        grad["x"] = np.concatenate([d_input[:lo], which.astype(np.float32) @ d_input[lo:]])
+        self._step(grad, np.concatenate([codes[:lo], np.arange(s.heads, s.heads + s.spellings)]), share)
         return states[-1]
 
-    @staticmethod
-    def _by_id(ids: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids there are, and the sum of each one's rows."""
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
-        edge = np.flatnonzero(np.diff(ids, prepend=-1))
-        return ids[edge], np.add.reduceat(values[order], edge, axis=0)
-
     def _step(self, grad: Model, rows: np.ndarray, share: np.float32) -> None:
         """Gradients of some rows only: of ``rows`` for x, of those they come with for leaves."""
         some = {k: g if isinstance(g, tuple) else (rows if k == "x" else None, g) for k, g in grad.items()}
-        norm = float(np.sqrt(sum(float((g * g).sum()) for _, g in some.values()))) * float(share)
+        norm = math.sqrt(sum(float(np.vdot(g, g)) for _, g in some.values())) * float(share)
         share = share * np.float32(min(1.0, CLIP / max(norm, 1e-9)))
         for k, (rows, g) in some.items():
             g = g * share
+            move = g * g
+            if rows is not None:
+                move += self.squares[k].take(rows, axis=0)
+                self.squares[k][rows] = move
+            else:
+                move += self.squares[k]
+                self.squares[k][:] = move
+            np.sqrt(move, out=move)
+            g *= np.float32(RATE)
+            g /= move
             if rows is not None:
-                held = self.squares[k][rows] + g * g
-                self.squares[k][rows] = held
-                self.m[k][rows] -= np.float32(RATE) * g / np.sqrt(held)
+                self.m[k][rows] = np.subtract(self.m[k].take(rows, axis=0), g, out=g)
             else:
-                self.squares[k] += g * g
-                self.m[k] -= np.float32(RATE) * g / np.sqrt(self.squares[k])
+                self.m[k] -= g

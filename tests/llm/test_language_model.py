@@ -249,3 +249,49 @@ def test_words_of_a_spelling_have_predictions_of_their_own(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
     got = {r.doc_id: r.score for r in language_model.score(docs, F.col("doc_id") < len(texts) - 2).collect()}
     assert got[len(texts) - 2] > got[len(texts) - 1] + 5
+
+
+def test_sums_by_id():
+    """Runs of one id over many small products, levels of several ids, single rows."""
+    rng = np.random.default_rng(3)
+    for n in (1, 15, 16, 17, 400):
+        ids = np.sort(np.concatenate([rng.integers(0, 9, (1, n)), 100 + rng.integers(0, 400, (1, n)), np.full((1, n), 900)]), axis=1)
+        values, weights = rng.normal(size=(n, 5)).astype(np.float32), rng.normal(size=(3, n)).astype(np.float32)
+        for w in (None, weights):
+            found, sums = recurrent.sums_by_id(ids, values, w)
+            want = np.zeros((901, 5))
+            for level in range(3):
+                np.add.at(want, ids[level], values * (1 if w is None else w[level][:, None]))
+            assert found.tolist() == sorted(set(ids.ravel().tolist()))
+            np.testing.assert_allclose(sums, want[found], rtol=1e-4, atol=1e-4)
+
+
+def test_deep_trees(monkeypatch):
+    """Levels below those that are worked out whole: scores, and gradients against differences."""
+    deep = recurrent.Shape(heads=10, width=4, spellings=3, depth=recurrent.TOP + 2)
+    rng = np.random.default_rng(8)
+    m = {k: rng.normal(0, 0.4, s).astype(np.float32) for k, s in deep.sizes().items()}
+    sizes = rng.integers(1, 12, 40)
+    codes = rng.integers(0, deep.first_leaf + deep.spellings * deep.leaves, int(sizes.sum())).astype(np.int16)
+    monkeypatch.setitem(globals(), "LEAVED", deep)
+    ends = np.cumsum(sizes)
+    want = [leaf_by_leaf(m, codes[e - n : e]) for e, n in zip(ends, sizes)]
+    for steps in (1, 5, recurrent.SCORED):
+        monkeypatch.setattr(recurrent, "SCORED", steps)
+        np.testing.assert_allclose(recurrent.Network(deep, m).score(codes, sizes), want, rtol=2e-4, atol=2e-3)
+    net, taken = recurrent.Network(deep, {k: v.copy() for k, v in m.items()}), {}
+    lanes = recurrent.Lanes(codes, sizes, len(sizes))
+    monkeypatch.setattr(net, "_step", lambda grad, rows, share: taken.update(grad))
+    place, there = next(lanes.windows())
+    net._learn(lanes, place, there, np.zeros((recurrent.UNITS, place.shape[1]), np.float32))
+    for name in ("l", "t", "t0"):
+        assert len(np.unique(taken[name][0])) == len(taken[name][0])
+        full = np.zeros_like(m[name])
+        full[taken[name][0]] = taken[name][1]
+        for at in rng.choice(np.flatnonzero(full), 12, replace=False):
+            losses = []
+            for move in (1e-2, -1e-2):
+                moved = {k: v.copy() for k, v in m.items()}
+                moved[name].flat[at] += move
+                losses.append(-sum(leaf_by_leaf(moved, codes[e - n : e]) for e, n in zip(ends, sizes)))
+            assert abs((losses[0] - losses[1]) / 2e-2 - full.flat[at]) < 2e-2 + 2e-2 * abs(full.flat[at]), name
