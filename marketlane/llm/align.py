@@ -12,6 +12,9 @@ at once in numpy.
 A link is a pair of overlapping token occurrences. How often two ids are linked
 is counted over all documents: each block counts its pairs, the counts are
 summed by one shuffle, and each block gets back the sums for its own pairs.
+What else a block holds for that goes beside them as one packed piece of bytes,
+cut into rows of a few kilobytes: no row, no batch between the JVM and Python
+and no list on the JVM's heap grows with a block, and a task holds one block.
 
 Texts that are null or empty, or whose tokens' bytes are not the text's, have
 no tokens: their numbers are 0 and their groups empty. Repeated rows count
@@ -21,6 +24,7 @@ table gives no rows. Texts are read whole; a long one is cut at the same places.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -29,12 +33,13 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marketlane import scratch
+from marketlane import scratch, settings
 from marketlane.llm import blocks
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -43,6 +48,12 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 # Units that are aligned together, and that are encoded as one text.
 UNITS = 20_000
 RUN = 64
+# Bytes of a block in one row, and rows in one batch that a task gives back.
+PIECE = 4 << 10
+PIECES = 256
+# Bytes of text in a batch that a task gets, and of a row group of what is kept between.
+BATCH_BYTES = 2 << 20
+GROUP_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -180,12 +191,18 @@ class Aligned:
     n_b: np.ndarray
     n_groups: np.ndarray
     n_links: np.ndarray
-    links: np.ndarray  # a's id times b's number of ids plus b's id, one unit after the other
+    keys: np.ndarray  # the pairs linked, rising: a's id times b's number of ids plus b's id
+    links: np.ndarray  # places in ``keys``, one unit after the other
     groups: list[str]
 
 
 def _bounds(count: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(count)])
+    return np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers, none below 0, in as few bytes as hold them."""
+    return values.astype(np.min_scalar_type(values.max(initial=0)))
 
 
 def _runs(texts: list[str]) -> list[tuple[int, int]]:
@@ -263,14 +280,18 @@ def align_units(p: Pair, texts: list[str]) -> Aligned:
     edge = np.searchsorted(unit, np.arange(len(good) + 1)).tolist()
     for n, k in enumerate(good.tolist()):
         groups[k] = ";".join(printed[edge[n] : edge[n + 1]])
-    return Aligned(ok, *out, a[row] * len(p.b_bytes) + b[at], groups)
+    keys, links = np.unique(a[row] * len(p.b_bytes) + b[at], return_inverse=True)
+    return Aligned(ok, *out, keys, _narrow(links), groups)
 
 
 def _joined(parts: list[Aligned]) -> Aligned:
     if len(parts) == 1:
         return parts[0]
-    arrays = [np.concatenate([getattr(x, f) for x in parts]) for f in ("ok", "n_a", "n_b", "n_groups", "n_links", "links")]
-    return Aligned(*arrays, [g for x in parts for g in x.groups])
+    arrays = [np.concatenate([getattr(x, f) for x in parts]) for f in ("ok", "n_a", "n_b", "n_groups", "n_links")]
+    keys, place = np.unique(np.concatenate([x.keys for x in parts]), return_inverse=True)
+    place = np.split(_narrow(place), np.cumsum([len(x.keys) for x in parts])[:-1])
+    links = np.concatenate([mine[x.links] for mine, x in zip(place, parts)])
+    return Aligned(*arrays, keys, links, [g for x in parts for g in x.groups])
 
 
 def _sum_by(values: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -279,70 +300,146 @@ def _sum_by(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.diff(total[_bounds(count)])
 
 
-_BLOCK = (
-    "block long, keys array<long>, counts array<long>, rows {rows}, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups array<string>, unit binary, times binary, units array<int>, pair binary, pairs array<int>"
-)
+def _counted(links: np.ndarray, n_links: np.ndarray, occurs: np.ndarray, n: int) -> np.ndarray:
+    """How often each of ``n`` pairs is linked, where each unit's links count as often as the unit occurs."""
+    out = np.zeros(n, np.int64)
+    edge = _bounds(n_links)
+    for k in range(0, len(n_links), UNITS):
+        mine = links[edge[k] : edge[min(k + UNITS, len(n_links))]]
+        np.add.at(out, mine, np.repeat(occurs[k : k + UNITS], n_links[k : k + UNITS]))
+    return out
+
+
+def _whole(p: Pair, held: list[pa.RecordBatch], listing: Callable[[str], str]) -> tuple[np.ndarray, np.ndarray, pa.Buffer]:
+    """A block's pairs, how often they are linked, and packed what its documents and units hold."""
+    known: dict[str, int] = {}
+    unit = []
+    for batch in held:
+        for at in range(0, len(batch), blocks.ROWS):
+            for text in batch.column(1).slice(at, blocks.ROWS).to_pylist():
+                unit.append(np.array([known.setdefault(u, len(known)) for u in units(text)] if text else [], np.int32))
+    names = list(known)
+    del known
+    every = _joined([align_units(p, names[k : k + UNITS]) for k in range(0, len(names), UNITS)] or [align_units(p, [])])
+    del names
+    figures: list[list[int]] = [[] for _ in range(4)]
+    times, sizes, groups = [], [], []
+    for k, mine in enumerate(unit):
+        if not every.ok[mine].all():
+            mine = mine[:0]
+        for out, held_in in zip(figures, (every.n_a, every.n_b, every.n_groups, every.n_links)):
+            out.append(int(held_in[mine].sum()))
+        groups.append(listing(";".join([every.groups[u] for u in mine.tolist()])) if len(mine) else "")
+        unit[k], n = np.unique(mine, return_counts=True)
+        times.append(_narrow(n))
+        sizes.append(len(n))
+    every.groups.clear()
+    flat, n = np.concatenate(unit), np.concatenate(times)
+    del unit, times
+    occurs = np.bincount(flat, n, len(every.ok)).astype(np.int64)
+    counts = _counted(every.links, every.n_links, occurs, len(every.keys))
+    one = {
+        "rows": pa.concat_arrays([x.column(0) for x in held]),
+        **{c: pa.array(f, pa.int64()) for c, f in zip(("n_a", "n_b", "n_groups", "n_links"), figures)},
+        "groups": pa.array(groups, pa.string()),
+        "unit": pa.array(_narrow(flat)),
+        "times": pa.array(n),
+        "units": pa.array(sizes, pa.int32()),
+        "pair": pa.array(every.links),
+        "pairs": pa.array(_narrow(every.n_links)),
+    }
+    return every.keys, counts, _packed(pa.record_batch({c: _list(x) for c, x in one.items()}))
+
+
+def _packed(batch: pa.RecordBatch) -> pa.Buffer:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
+        out.write_batch(batch)
+    return sink.getvalue()
+
+
+def _unpacked(data: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(data, options=pa.ipc.IpcReadOptions(use_threads=False)).read_next_batch()
+
+
+_NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
+_HELD = "block long, pos int, key long, n long, data binary"
+
+
+def _held(block: int, start: int, n: int, key: pa.Array | None = None, count: pa.Array | None = None, data: pa.Array | None = None) -> pa.RecordBatch:
+    """``n`` rows of a block from place ``start`` on: pairs and counts, or pieces of what else it holds."""
+    columns = {"block": pa.array(np.full(n, block)), "pos": pa.array(np.arange(start, start + n, dtype=np.int32))}
+    for name, kind, values in (("key", pa.int64(), key), ("n", pa.int64(), count), ("data", pa.binary(), data)):
+        columns[name] = pa.nulls(n, kind) if values is None else values
+    return pa.record_batch(columns)
+
+
+def _pieces(data: pa.Buffer) -> Iterator[tuple[int, pa.Array]]:
+    """The bytes in rows of ``PIECE`` bytes, batch by batch, each with the number of its first row."""
+    for start in range(0, data.size, PIECE * PIECES):
+        part = data.slice(start, min(PIECE * PIECES, data.size - start))
+        edge = np.append(np.arange(0, part.size, PIECE), part.size).astype(np.int32)
+        yield start // PIECE, pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(edge), part])
 
 
 def _blocks(docs: DataFrame, files: Files, listing: Callable[[str], str], block_bytes: int) -> DataFrame:
-    """A row for each block: its pairs with counts, its documents' figures, and what its documents and units hold."""
-    kind = docs.schema[docs.columns[0]].dataType.simpleString()
+    """Rows of each block: its pairs with counts, and pieces of what its documents and units hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         p = pair(files)
         for block, held in blocks.gathered(batches, block_bytes):
-            known: dict[str, int] = {}
-            unit, times, sizes = [], [], []
-            for batch in held:
-                for at in range(0, len(batch), blocks.ROWS):
-                    for text in batch.column(1).slice(at, blocks.ROWS).to_pylist():
-                        mine = np.array([known.setdefault(u, len(known)) for u in units(text)] if text else [], np.int32)
-                        unit.append(mine)
-                        sizes.append(len(mine))
-            names = list(known)
-            every = _joined([align_units(p, names[k : k + UNITS]) for k in range(0, len(names), UNITS)] or [align_units(p, [])])
-            del known, names
-            figures: list[list[int]] = [[] for _ in range(4)]
-            groups = []
-            for k, mine in enumerate(unit):
-                if not every.ok[mine].all():
-                    mine = unit[k] = mine[:0]
-                for out, held_in in zip(figures, (every.n_a, every.n_b, every.n_groups, every.n_links)):
-                    out.append(int(held_in[mine].sum()))
-                groups.append(listing(";".join([every.groups[u] for u in mine.tolist()])) if len(mine) else "")
-                unit[k], n = np.unique(mine, return_counts=True)
-                times.append(n.astype(np.int32))
-                sizes[k] = len(unit[k])
-            keys, place = np.unique(every.links, return_inverse=True)
-            # Each unit's links count as often as the unit occurs.
-            occurs = np.bincount(np.concatenate(unit), np.concatenate(times), len(every.ok)).astype(np.int64)
-            counts = np.bincount(place, np.repeat(occurs, every.n_links), len(keys)).astype(np.int64)
-            ids = pa.concat_arrays([x.column(0) for x in held])
-            one = {
-                "block": pa.array([block]),
-                "keys": _list(pa.array(keys)),
-                "counts": _list(pa.array(counts)),
-                "rows": _list(ids),
-                **{c: _list(pa.array(f, pa.int64())) for c, f in zip(("n_a", "n_b", "n_groups", "n_links"), figures)},
-                "groups": _list(pa.array(groups, pa.string())),
-                "unit": pa.array([np.concatenate(unit).astype("<i4").tobytes()]),
-                "times": pa.array([np.concatenate(times).astype("<i4").tobytes()]),
-                "units": _list(pa.array(sizes, pa.int32())),
-                "pair": pa.array([place.astype("<i4").tobytes()]),
-                "pairs": _list(pa.array(every.n_links.astype(np.int32))),
-            }
-            yield pa.record_batch(one)
-
-    return docs.mapInArrow(run, _BLOCK.format(rows=f"array<{kind}>"))
+            keys, counts, data = _whole(p, held, listing)
+            del held
+            blocks.freed()
+            step = PIECE * PIECES // 32
+            for at in range(0, len(keys), step):
+                key, n = (pa.array(x[at : at + step]) for x in (keys, counts))
+                yield _held(block, at, len(key), key, n)
+            for at, piece in _pieces(data):
+                yield _held(block, at, len(piece), data=piece)
+            del keys, counts, data
+
+    return docs.mapInArrow(run, _HELD)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block, which follow each other; a block may be spread over batches."""
+    held: list[pa.RecordBatch] = []
+    mine = None
+    for batch in batches:
+        block = batch.column("block").to_numpy()
+        edge = [*np.flatnonzero(np.diff(block, prepend=block[:1] - 1)).tolist(), len(batch)]
+        for start, end in zip(edge, edge[1:]):
+            if held and block[start] != mine:
+                yield pa.Table.from_batches(held)
+                held = []
+            mine = block[start]
+            held.append(batch.slice(start, end - start))
+        del batch
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _numbers(column: pa.Array, row: int) -> np.ndarray:
-    return column[row].values.to_numpy(zero_copy_only=False)
+def _rated(rows: pa.Table) -> pa.RecordBatch:
+    """Documents of a block, from its pieces and what is found for its pairs."""
+    piece = pc.is_valid(rows["data"])
+    pieces = rows.filter(piece).select(["pos", "data"]).sort_by("pos")
+    found = rows.filter(pc.invert(piece))
+    block = _unpacked(b"".join(pieces["data"].to_pylist()))
+    held = {c: x.values for c, x in zip(block.schema.names, block.columns)}
+    unit, times, sizes, place, count = (held[c].to_numpy() for c in ("unit", "times", "units", "pair", "pairs"))
+    pos = found["pos"].to_numpy()
+    sums = {}
+    for name, column in (("n_best", "best"), ("count_sum", "total")):
+        per_pair = np.zeros(len(pos), np.int64)
+        per_pair[pos] = found[column].to_numpy()
+        sums[name] = pa.array(_sum_by(_sum_by(per_pair[place], count)[unit] * times, sizes))
+    return pa.record_batch({"id": held["rows"], **{c: held[c] for c in _NUMBERS}, **sums, "groups": held["groups"]})
 
 
 def align(
@@ -361,33 +458,26 @@ def align(
     adds up how often each link's pair occurs.
     """
     kind = docs.schema[key].dataType.simpleString()
-    held = scratch.durable(_blocks(docs.select(key, text), files, listing, block_bytes), "aligned")
+    with settings.held(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
+        held = scratch.durable(_blocks(docs.select(key, text), files, listing, block_bytes), "aligned", {"parquet.block.size": str(GROUP_BYTES)})
     n_b = len(pair(files).b_bytes)
-    pairs = blocks.summed(held).withColumn("b", F.col("key") % n_b)
+    pairs = blocks.totals(held.where(F.col("data").isNull()).drop("data")).withColumn("b", F.col("key") % n_b)
     # One row for each id of B at most, whatever the data.
     most = pairs.groupBy("b").agg(F.max("total").alias("most"))
-    found = pairs.join(F.broadcast(most), "b").withColumn("best", F.col("total") == F.col("most"))
-    numbers = ("n_a", "n_b", "n_groups", "n_links")
+    best = F.col("total") == F.col("most")
+    found = pairs.join(F.broadcast(most), "b").select("block", "pos", "total", best.alias("best"), F.lit(None).cast("binary").alias("data"))
+    pieces = held.where(F.col("data").isNotNull())
+    pieces = pieces.select("block", "pos", F.lit(None).cast("long").alias("total"), F.lit(None).cast("boolean").alias("best"), "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(len(batch)):
-                row = {c: batch.column(c) for c in batch.schema.names}
-                unit, times, place = (np.frombuffer(row[c][k].as_py(), "<i4") for c in ("unit", "times", "pair"))
-                sums = np.zeros((2, len(unit)), np.int64)
-                if row["found"][k].is_valid:
-                    back = row["found"][k].values
-                    pos, total, best = (back.field(c).to_numpy(zero_copy_only=False) for c in ("pos", "total", "best"))
-                    per_pair = np.zeros((2, len(pos)), np.int64)
-                    per_pair[:, pos] = total, best
-                    per_link = per_pair[:, place]
-                    count = _numbers(row["pairs"], k)
-                    sums = np.stack([_sum_by(x, count)[unit] * times for x in per_link])
-                sizes = _numbers(row["units"], k)
-                count_sum, n_best = (_sum_by(x, sizes) for x in sums)
-                out = {"id": row["rows"][k].values, **{c: row[c][k].values for c in numbers}}
-                yield pa.record_batch(out | {"n_best": pa.array(n_best), "count_sum": pa.array(count_sum), "groups": row["groups"][k].values})
-
-    fields = f"id {kind}, " + ", ".join(f"{c} long" for c in (*numbers, "n_best", "count_sum")) + ", groups string"
-    out = blocks.returned(held, found, [F.col("total"), F.col("best")]).mapInArrow(run, fields)
+        for rows in _by_block(batches):
+            out = _rated(rows)
+            del rows
+            for at in range(0, len(out), blocks.ROWS):
+                yield out.slice(at, blocks.ROWS)
+            del out
+            blocks.freed()
+
+    fields = f"id {kind}, " + ", ".join(f"{c} long" for c in (*_NUMBERS, "n_best", "count_sum")) + ", groups string"
+    out = pieces.union(found).repartition("block").sortWithinPartitions("block").mapInArrow(run, fields)
     return out.withColumnRenamed("id", key)

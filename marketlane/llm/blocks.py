@@ -71,7 +71,11 @@ def summed(blocks: DataFrame) -> DataFrame:
     Blocks have arrays ``keys`` and ``counts``. One shuffle by key; a key has a row per block at most.
     """
     each = blocks.select("block", F.posexplode(F.arrays_zip("keys", "counts")).alias("pos", "held"))
-    rows = each.select("block", "pos", F.col("held.keys").alias("key"), F.col("held.counts").alias("n"))
+    return totals(each.select("block", "pos", F.col("held.keys").alias("key"), F.col("held.counts").alias("n")))
+
+
+def totals(rows: DataFrame) -> DataFrame:
+    """``summed`` for rows of block, pos, key and n."""
     line = Window.partitionBy("key").orderBy("block")
     whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.withColumns({"total": F.sum("n").over(whole), "first": F.row_number().over(line) == 1})

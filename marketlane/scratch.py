@@ -40,11 +40,11 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
-def durable(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+def durable(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once, with the writer's ``options``, and return a scan of what was written."""
     spark = df.sparkSession
     path = new_dir(spark, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Alignment against a plain walk over all byte offsets, with the public libraries' ids."""
 
 import hashlib
+import pickle
 import random
 from collections import Counter
 
@@ -10,6 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from marketlane import settings
 from marketlane.llm import align, queries
 
 ODD = [
@@ -119,6 +121,25 @@ def test_frames(spark, files, plain):
     assert align.align(docs.limit(0), files).count() == 0
 
 
+def test_no_row_grows_with_a_block(spark, files, monkeypatch):
+    """A block of many documents is kept and shuffled in rows of a few kilobytes, and comes to the same."""
+    rng = random.Random(9)
+    rows = [(f"d{i}" if i else None, " ".join("".join(rng.choices("aeinorst", k=rng.randint(1, 9))) for _ in range(60))) for i in range(700)]
+    docs = spark.createDataFrame(rows, "id string, text string").repartition(1)
+    kept, durable = [], align.scratch.durable
+    monkeypatch.setattr(align.scratch, "durable", lambda *a: kept.append(durable(*a)) or kept[-1])
+    whole, parts = (align.align(docs, files, key="id", block_bytes=n) for n in (16 << 20, 20_000))
+    assert [k.select("block").distinct().count() > 1 for k in kept] == [False, True]
+    for k in kept:
+        assert max(len(pickle.dumps(tuple(r))) for r in k.collect()) < 8192
+    spread = sorted(map(str, whole.collect()))
+    assert len(spread) == 700 and spread == sorted(map(str, parts.collect()))
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(align.scratch, "durable", durable)
+    with settings.held(spark, limit, "7"):
+        assert spread == sorted(map(str, align.align(docs, files, key="id").collect()))
+
+
 def test_query(spark, folder, plain):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     out = queries.QUERIES["op11_token_alignment"](spark, folder)
